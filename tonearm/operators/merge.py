@@ -7,7 +7,7 @@ Merge keys are unique on both sides, so no key is hot.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -143,16 +143,23 @@ def key_range(staging: DataFrame, column: str) -> tuple[int | None, int | None]:
 
 
 def insert_absent(
-    target: DataFrame, staging: DataFrame, keys: Sequence[str], partition_key: str
+    target: DataFrame,
+    staging: DataFrame,
+    keys: Sequence[str],
+    partition_key: str,
+    prune: Callable[[int, int], Column] | None = None,
 ) -> DataFrame:
     """The staging rows that the target lacks.
 
-    The range of the partition key is read first, and enters the target filter as two literals
-    that prune partitions and files of the target before the anti join.
+    The range of the partition key is read first, and enters the target filter as literals that
+    skip row groups of the target before the anti join. ``prune`` turns the range into a
+    condition on the layout column of the target, which skips whole folders.
     """
     low, high = key_range(staging, partition_key)
     if low is None:
         return staging
+    if prune is not None:
+        target = target.where(prune(low, high))
     reachable = target.where(F.col(partition_key).between(low, high)).select(*keys)
     return staging.alias("s").join(
         reachable.alias("t"), same_keys("s", "t", keys), "left_anti"

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tonearm.functions.dates import date_of_text, day_key, on_date
 from tonearm.operators.dedup import latest_by_key
 from tonearm.operators.lookup import genre_keys, not_in, open_versions
-from tonearm.schemas import UNKNOWN_STR
+from tonearm.schemas import UNKNOWN_DATE_KEY, UNKNOWN_STR
 
 
 def artist_genres(dim_artist: DataFrame, dim_genre: DataFrame) -> DataFrame:
@@ -65,7 +65,7 @@ def playlist_track(
 ) -> DataFrame:
     """Playlist entry × the genres of the track's artists; the artist is not kept.
 
-    An unknown playlist gives the unknown playlist and user.
+    An unknown playlist gives the unknown playlist and user, an unreadable date the unknown date.
     """
     track_genre = (
         artist_track.select("artist_id", "track_id")
@@ -92,7 +92,7 @@ def playlist_track(
         .dropDuplicates()
     )
     return added.join(track_genre, "track_key").select(
-        day_key("date_actual").alias("added_date_key"),
+        F.coalesce(day_key("date_actual"), F.lit(UNKNOWN_DATE_KEY)).alias("added_date_key"),
         "playlist_key",
         "user_key",
         "genre_key",

@@ -10,7 +10,7 @@ import re
 
 from tonearm.queries.fixtures import BASE_TABLES, VIEWS
 
-CTES = {name: text.format_map({t: t for t in BASE_TABLES}) for name, text in VIEWS.items()}
+CTES = {name: text.format_map({t: t for t in (*BASE_TABLES, *VIEWS)}) for name, text in VIEWS.items()}
 
 CTES |= {
     "dim_album": """

@@ -9,10 +9,13 @@ numbers: repeating a run, for instance after executors were lost, gives the same
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tonearm.schemas import UNKNOWN_DATE_KEY
 from tonearm.sources.lake import path_of, read_if_exists
 
 
@@ -104,9 +107,36 @@ def key_bucket(key: Column | str) -> Column:
     return (F.floor(key / KEY_RANGE_WIDTH) * KEY_RANGE_WIDTH).cast("int")
 
 
+@dataclass(frozen=True)
+class Layout:
+    """The partition column of a fact table, its value, and the folders a key range can lie in."""
+
+    column: str
+    value: Callable[[], Column]
+    reachable: Callable[[int, int], Column]
+
+
+def _months_between(low: int, high: int) -> Column:
+    def month(key: int) -> Column:
+        return F.to_date(F.lit(f"{key // 100}01"), "yyyyMMdd")
+
+    column = F.col("added_month")
+    if low == UNKNOWN_DATE_KEY:  # rows without a date have no month
+        return column.isNull() if high == low else column.isNull() | (column <= month(high))
+    return column.between(month(low), month(high))
+
+
 FACT_LAYOUT = {
-    "fact_playlist_track": ("added_month", lambda: month_of("date_actual")),
-    "fact_album_track": ("release_bucket", lambda: key_bucket("release_date_key")),
+    "fact_playlist_track": Layout(
+        "added_month", lambda: month_of(F.col("date_actual")), _months_between
+    ),
+    "fact_album_track": Layout(
+        "release_bucket",
+        lambda: key_bucket("release_date_key"),
+        lambda low, high: F.col("release_bucket").between(
+            low // KEY_RANGE_WIDTH * KEY_RANGE_WIDTH, high // KEY_RANGE_WIDTH * KEY_RANGE_WIDTH
+        ),
+    ),
 }
 
 
@@ -117,12 +147,12 @@ def write_facts(df: DataFrame, root: str, table: str, run: int) -> None:
     of the rows into several.
     """
     spark = df.sparkSession
-    name, layout = FACT_LAYOUT[table]
+    layout = FACT_LAYOUT[table]
     (
-        df.withColumn(name, layout())
-        .hint("rebalance", name)
+        df.withColumn(layout.column, layout.value())
+        .hint("rebalance", layout.column)
         .write.mode("overwrite")
-        .partitionBy(name)
+        .partitionBy(layout.column)
         .parquet(f"{path_of(root, table)}/rows/run={run}")
     )
     _commit(spark, root, table, run)
@@ -135,5 +165,4 @@ def read_facts(
     run = latest_run(spark, root, table, before)
     if run is None:
         return None
-    df = spark.read.parquet(f"{path_of(root, table)}/rows").where(F.col("run") <= run)
-    return df.drop("run")
+    return spark.read.parquet(f"{path_of(root, table)}/rows").where(F.col("run") <= run)
