@@ -83,8 +83,21 @@ def stage_dimensions(spark: SparkSession, places: Places, run_date: dt.date) ->
     return staged
 
 
+def touched_albums(
+    spark: SparkSession, places: Places, run_date: dt.date, artist_album: DataFrame
+) -> DataFrame:
+    """Albums that gained an artist in the extract of the day, or whose artist changed in it."""
+    links = read_lake(spark, places.lake, SOURCE_TABLES["artist_album"], run_date)
+    artists = read_lake(spark, places.lake, SOURCE_TABLES["artist"], run_date)
+    albums = links.select("album_id")
+    if artists is not None:
+        changed = artist_album.join(artists.select("artist_id"), "artist_id", "left_semi")
+        albums = albums.unionByName(changed.select("album_id"))
+    return albums.dropDuplicates()
+
+
 def stage_facts(spark: SparkSession, places: Places, run_date: dt.date) -> list[str]:
-    """Stage the facts of the day; tracks that earlier runs could not place are tried again."""
+    """Stage the facts of the day; album tracks that earlier runs could not place are tried again."""
     run = warehouse.run_number(run_date)
     dimension = {
         name: read_dimension(spark, places.warehouse, name, before=run + 1)
@@ -97,7 +110,8 @@ def stage_facts(spark: SparkSession, places: Places, run_date: dt.date) -> list[
     needed = [tracks, artist_album, dimension["dim_album"], dimension["dim_artist"], dimension["dim_genre"]]
     if all(df is not None for df in needed):
         loaded = warehouse.read_facts(spark, places.warehouse, "fact_album_track", before=run)
-        rows = facts.album_track(*needed, loaded=loaded)
+        touched = touched_albums(spark, places, run_date, artist_album)
+        rows = facts.album_track(*needed, loaded=loaded, touched_albums=touched)
         _stage(rows, places, run, "fact_album_track")
         staged.append("fact_album_track")
 

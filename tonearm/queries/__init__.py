@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("warehouse", "columns", "relations")
+MODULES = ("warehouse", "columns", "relations", "merges", "storage")
 
 
 def _load() -> None:

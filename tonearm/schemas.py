@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructType
 
 # --- fixed values -------------------------------------------------------------------------
 UNKNOWN_INT = -1
@@ -71,7 +71,7 @@ class SourceTable:
     def lake_schema(self) -> StructType:
         schema = self.schema
         for column in EXTRACT_COLUMNS:
-            schema = schema.add(column, "int")
+            schema = schema.add(column, IntegerType())
         return schema
 
 
