@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("warehouse", "columns", "relations", "merges", "storage")
+MODULES = ("warehouse", "columns", "relations", "merges", "storage", "documents")
 
 
 def _load() -> None:
