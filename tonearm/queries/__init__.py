@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("warehouse", "columns", "relations", "merges", "storage", "documents")
+MODULES = ("warehouse", "columns", "relations", "merges", "storage", "documents", "streams")
 
 
 def _load() -> None:
