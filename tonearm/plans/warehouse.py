@@ -191,11 +191,8 @@ def load_metric(spark: SparkSession, places: Places, run_date: dt.date) -> bool:
 
 def read_metric(spark: SparkSession, root: str) -> DataFrame | None:
     """The metric over all committed runs."""
-    run = warehouse.latest_run(spark, root, "album_track_metric")
-    if run is None:
-        return None
-    rows = spark.read.parquet(f"{root.rstrip('/')}/album_track_metric/rows")
-    return marts.total_album_track_metric(rows.where(F.col("run") <= run))
+    rows = warehouse.read_facts(spark, root, "album_track_metric")
+    return None if rows is None else marts.total_album_track_metric(rows)
 
 
 def load_facts(spark: SparkSession, places: Places, run_date: dt.date) -> list[str]:

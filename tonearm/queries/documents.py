@@ -19,6 +19,8 @@ from tonearm.plans import web_documents as web
 from tonearm.plans.documents import Rows, parse_bodies
 from tonearm.queries.registry import query
 from tonearm.schemas import SOURCE_TABLES
+from tonearm.session import working_folder
+from tonearm.sources import warehouse
 
 SITE = "https://catalogue.example"
 FETCHED = "timestamp '2024-01-02 10:00:00'"
@@ -62,6 +64,14 @@ def spliced(df: DataFrame, doc: str, array: str, *more: str) -> DataFrame:
     return df.selectExpr(f"{FETCHED} as fetched_at", f"{body} as body", *more)
 
 
+def parsed(c, rows: DataFrame, ddl: str, needs: str | None = None) -> DataFrame:
+    """The documents, parsed once and stored for the several tables taken from them."""
+    docs, _ = parse_bodies(rows, ddl, needs)
+    root = working_folder(c.spark, "documents")
+    warehouse.write_staging(docs, root, "docs")
+    return warehouse.read_table(c.spark, root, "docs")
+
+
 def links(kind: str, id_: str) -> str:
     return f"map('home', 'u/{kind}/' || {id_})"
 
@@ -88,7 +98,7 @@ API_ALBUM_LINES = [
 
 @query("j01_album", all_of(*API_ALBUM_LINES))
 def api_album(c):
-    docs, _ = parse_bodies(bodies(c.src_album, API_ALBUM), api.ALBUM)
+    docs = parsed(c, bodies(c.src_album, API_ALBUM), api.ALBUM)
     return lines(api.albums(docs))
 
 
@@ -101,7 +111,7 @@ API_ARTIST_VALUES = """'u/ar/' || artist_id; followers_count; array_to_string(ge
 
 @query("j02_artist", line_sql("artist", "artist_id;" + API_ARTIST_VALUES, "src_artist"))
 def api_artist(c):
-    docs, _ = parse_bodies(bodies(c.src_artist, API_ARTIST), api.ARTIST)
+    docs = parsed(c, bodies(c.src_artist, API_ARTIST), api.ARTIST)
     return lines(api.artists(docs))
 
 
@@ -137,7 +147,7 @@ API_TRACK_LINES = [
 
 @query("j06_track", all_of(*API_TRACK_LINES))
 def api_track(c):
-    docs, _ = parse_bodies(bodies(c.src_track, API_TRACK), api.TRACK)
+    docs = parsed(c, bodies(c.src_track, API_TRACK), api.TRACK)
     return lines(api.tracks(docs))
 
 
@@ -178,7 +188,7 @@ def search_pages(c):
       'tracks', named_struct('items', array(null, named_struct('id', 't' || album_id, 'name', name,
         'external_urls', {links('tr', "'t' || album_id")}, 'album', named_struct('id', album_id),
         'artists', array(named_struct('id', 't' || album_id, 'external_urls', {links('ar', "'t' || album_id")}))))))"""
-    docs, _ = parse_bodies(bodies(c.src_album, page), api.SEARCH)
+    docs = parsed(c, bodies(c.src_album, page), api.SEARCH)
     return lines([rows for tables in api.search_pages(docs).values() for rows in tables])
 
 
@@ -216,14 +226,14 @@ ENTRY_LINES = [
 def api_playlist(c):
     doc = f"""named_struct({API_PLAYLIST_HEAD}, 'followers', named_struct('total', followers_count),
       'tracks', named_struct('items', '@@'))"""
-    docs, _ = parse_bodies(spliced(c.src_playlist, doc, ENTRIES), api.PLAYLIST)
+    docs = parsed(c, spliced(c.src_playlist, doc, ENTRIES), api.PLAYLIST)
     return lines(api.playlists(docs))
 
 
 @query("j05_playlist_page", all_of(*ENTRY_LINES))
 def api_playlist_page(c):
     page = "named_struct('href', 'https://x/playlists/' || playlist_id || '/tracks?offset=0', 'items', '@@')"
-    docs, _ = parse_bodies(spliced(c.src_playlist, page, ENTRIES), api.ENTRY_PAGE)
+    docs = parsed(c, spliced(c.src_playlist, page, ENTRIES), api.ENTRY_PAGE)
     return lines(api.playlist_pages(docs))
 
 
@@ -241,7 +251,7 @@ def api_playlist_page(c):
 )
 def album_tracks(c):
     page = f"named_struct('items', array(null, {API_TRACK}))"
-    docs, _ = parse_bodies(bodies(c.src_track, page, "album_id"), api.TRACK_PAGE)
+    docs = parsed(c, bodies(c.src_track, page, "album_id"), api.TRACK_PAGE)
     return lines(api.album_track_pages(docs))
 
 
@@ -264,7 +274,7 @@ WEB_ALBUM_LINE = line_sql("album", WEB_ALBUM_VALUES, "src_album")
 
 @query("j08_web_album", WEB_ALBUM_LINE)
 def web_album(c):
-    docs, _ = parse_bodies(bodies(c.src_album, WEB_ALBUM), web.ALBUM)
+    docs = parsed(c, bodies(c.src_album, WEB_ALBUM), web.ALBUM)
     return lines(web.albums(docs, SITE))
 
 
@@ -279,7 +289,7 @@ def web_artist_releases(c):
       'discography', named_struct('all', named_struct('items', '@@')))))"""
     releases = f"""'[{{"releases": {{"items": [' || to_json({WEB_ALBUM}) ||
       ', {{"name": "second edition"}}]}}}}, {{"releases": {{"items": []}}}}]'"""
-    docs, _ = parse_bodies(spliced(c.src_album, page, releases), web.ARTIST_PAGE, needs="data")
+    docs = parsed(c, spliced(c.src_album, page, releases), web.ARTIST_PAGE, needs="data")
     return lines(web.artist_releases(docs, SITE))
 
 
@@ -300,7 +310,7 @@ DISCOGRAPHY_LINES = [
 def web_discography(c):
     rows = bodies(c.src_album, DISCOGRAPHY, "'a' || album_id as artist_id")
     ddl = web.DISCOGRAPHY.removeprefix("struct<").removesuffix(">")
-    docs, _ = parse_bodies(rows, ddl)
+    docs = parsed(c, rows, ddl)
     return lines(web.discographies(docs, SITE))
 
 
@@ -337,7 +347,7 @@ def web_album_page(c):
         'discNumber', disc_number, 'duration', named_struct('totalMilliseconds', duration_ms)))))),
       'moreAlbumsByArtist', named_struct('items', array(named_struct('discography', named_struct('popularReleasesAlbums',
         named_struct('items', array(null, named_struct('uri', 'catalogue:album:m' || album_id, 'type', 'SINGLE'))))))))))"""
-    docs, _ = parse_bodies(bodies(c.src_track, page), web.ALBUM_PAGE, needs="data")
+    docs = parsed(c, bodies(c.src_track, page), web.ALBUM_PAGE, needs="data")
     return lines(web.album_pages(docs, SITE))
 
 
@@ -370,7 +380,7 @@ WEB_ARTIST_PAGE = """named_struct('data', named_struct('artistUnion', named_stru
     ),
 )
 def web_artist_page(c):
-    docs, _ = parse_bodies(bodies(c.src_artist, WEB_ARTIST_PAGE), web.ARTIST_PAGE, needs="data")
+    docs = parsed(c, bodies(c.src_artist, WEB_ARTIST_PAGE), web.ARTIST_PAGE, needs="data")
     return lines([*web.artist_pages(docs, SITE), Rows("related", web.artist_related(docs))])
 
 
@@ -402,7 +412,7 @@ WEB_TRACK_PAGE = f"""named_struct('data', named_struct('trackUnion', named_struc
     ),
 )
 def web_track_page(c):
-    docs, _ = parse_bodies(bodies(c.src_track, WEB_TRACK_PAGE), web.TRACK_PAGE, needs="data")
+    docs = parsed(c, bodies(c.src_track, WEB_TRACK_PAGE), web.TRACK_PAGE, needs="data")
     return lines(web.track_pages(docs, SITE))
 
 
@@ -445,7 +455,7 @@ LISTED = "src_playlist where snapshot_id <> 'MACHINERY'"
     ),
 )
 def web_playlist_page(c):
-    docs, _ = parse_bodies(spliced(c.src_playlist, WEB_PLAYLIST_PAGE, WEB_ENTRIES), web.PLAYLIST_PAGE, needs="data")
+    docs = parsed(c, spliced(c.src_playlist, WEB_PLAYLIST_PAGE, WEB_ENTRIES), web.PLAYLIST_PAGE, needs="data")
     return lines(web.playlist_pages(docs, SITE))
 
 
@@ -470,10 +480,10 @@ def store_documents(c):
     """Tracks held from the API, then changed by web pages, which know plays but no disc."""
     held = storing.store(
         empty_targets(c),
-        api.tracks(parse_bodies(bodies(c.src_track, API_TRACK), api.TRACK)[0]),
+        api.tracks(parsed(c, bodies(c.src_track, API_TRACK), api.TRACK)),
         dt.datetime(2024, 1, 1),
     )
-    pages, _ = parse_bodies(bodies(c.src_track, WEB_TRACK_PAGE), web.TRACK_PAGE, needs="data")
+    pages = parsed(c, bodies(c.src_track, WEB_TRACK_PAGE), web.TRACK_PAGE, needs="data")
     # the page repeats the address of the API, so only plays and the explicit mark differ
     rows = [
         Rows(r.table, r.df.withColumn("url", F.concat(F.lit("u/tr/"), "track_id")) if r.table == "track" else r.df)
@@ -493,7 +503,7 @@ def store_documents(c):
 )
 def store_shared_artist(c):
     """An artist on every album ends up as one row; each link is stored."""
-    docs, _ = parse_bodies(bodies(c.src_album, API_ALBUM), api.ALBUM)
+    docs = parsed(c, bodies(c.src_album, API_ALBUM), api.ALBUM)
     stored = storing.store(empty_targets(c), api.albums(docs), dt.datetime(2024, 1, 2))
     albums = stored["artist_album"].groupBy("artist_id").agg(F.count(F.lit(1)).alias("albums"))
     return stored["artist"].select("artist_id", "name").join(albums, "artist_id")
@@ -506,7 +516,7 @@ def store_shared_artist(c):
 )
 def released_albums(c):
     """Of the albums named by tracks only those with a release date are stored."""
-    docs, _ = parse_bodies(bodies(c.src_track, API_TRACK), api.TRACK)
+    docs = parsed(c, bodies(c.src_track, API_TRACK), api.TRACK)
     albums = next(r.df for r in api.tracks(docs) if r.table == "album")
     return albums.select("album_id", "release_date").dropDuplicates()
 

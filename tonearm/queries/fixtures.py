@@ -52,21 +52,21 @@ select cast(o_custkey as string) as playlist_id, cast(l_partkey as string) as tr
  from {orders} join {lineitem} on o_orderkey = l_orderkey group by o_custkey, l_partkey""",
     "src_metric_event": """
 select cast(user_id as string) as artist_id, cast(cast(ts as date) as timestamp) as updated_at, cast(floor(value) as bigint) as followers_count, event_id as kafka_offset from {events}""",
-    # two days of track rows: unchanged, changed, NULL turning into a value and back, new,
-    # missing on the second day, and closed history
+    # two days of track rows: unchanged, changed, NULL turning into a value and back, new on the
+    # second day, missing on it, and closed history
     "track_day1": """
 select track_id as track_key, name, plays_count, date '2024-01-01' as valid_from, cast(null as date) as valid_to, true as flag
- from {src_track} where cast(track_id as int) % 7 <> 6
+ from {src_track} where created_at < timestamp '2024-01-03 00:00:00'
 union all
 select track_id, 'old ' || name, plays_count, date '2023-01-01', date '2023-06-01', false
- from {src_track} where cast(track_id as int) % 14 = 3""",
+ from {src_track} where created_at < timestamp '2024-01-03 00:00:00' and explicit""",
     "track_day2": """
 select track_id as track_key,
- case when cast(track_id as int) % 7 in (3, 4) then name || 'v2' else name end as name,
- case when cast(track_id as int) % 7 in (3, 4) then plays_count + 1
-      when cast(track_id as int) % 7 = 5 then case when plays_count is null then 1 else null end
+ case when duration_ms between 100000 and 250000 then name || 'v2' else name end as name,
+ case when duration_ms between 100000 and 250000 then plays_count + 1
+      when duration_ms > 400000 then case when plays_count is null then 1 else null end
       else plays_count end as plays_count
- from {src_track} where cast(track_id as int) % 14 <> 0""",
+ from {src_track} where explicit is not null or created_at = timestamp '2024-01-03 00:00:00'""",
 }
 
 
@@ -81,12 +81,16 @@ class Catalogue:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def __getattr__(self, name: str) -> DataFrame:
+        """A view or table; asked for once, then kept."""
         if name in VIEWS:
             sources = [t for t in (*BASE_TABLES, *VIEWS) if "{%s}" % t in VIEWS[name]]
-            return self.spark.sql(VIEWS[name], **{t: getattr(self, t) for t in sources})
-        if name in BASE_TABLES:
-            return self.table(name)
-        raise AttributeError(name)
+            df = self.spark.sql(VIEWS[name], **{t: getattr(self, t) for t in sources})
+        elif name in BASE_TABLES:
+            df = self.table(name)
+        else:
+            raise AttributeError(name)
+        setattr(self, name, df)
+        return df
 
     # ---- staged warehouse tables over the whole views -------------------------------------
 

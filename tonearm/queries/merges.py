@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from tonearm.operators import merge
 from tonearm.queries.registry import query
+from tonearm.session import working_folder
+from tonearm.sources import warehouse
 
 DAY1, DAY2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
 CHANGED = "(t.name is distinct from s.name or t.plays_count is distinct from s.plays_count)"
@@ -137,8 +139,10 @@ FACT_KEYS = ["added_date_key", "playlist_key", "user_key", "genre_key", "track_k
     and s.date_actual >= date '1997-01-01'""",
 )
 def insert_absent(c):
-    """Staged facts since 1997 against facts of some genres."""
-    facts = c.fact_playlist_track
+    """Staged facts since 1997 against facts of some genres, both stored."""
+    root = working_folder(c.spark, "staging")
+    warehouse.write_staging(c.fact_playlist_track, root, "facts")
+    facts = warehouse.read_table(c.spark, root, "facts")
     staged = facts.where("date_actual >= '1997-01-01'")
     return merge.insert_absent(facts.where("genre_key >= 10"), staged, FACT_KEYS, "added_date_key")
 

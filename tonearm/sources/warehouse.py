@@ -3,7 +3,8 @@
 Parquet has no transactions, so a run never overwrites what it reads. A run has a number that
 grows (the date as ``YYYYMMDD``). It writes to folders carrying that number, and the number
 becomes visible by one small commit row at the end. Reading for a run looks only at lower
-numbers: repeating a run, for instance after executors were lost, gives the same tables.
+numbers: repeating the last run, for instance after executors were lost, gives the same tables.
+Folders of a run that never committed are not read.
 """
 
 from __future__ import annotations
@@ -37,14 +38,22 @@ def _commit(spark: SparkSession, root: str, table: str, run: int) -> None:
     done.write.mode("overwrite").parquet(f"{path_of(root, table)}/commits/run_{run}")
 
 
-def latest_run(spark: SparkSession, root: str, table: str, before: int | None = None) -> int | None:
-    """The last committed run; only one number per run is read."""
+def committed_runs(
+    spark: SparkSession, root: str, table: str, before: int | None = None
+) -> list[int]:
+    """Numbers of the committed runs: one per day that wrote the table."""
     commits = read_if_exists(spark.read.schema("run int"), f"{path_of(root, table)}/commits/*")
     if commits is None:
-        return None
+        return []
     if before is not None:
         commits = commits.where(F.col("run") < before)
-    return commits.agg(F.max("run")).first()[0]
+    return sorted(row["run"] for row in commits.dropDuplicates().collect())
+
+
+def latest_run(spark: SparkSession, root: str, table: str, before: int | None = None) -> int | None:
+    """The last committed run."""
+    runs = committed_runs(spark, root, table, before)
+    return runs[-1] if runs else None
 
 
 def write_snapshot(df: DataFrame, root: str, table: str, run: int) -> None:
@@ -84,12 +93,12 @@ def read_versions(
     spark: SparkSession, root: str, table: str, before: int | None = None, open_only: bool = False
 ) -> DataFrame | None:
     """All versions of a type-2 table, or those in force; partition filters pick the folders."""
-    run = latest_run(spark, root, table, before)
-    if run is None:
+    runs = committed_runs(spark, root, table, before)
+    if not runs:
         return None
     df = spark.read.parquet(f"{path_of(root, table)}/rows")
-    in_force = (F.col("run") == run) & (F.col("state") == "open")
-    history = (F.col("run") <= run) & (F.col("state") == "closed")
+    in_force = (F.col("run") == runs[-1]) & (F.col("state") == "open")
+    history = F.col("run").isin(runs) & (F.col("state") == "closed")
     return df.where(in_force if open_only else in_force | history).drop("run", "state")
 
 
@@ -161,8 +170,8 @@ def write_facts(df: DataFrame, root: str, table: str, run: int) -> None:
 def read_facts(
     spark: SparkSession, root: str, table: str, before: int | None = None
 ) -> DataFrame | None:
-    """All facts of committed runs."""
-    run = latest_run(spark, root, table, before)
-    if run is None:
+    """All rows of committed runs; for tables to which each run adds."""
+    runs = committed_runs(spark, root, table, before)
+    if not runs:
         return None
-    return spark.read.parquet(f"{path_of(root, table)}/rows").where(F.col("run") <= run)
+    return spark.read.parquet(f"{path_of(root, table)}/rows").where(F.col("run").isin(runs))
