@@ -328,7 +328,7 @@ def surrogate_key(c):
     "select c_name as name, row_number() over (order by c_name) as place from customer",
 )
 def numbers_in_order(c):
-    return dense_numbers(c.customer.select(F.col("c_name").alias("name")), "name", "place", prefix=17)
+    return dense_numbers(c.customer.select(F.col("c_name").alias("name")), "name", "place", prefix=13)
 
 
 # ---- set operations -----------------------------------------------------------------------------
