@@ -25,7 +25,7 @@ def parse_bodies(bodies: DataFrame, ddl: str, needs: str | None = None) -> tuple
     them once and read them back, or every table parses the bodies anew.
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
-    parsed = bodies.where("body is not null").withColumn(
+    parsed = bodies.where("trim(body) not in ('', 'null')").withColumn(
         "doc", F.from_json("body", f"struct<{ddl}, _corrupt_record: string>", options)
     )
     reason = F.when(F.col("doc._corrupt_record").isNotNull(), "malformed")

@@ -28,7 +28,9 @@ def day_predicates(incremental_col: str, first: dt.date, last: dt.date, parts: i
         if high:
             terms.append(f"{incremental_col} < DATE '{high}'")
         condition = " AND ".join(terms) or "1 = 1"
-        conditions.append(f"({condition} OR {incremental_col} IS NULL)" if not low and high else condition)
+        if not low and high:  # the first part also takes the rows without a date
+            condition = f"({condition} OR {incremental_col} IS NULL)"
+        conditions.append(condition)
     return conditions
 
 
