@@ -69,12 +69,14 @@ def test_playlist_facts(spark, rows):
 
 
 def test_album_facts_of_late_albums(spark, rows):
-    def staged(albums, **options):
+    tracks = spark.createDataFrame(
+        [("t1", "a1", dt.datetime(2024, 1, 1)), ("t2", "a2", dt.datetime(2024, 1, 2))],
+        "track_id string, album_id string, created_at timestamp",
+    )
+
+    def staged(tracks, albums, **options):
         return facts.album_track(
-            spark.createDataFrame(
-                [("t1", "a1", dt.datetime(2024, 1, 1)), ("t2", "a2", dt.datetime(2024, 1, 2))],
-                "track_id string, album_id string, created_at timestamp",
-            ),
+            tracks,
             spark.createDataFrame([("x", "a1"), ("x", "a2"), ("x", "a2"), ("gone", "a2")], "artist_id string, album_id string"),
             spark.createDataFrame(albums, "album_key string, release_date_key int"),
             spark.createDataFrame([("x", ["pop"], True)], ARTIST_DIM),
@@ -82,12 +84,11 @@ def test_album_facts_of_late_albums(spark, rows):
             **options,
         )
 
-    first = staged([("a2", 20200000)], run_date=dt.date(2024, 1, 2))
+    first = staged(tracks, [("a2", 20200000)], run_date=dt.date(2024, 1, 2))
     assert rows(first) == [(20200000, "a2", "x", 1, "t2")]
-    both = [("a1", 0), ("a2", 20200000)]
-    assert rows(staged(both, loaded=first)) == [(0, "a1", "x", 1, "t1")]
-    touched = spark.createDataFrame([("a2",)], "album_id string")
-    assert len(rows(staged(both, loaded=first, touched_albums=touched))) == 2
+    pending = facts.unplaced_tracks(tracks, first)
+    assert rows(pending, "track_id") == [("t1",)]
+    assert rows(staged(pending, [("a1", 0), ("a2", 20200000)])) == [(0, "a1", "x", 1, "t1")]
 
 
 def test_preference_counts_tracks_once_and_merges_equal_names(spark, rows):

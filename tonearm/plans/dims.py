@@ -92,30 +92,29 @@ def stage_user(user: DataFrame) -> DataFrame:
 
 def stage_playlist(playlist: DataFrame) -> DataFrame:
     columns = ["name", "url", "collaborative", "public", "snapshot_id", "followers_count", "user_id"]
-    return (
-        _newest(playlist, "playlist_id", columns)
-        .withColumnsRenamed(
-            {"playlist_id": "playlist_key", "user_id": "user_key", "public": "is_public"}
-        )
-        .withColumn("followers_count", null_to("followers_count", UNKNOWN_INT))
+    return _newest(playlist, "playlist_id", columns).select(
+        F.col("playlist_id").alias("playlist_key"),
+        "name",
+        "url",
+        "collaborative",
+        F.col("public").alias("is_public"),
+        "snapshot_id",
+        null_to("followers_count", UNKNOWN_INT).alias("followers_count"),
+        F.col("user_id").alias("user_key"),
     )
 
 
 def stage_track(track: DataFrame) -> DataFrame:
     columns = ["name", "url", "album_id", "disc_number", "duration_ms", "explicit", "plays_count"]
-    return (
-        _newest(track, "track_id", columns)
-        .withColumnsRenamed(
-            {"track_id": "track_key", "album_id": "album_key", "explicit": "is_explicit"}
-        )
-        .withColumns(
-            {
-                "name": blank_to("name", UNKNOWN_STR),
-                "disc_number": null_to("disc_number", UNKNOWN_INT),
-                "is_explicit": null_to("is_explicit", False),
-                "plays_count": null_to("plays_count", UNKNOWN_INT),
-            }
-        )
+    return _newest(track, "track_id", columns).select(
+        F.col("track_id").alias("track_key"),
+        blank_to("name", UNKNOWN_STR).alias("name"),
+        "url",
+        F.col("album_id").alias("album_key"),
+        null_to("disc_number", UNKNOWN_INT).alias("disc_number"),
+        "duration_ms",
+        null_to("explicit", False).alias("is_explicit"),
+        null_to("plays_count", UNKNOWN_INT).alias("plays_count"),
     )
 
 

@@ -29,14 +29,10 @@ def album_track(
     dim_artist: DataFrame,
     dim_genre: DataFrame,
     run_date: dt.date | None = None,
-    loaded: DataFrame | None = None,
-    touched_albums: DataFrame | None = None,
 ) -> DataFrame:
     """Track × album × the artists of the album × their genres; keys only.
 
-    ``run_date`` keeps the tracks created on that day. Without it every given track counts, or,
-    with ``loaded`` facts, those whose key the facts lack and those on ``touched_albums``: so
-    neither tracks whose album arrives late nor artists that join an album later are lost.
+    ``run_date`` keeps the tracks created on that day; without it every given track counts.
     """
     if run_date is not None:
         track = track.where(on_date("created_at", run_date))
@@ -45,13 +41,6 @@ def album_track(
         ["track_key"],
         ["created_at"],
     ).select("track_key", F.col("album_id").alias("album_key"))
-    if run_date is None and loaded is not None:
-        chosen = not_in(tracks, loaded, ["track_key"])
-        if touched_albums is not None:
-            touched = touched_albums.select(F.col("album_id").alias("album_key"))
-            again = tracks.join(touched, "album_key", "left_semi").select(*tracks.columns)
-            chosen = chosen.unionByName(again).dropDuplicates()
-        tracks = chosen
     bridge = artist_album.select(
         F.col("album_id").alias("album_key"), F.col("artist_id").alias("artist_key")
     ).dropDuplicates()
@@ -63,6 +52,11 @@ def album_track(
     )
 
 
+def unplaced_tracks(track: DataFrame, facts: DataFrame) -> DataFrame:
+    """Tracks without any fact: their album or its artists are not known yet."""
+    return not_in(track, facts.select(F.col("track_key").alias("track_id")), ["track_id"])
+
+
 def playlist_track(
     entries: DataFrame,
     artist_track: DataFrame,

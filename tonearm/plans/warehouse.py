@@ -83,6 +83,10 @@ def stage_dimensions(spark: SparkSession, places: Places, run_date: dt.date) ->
     return staged
 
 
+PENDING = "pending_tracks"
+TRACK_COLUMNS = ["track_id", "album_id", "created_at"]
+
+
 def touched_albums(
     spark: SparkSession, places: Places, run_date: dt.date, artist_album: DataFrame
 ) -> DataFrame:
@@ -96,6 +100,24 @@ def touched_albums(
     return albums.dropDuplicates()
 
 
+def candidate_tracks(
+    spark: SparkSession, places: Places, run_date: dt.date, artist_album: DataFrame
+) -> DataFrame:
+    """Tracks that may give new facts: of the day, left pending by earlier runs, on touched albums.
+
+    Facts are not read for this, so the cost follows the day and not the history.
+    """
+    run = warehouse.run_number(run_date)
+    history = read_lake(spark, places.lake, SOURCE_TABLES["track"]).select(*TRACK_COLUMNS)
+    of_day = read_lake(spark, places.lake, SOURCE_TABLES["track"], run_date).select(*TRACK_COLUMNS)
+    touched = touched_albums(spark, places, run_date, artist_album)
+    tracks = of_day.unionByName(
+        history.join(touched, "album_id", "left_semi").select(*TRACK_COLUMNS)
+    )
+    pending = warehouse.read_snapshot(spark, places.warehouse, PENDING, before=run)
+    return tracks if pending is None else tracks.unionByName(pending)
+
+
 def stage_facts(spark: SparkSession, places: Places, run_date: dt.date) -> list[str]:
     """Stage the facts of the day; album tracks that earlier runs could not place are tried again."""
     run = warehouse.run_number(run_date)
@@ -105,14 +127,15 @@ def stage_facts(spark: SparkSession, places: Places, run_date: dt.date) -> list[
     }
     staged = []
 
-    tracks = read_lake(spark, places.lake, SOURCE_TABLES["track"])
     artist_album = read_lake(spark, places.lake, SOURCE_TABLES["artist_album"])
-    needed = [tracks, artist_album, dimension["dim_album"], dimension["dim_artist"], dimension["dim_genre"]]
-    if all(df is not None for df in needed):
-        loaded = warehouse.read_facts(spark, places.warehouse, "fact_album_track", before=run)
-        touched = touched_albums(spark, places, run_date, artist_album)
-        rows = facts.album_track(*needed, loaded=loaded, touched_albums=touched)
-        _stage(rows, places, run, "fact_album_track")
+    has_tracks = read_lake(spark, places.lake, SOURCE_TABLES["track"]) is not None
+    needed = [artist_album, dimension["dim_album"], dimension["dim_artist"], dimension["dim_genre"]]
+    if has_tracks and all(df is not None for df in needed):
+        tracks = candidate_tracks(spark, places, run_date, artist_album)
+        _stage(facts.album_track(tracks, *needed), places, run, "fact_album_track")
+        placed = warehouse.read_table(spark, places.staging_of(run), "fact_album_track")
+        pending = facts.unplaced_tracks(tracks, placed).dropDuplicates()
+        warehouse.write_snapshot(pending, places.warehouse, PENDING, run)
         staged.append("fact_album_track")
 
     entries = read_lake(spark, places.lake, SOURCE_TABLES["playlist_track"], run_date)

@@ -98,10 +98,8 @@ def fact_album_track(c):
 )
 def fact_album_track_late(c):
     """All tracks that the facts of a run lack."""
-    loaded = c.fact_album_track(RUN_DATE)
-    return facts.album_track(
-        c.src_track, c.src_artist_album, c.dim_album, c.dim_artist, c.dim_genre, loaded=loaded
-    )
+    unplaced = facts.unplaced_tracks(c.src_track, c.fact_album_track(RUN_DATE))
+    return facts.album_track(unplaced, c.src_artist_album, c.dim_album, c.dim_artist, c.dim_genre)
 
 
 @query("h11_fact_playlist_track", "select * from fact_playlist_track")
@@ -109,29 +107,22 @@ def fact_playlist_track(c):
     return c.fact_playlist_track
 
 
-@query(
-    "h12_album_track_metric",
-    """select d.month_of_year as release_month, d.year as release_year, f.album_key, f.artist_key,
-    sum(case when f.rn = 1 then 1 else 0 end) as tracks_count
-    from (select *, row_number() over (partition by release_date_key, album_key, artist_key, track_key) as rn
-          from fact_album_track) f join dim_date d on f.release_date_key = d.date_key
-    group by 1, 2, 3, 4""",
-)
+METRIC = """select d.month_of_year as release_month, d.year as release_year, f.album_key, f.artist_key,
+    count(distinct (f.release_date_key, f.track_key)) as tracks_count
+    from {} f join dim_date d on f.release_date_key = d.date_key group by 1, 2, 3, 4"""
+
+
+@query("h12_album_track_metric", METRIC.format("fact_album_track"))
 def album_track_metric(c):
     return marts.album_track_metric(c.fact_album_track(RUN_DATE), None, c.dim_date)
 
 
 @query(
     "h12_album_track_metric_next",
-    """select d.month_of_year as release_month, d.year as release_year, f.album_key, f.artist_key,
-    sum(case when f.rn = 1 then 1 else 0 end) as tracks_count
-    from (select s.*, row_number() over (partition by s.release_date_key, s.album_key, s.artist_key, s.track_key) as rn
-          from fact_album_track_all s left join
-            (select distinct release_date_key, album_key, artist_key, track_key from fact_album_track) p
-            on s.release_date_key = p.release_date_key and s.album_key = p.album_key
-            and s.artist_key = p.artist_key and s.track_key = p.track_key
-          where p.track_key is null) f join dim_date d on f.release_date_key = d.date_key
-    group by 1, 2, 3, 4""",
+    METRIC.format(
+        """(select release_date_key, album_key, artist_key, track_key from fact_album_track_all
+        except select release_date_key, album_key, artist_key, track_key from fact_album_track)"""
+    ),
 )
 def album_track_metric_next(c):
     """The metric of a run that finds facts of an earlier one."""
@@ -140,12 +131,11 @@ def album_track_metric_next(c):
 
 @query(
     "h13_user_genre_preference",
-    """select du.name, dg.name as genre, sum(case when f.rn = 1 then 1 else 0 end) as tracks_count,
-    sum(case when f.rn = 1 then dt.plays_count else 0 end) as tracks_plays_count
-    from (select user_key, genre_key, track_key, row_number() over (partition by user_key, genre_key, track_key) as rn
-          from fact_playlist_track where genre_key != -1) f
-    join dim_user du on f.user_key = du.user_key join dim_genre dg on f.genre_key = dg.genre_key
-    join dim_track dt on f.track_key = dt.track_key where du.name != '' group by du.name, dg.name""",
+    """select u.name, g.name as genre, count(*) as tracks_count, sum(t.plays_count) as tracks_plays_count
+    from heard h, dim_user u, dim_genre g, dim_track t
+    where h.user_key = u.user_key and h.genre_key = g.genre_key and h.track_key = t.track_key and u.name <> ''
+    group by all""",
+    heard="select distinct user_key, genre_key, track_key from fact_playlist_track where genre_key <> -1",
 )
 def user_genre_preference(c):
     return marts.user_genre_preference(c.fact_playlist_track, c.dim_user, c.dim_genre, c.dim_track)
@@ -153,17 +143,11 @@ def user_genre_preference(c):
 
 @query(
     "h14_favorite_track",
-    """select added_month, added_year, track_key, track_name, duration_category, plays_count,
-    sum(case when playlist_row = 1 then 1 else 0 end) as total_playlists,
-    sum(case when user_row = 1 then 1 else 0 end) as total_users
-    from (select dd.month_of_year as added_month, dd.year as added_year, f.track_key, dt.name as track_name,
-          case when dt.duration_ms / 60000.0 < 3 then 'short' when dt.duration_ms / 60000.0 <= 4 then 'normal' else 'long' end as duration_category,
-          dt.plays_count,
-          row_number() over (partition by f.added_date_key, f.track_key, f.playlist_key) as playlist_row,
-          row_number() over (partition by f.added_date_key, f.track_key, f.user_key) as user_row
-          from fact_playlist_track f join dim_date dd on f.added_date_key = dd.date_key
-          join dim_track dt on f.track_key = dt.track_key)
-    group by 1, 2, 3, 4, 5, 6""",
+    """select month(f.date_actual) as added_month, year(f.date_actual) as added_year, f.track_key, t.name as track_name,
+    case when t.duration_ms < 180000 then 'short' when t.duration_ms > 240000 then 'long' else 'normal' end as duration_category,
+    t.plays_count, count(distinct (f.date_actual, f.playlist_key)) as total_playlists,
+    count(distinct (f.date_actual, f.user_key)) as total_users
+    from fact_playlist_track f join dim_track t using (track_key) group by all""",
 )
 def favorite_track(c):
     return marts.favorite_track(c.fact_playlist_track, c.dim_date, c.dim_track)
