@@ -86,7 +86,7 @@ def test_repeated_batch_finds_the_same_ids(spark, tmp_path, rows):
     """A batch that failed after its tracking rows were written, and is run again."""
     root = str(tmp_path)
     tracked = [("crawl_track", "track_id", i, dt.date(2024, 1, 2), b) for i, b in (("a", 0), ("z", 7))]
-    spark.createDataFrame(tracked, "function_name string, main_arg_name string, main_arg_value string, tracked_at date, batch bigint").write.partitionBy("batch").parquet(f"{root}/tracking")
+    spark.createDataFrame(tracked, "function_name string, main_arg_name string, main_arg_value string, tracked_at date, batch bigint").write.partitionBy("batch", "function_name", "main_arg_name").parquet(f"{root}/tracking")
     crawl_arrives(spark, f"{root}/in", ["a", "z", "n"])
     run(spark, root)
     assert rows(spark.read.parquet(f"{root}/work").select(F.explode("ids"))) == [("a",), ("n",)]

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tonearm.functions.change import any_differs, same_keys
+from tonearm.operators.lookup import not_in
 
 AUDIT_COLUMNS = ["created_at", "updated_at"]
 VERSION_COLUMNS = ["valid_from", "valid_to", "flag"]
@@ -160,10 +161,7 @@ def insert_absent(
         return staging
     if prune is not None:
         target = target.where(prune(low, high))
-    reachable = target.where(F.col(partition_key).between(low, high)).select(*keys)
-    return staging.alias("s").join(
-        reachable.alias("t"), same_keys("s", "t", keys), "left_anti"
-    )
+    return not_in(staging, target.where(F.col(partition_key).between(low, high)), keys)
 
 
 def combine_partial(

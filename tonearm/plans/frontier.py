@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tonearm.functions.values import shares_any
+from tonearm.operators.lookup import not_in
 
 # --- fixed values: topic names, to which a site may add a prefix ---------------------------
 ALBUM = "crawl.albums"
@@ -57,7 +58,7 @@ def should_crawl(
     )
     if today is not None:
         done = done.where(F.col("tracked_at") == F.lit(today))
-    return ids.join(done.select(F.col("main_arg_value").alias(column)), column, "left_anti")
+    return not_in(ids, done.select(F.col("main_arg_value").alias(column)), [column])
 
 
 def newly_tracked(
@@ -76,8 +77,8 @@ def newly_tracked(
         F.lit(day).alias("tracked_at"),
     ).dropDuplicates()
     # the day is a constant on both sides, so it prunes the tracking table
-    held = tracking.where(F.col("tracked_at") == F.lit(day)).select(*TRACKING_KEYS)
-    return rows.join(held, TRACKING_KEYS, "left_anti").select(*TRACKING_KEYS, "tracked_at")
+    held = tracking.where(F.col("tracked_at") == F.lit(day))
+    return not_in(rows, held, TRACKING_KEYS)
 
 
 # ---- fan-out ----------------------------------------------------------------------------------

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tonearm.functions.dates import audit_stamps
-from tonearm.operators.merge import insert_absent, scd1, scd2_open_rows
+from tonearm.operators.merge import insert_absent, key_range, scd1, scd2_open_rows
 from tonearm.plans import dims, facts, marts
 from tonearm.plans.specs import DIMENSIONS, FACTS, DimensionSpec, FactSpec
 from tonearm.schemas import SOURCE_TABLES
@@ -207,6 +207,11 @@ def load_metric(spark: SparkSession, places: Places, run_date: dt.date) -> bool:
     if staged is None:
         return False
     held = warehouse.read_facts(spark, places.warehouse, "fact_album_track", before=run)
+    if held is not None:
+        spec = FACTS["fact_album_track"]
+        low, high = key_range(staged, spec.partition_key)
+        if low is not None:
+            held = held.where(warehouse.FACT_LAYOUT[spec.name].reachable(low, high))
     metric = marts.album_track_metric(staged, held, date_dimension(spark, places))
     warehouse.write_snapshot(metric, places.warehouse, "album_track_metric", run)
     return True

@@ -77,7 +77,10 @@ def run_frontier(
         rows = frontier.newly_tracked(
             taken, "object_id", tracking, function_name, arg_name, day_of()
         )
-        rows.write.mode("overwrite").parquet(f"{tracking_path}/batch={number}")
+        # the gate asks for one function and argument, so these are folders
+        rows.write.mode("overwrite").partitionBy("function_name", "main_arg_name").parquet(
+            f"{tracking_path}/batch={number}"
+        )
 
     writer = messages.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
