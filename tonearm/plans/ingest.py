@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tonearm.schemas import SOURCE_TABLES, SourceTable
+from tonearm.session import side_by_side
 from tonearm.sources import lake
 
 logger = logging.getLogger(__name__)
@@ -49,9 +50,11 @@ def ingest_all(
     strict: bool = False,
 ) -> dict[str, int]:
     """Extract every configured table; ``source_of`` gives its rows, None to leave it out."""
-    counts = {}
-    for table in SOURCE_TABLES.values():
-        source = source_of(table)
-        if source is not None:
-            counts[table.name] = ingest_table(spark, source, root, table, extract_date, strict)
-    return counts
+    sources = {table: source_of(table) for table in SOURCE_TABLES.values()}
+    asked = [table for table, source in sources.items() if source is not None]
+
+    def job(table: SourceTable) -> Callable[[], int]:
+        return lambda: ingest_table(spark, sources[table], root, table, extract_date, strict)
+
+    counts = side_by_side([job(table) for table in asked])
+    return {table.name: count for table, count in zip(asked, counts)}

@@ -18,6 +18,7 @@ from tonearm.operators.merge import insert_absent, key_range, scd1, scd2_open_ro
 from tonearm.plans import dims, facts, marts
 from tonearm.plans.specs import DIMENSIONS, FACTS, DimensionSpec, FactSpec
 from tonearm.schemas import SOURCE_TABLES
+from tonearm.session import side_by_side
 from tonearm.sources import warehouse
 from tonearm.sources.lake import missing_or_empty, read_lake
 
@@ -72,15 +73,18 @@ def stage_dimensions(spark: SparkSession, places: Places, run_date: dt.date) ->
         "dim_user": (extract("user"), dims.stage_user),
         "dim_track": (extract("track"), dims.stage_track),
     }
-    staged = []
-    for name, (source, job) in jobs.items():
+
+    def stage(name: str) -> str | None:
+        source, job = jobs[name]
         if missing_or_empty(source):
             logger.info("no source rows for %s", name)
-            continue
+            return None
         spec = DIMENSIONS[name]
         _stage(job(source).select(*spec.columns), places, run, name, spec.staging_format)
-        staged.append(name)
-    return staged
+        return name
+
+    staged = side_by_side([lambda name=name: stage(name) for name in jobs])
+    return [name for name in staged if name is not None]
 
 
 PENDING = "pending_tracks"
@@ -182,7 +186,11 @@ def load_dimension(
 
 
 def load_dimensions(spark: SparkSession, places: Places, run_date: dt.date) -> list[str]:
-    return [s.name for s in DIMENSIONS.values() if load_dimension(spark, s, places, run_date)]
+    specs = list(DIMENSIONS.values())
+    loaded = side_by_side(
+        [lambda spec=spec: load_dimension(spark, spec, places, run_date) for spec in specs]
+    )
+    return [spec.name for spec, done in zip(specs, loaded) if done]
 
 
 def load_fact(spark: SparkSession, spec: FactSpec, places: Places, run_date: dt.date) -> bool:

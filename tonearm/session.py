@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import SparkSession
 
+Result = TypeVar("Result")
+
 # Runtime settings every job here relies on. Nothing sets a partition count: adaptive
 # execution sizes partitions from what was really shuffled.
 RUNTIME_SETTINGS = {
@@ -35,8 +41,6 @@ def working_folder(spark: SparkSession, purpose: str) -> str:
     It lies in the shared folder named by ``spark.checkpoint.dir``. Only a local session
     without that setting gets a folder on this machine.
     """
-    import uuid
-
     shared = spark.conf.get("spark.checkpoint.dir", None)
     name = f"{purpose}-{uuid.uuid4().hex}"
     if shared:
@@ -45,3 +49,12 @@ def working_folder(spark: SparkSession, purpose: str) -> str:
     if not master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix=f"tonearm-{purpose}-")
+
+
+def side_by_side(jobs: Sequence[Callable[[], Result]], at_once: int = 4) -> list[Result]:
+    """Run independent jobs on one session at the same time; results in their order.
+
+    The daily tables differ in size, so that one after the other would leave executors idle.
+    """
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        return [future.result() for future in [pool.submit(job) for job in jobs]]
