@@ -37,7 +37,7 @@ def open_output(uri: str):
     """A binary stream writing ``uri``, on any store that Arrow knows by its scheme."""
     store, path = pafs.FileSystem.from_uri(uri)
     store.create_dir(path.rpartition("/")[0], recursive=True)
-    return store.open_output_stream(path)
+    return store.open_output_stream(path, compression=None)
 
 
 def open_input(uri: str):

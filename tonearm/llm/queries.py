@@ -5,9 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tonearm.llm import token_store
+from tonearm.llm import token_store, warc
 from tonearm.llm.files import read_table
 from tonearm.llm.registry import ORACLES, QUERIES, query
+from tonearm.session import working_folder
 
 TOKENIZER = "word_bpe_49k.json"
 VOCABULARY = 49_408
@@ -23,6 +24,16 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.token_digests(manifest)
 
 
+@query("op2_web_archives")
+def op2_web_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written to web archives and read back; repeated payloads become revisits."""
+    pages = read_table(spark, sf_dir, "pages")
+    manifest = warc.write_archives(pages, working_folder(spark, "web-archives"))
+    return warc.read_archives(manifest).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def all_queries() -> dict:
     return dict(QUERIES)
 
