@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tonearm.llm import token_store, warc
+from tonearm.llm import host_rules, sql, token_store, warc
 from tonearm.llm.files import read_table
 from tonearm.llm.registry import ORACLES, QUERIES, query
 from tonearm.session import working_folder
@@ -34,6 +34,14 @@ def op2_web_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op9_host_rules", sql.HOST_RULES)
+def op9_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document by its own rules and by its host's."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    judged = host_rules.judge(docs, keep="doc_id")
+    return judged.select("doc.doc_id", *host_rules.COUNTS, "base_failed", "kept")
+
+
 def all_queries() -> dict:
     return dict(QUERIES)
 
