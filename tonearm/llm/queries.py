@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tonearm.llm import host_rules, sql, token_store, warc
+from tonearm.llm import host_rules, packing, sql, token_store, warc
 from tonearm.llm.files import read_table
 from tonearm.llm.registry import ORACLES, QUERIES, query
 from tonearm.session import working_folder
@@ -34,6 +34,14 @@ def op2_web_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op4_packed_sequences")
+def op4_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens: place of every piece."""
+    docs = read_table(spark, sf_dir, "documents")
+    packed = packing.pack_documents(docs, public_tokenizers.path(TOKENIZER), 0, VOCABULARY, with_ids=False)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 @query("op9_host_rules", sql.HOST_RULES)
 def op9_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document by its own rules and by its host's."""
