@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tonearm.llm import host_rules, packing, sql, token_store, warc
+from tonearm.llm import host_rules, mixing, packing, sql, token_store, warc
 from tonearm.llm.files import read_table
 from tonearm.llm.registry import ORACLES, QUERIES, query
 from tonearm.session import working_folder
 
 TOKENIZER = "word_bpe_49k.json"
 VOCABULARY = 49_408
+LANGUAGES = {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1}
+SMOOTHING = 0.7
 
 
 @query("op1_token_files")
@@ -42,6 +45,14 @@ def op4_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+@query("op5_mixed_sources", sql.mixing(LANGUAGES, SMOOTHING, mixing.SWEEPS))
+def op5_mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability and draw of every document after raking to sources, languages and topics."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    names = (F.col(f"margin_{name}").alias(name) for name in ("source", "lang", "topic"))
+    return mixing.mix(docs, LANGUAGES, SMOOTHING).select("doc.doc_id", *names, "probability", "taken")
+
+
 @query("op9_host_rules", sql.HOST_RULES)
 def op9_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document by its own rules and by its host's."""

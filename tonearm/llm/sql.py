@@ -40,3 +40,51 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     or not base_failed and source is null as kept
 from judged
 """
+
+
+def mixing(weights: dict[str, float], power: float, sweeps: int) -> str:
+    """Raking written out: one step a margin and sweep."""
+    given = ", ".join(f"('{k}', {float(v)!r}::double)" for k, v in weights.items())
+    steps, last = [], "start"
+    for sweep in range(sweeps):
+        for margin in ("source", "lang", "topic"):
+            name = f"{margin}_{sweep}"
+            mass = f"sum(tokens * factor) over (partition by {margin})"
+            steps.append(
+                f"""{name} as (
+    select source, lang, topic, tokens, factor * case when {mass} > 0 and share is not null
+        then share * (select sum(tokens) from cells) / {mass} else 1.0 end as factor
+    from (select c.*, share from {last} c left join target_{margin} t on t.category = c.{margin})
+)"""
+            )
+            last = name
+    smooth = "".join(
+        f"""target_{m} as (
+    select {m} as category, pow(sum(tokens), {power}) / sum(pow(sum(tokens), {power})) over () as share
+    from cells group by 1 having sum(tokens) > 0
+), """
+        for m in ("source", "topic")
+    )
+    return f"""
+with rows as (
+    select doc_id, coalesce(source, '(none)') as source, coalesce(lang, '(none)') as lang, coalesce(text, '') as t,
+        case when contains(t, 'icense') then 'licence' when contains(t, ' | ') then 'table'
+            when contains(t, '@') then 'contact' when length(t) < 600 then 'brief' else 'prose' end as topic
+    from documents
+), cells as materialized (
+    select source, lang, topic, sum(len(regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+')))::double as tokens
+    from rows group by all
+), given(category, weight) as (values {given}), {smooth}languages as (
+    select lang as category, sum(tokens) as tokens, any_value(weight) as weight
+    from cells left join given on category = lang group by 1 having sum(tokens) > 0
+), target_lang as (
+    select category, case when weight is null then tokens / (select sum(tokens) from languages)
+        else weight / (select sum(weight) from languages) * (1 - coalesce((select sum(tokens) from languages where weight is null), 0)
+            / (select sum(tokens) from languages)) end as share
+    from languages
+), start as (select *, 1.0::double as factor from cells), {", ".join(steps)}
+select doc_id, r.source, r.lang, r.topic, least(1.0, round(factor, 9)) as probability,
+    ('0x' || substr(md5('mix-' || coalesce(doc_id::varchar, '')), 1, 12))::bigint / 281474976710656.0
+        < least(1.0, round(factor, 9)) as taken
+from rows r join {last} f using (source, lang, topic)
+"""
