@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 
+#: ASCII signs without the apostrophe, which tokenizers treat apart.
+SIGNS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'").encode()
+LETTERS_SIGNS = re.compile(b"([A-Za-z]+)([" + re.escape(SIGNS) + b"]*)")
 #: Bytes of text handled at once inside a task.
 CHUNK_BYTES = 8_000_000
 
@@ -64,8 +68,9 @@ class WordMemo:
 
     def trim(self) -> None:
         """Call when the numbers of a chunk are no longer used."""
-        if len(self.numbers) > self.limit:
-            for word in self.numbers.fresh:
+        extra = len(self.numbers) - self.limit
+        if extra > 0:
+            for word in self.numbers.fresh[-extra:]:
                 del self.numbers[word]
             self.forget(len(self.numbers))
         self.numbers.fresh = []
@@ -85,6 +90,12 @@ class TokenEncoder(WordMemo):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.runs: dict[bytes, list[int]] = {}
+        self.mark = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends_word = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        if self.mark:
+            for token, number in self.tokenizer.get_vocab().items():
+                self.ends_word[number] = token.endswith(self.mark)
         self.end = [] if end_id is None else [b" "]  # no word holds a blank
         self.pool = np.zeros(0, np.uint32)
         self.sizes = np.zeros(0, np.int64)
@@ -101,8 +112,57 @@ class TokenEncoder(WordMemo):
         self.pool = np.concatenate([self.pool, flat])
 
     def compute(self, words: list[bytes]) -> None:
-        texts = [word.decode("utf-8", "replace") for word in words]
-        self._append([e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+        """Most words are a run of letters and perhaps a run of signs, which the tokenizer splits there.
+
+        Both runs are looked up on their own, so that case and punctuation do not make a word new. Runs of ASCII
+        letters go to the tokenizer's model as they are; other letters go through the whole tokenizer, many at once.
+        """
+        runs, split = self.runs, LETTERS_SIGNS.fullmatch
+        parts: list[tuple[bytes, bytes] | None] = []
+        plain, letters, signs, whole = set(), set(), set(), []
+        for word in words:
+            if self.mark and (found := split(word)):
+                part = (found[1].lower(), found[2])
+                if part[0] not in runs:
+                    plain.add(part[0])
+            else:
+                core = word.rstrip(SIGNS)
+                text = core.decode("utf-8", "replace")
+                if not (self.mark and text.lower().isalpha()):
+                    parts.append(None)
+                    whole.append(word.decode("utf-8", "replace"))
+                    continue
+                part = (core, word[len(core) :])
+                if core not in runs:
+                    letters.add(core)
+            if part[1] not in runs:
+                signs.add(part[1])
+            parts.append(part)
+        tokenize = self.tokenizer.model.tokenize
+        for run in plain:
+            runs[run] = [token.id for token in tokenize(run.decode())]
+        self._letters(list(letters))
+        self._one_by_one([run for run in letters | signs if run not in runs])
+        apart = iter(self.tokenizer.encode_batch_fast(whole, add_special_tokens=False))
+        self._append([(runs[p[0]] + runs[p[1]] if p[1] else runs[p[0]]) if p else next(apart).ids for p in parts])
+        if len(runs) > self.limit:
+            self.runs = {}
+
+    def _letters(self, runs: list[bytes], at_once: int = 200) -> None:
+        """Runs of letters, separated by blanks; the token that ends a run tells where."""
+        groups = [runs[i : i + at_once] for i in range(0, len(runs), at_once)]
+        found = self.tokenizer.encode_batch_fast([b" ".join(g).decode() for g in groups], add_special_tokens=False)
+        for group, encoding in zip(groups, found):
+            ids = np.array(encoding.ids, np.int64)
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) == len(group):  # else some run is more than a run to the tokenizer
+                for run, own in zip(group, np.split(ids, ends[:-1])):
+                    self.runs[run] = own.tolist()
+
+    def _one_by_one(self, runs: list[bytes]) -> None:
+        texts = [run.decode() for run in runs]
+        for run, encoding in zip(runs, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            self.runs[run] = encoding.ids
 
     def forget(self, size: int) -> None:
         self.firsts, self.sizes = self.firsts[:size], self.sizes[:size]
