@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonearm.llm import host_rules, mixing, packing, sql, token_store, warc
+from tonearm.llm import host_rules, mixing, near_text, packing, sql, token_store, warc
 from tonearm.llm.files import read_table
 from tonearm.llm.registry import ORACLES, QUERIES, query
 from tonearm.session import working_folder
@@ -53,6 +53,14 @@ def op5_mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, LANGUAGES, SMOOTHING).select("doc.doc_id", *names, "probability", "taken")
 
 
+@query("op8_near_texts")
+def op8_near_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the component of its links at 85 percent of three-word shingles."""
+    docs = read_table(spark, sf_dir, "documents")
+    found = near_text.near_duplicates(docs, near_text.Near(width=3, percent=85, bands=32, band_rows=6))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query("op9_host_rules", sql.HOST_RULES)
 def op9_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document by its own rules and by its host's."""
