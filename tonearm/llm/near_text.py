@@ -80,8 +80,8 @@ class Shingler(WordMemo):
         fresh = np.fromiter(map(xxhash.xxh3_64_intdigest, words), U64, len(words))
         self.hashes = np.concatenate([self.hashes, fresh])
 
-    def forget(self, size: int) -> None:
-        self.hashes = self.hashes[:size]
+    def keep(self, numbers: np.ndarray) -> None:
+        self.hashes = self.hashes[numbers]
 
     def sets(self, texts: list[bytes]) -> list[np.ndarray]:
         words: list[bytes] = []

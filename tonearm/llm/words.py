@@ -11,6 +11,8 @@ import numpy as np
 #: ASCII signs without the apostrophe, which tokenizers treat apart.
 SIGNS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'").encode()
 LETTERS_SIGNS = re.compile(b"([A-Za-z]+)([" + re.escape(SIGNS) + b"]*)")
+#: Stands for the end of a document among its words; no word holds a blank.
+END = b" "
 #: Bytes of text handled at once inside a task.
 CHUNK_BYTES = 8_000_000
 
@@ -45,39 +47,61 @@ class _Numbered(dict):
 class WordMemo:
     """Values computed once per distinct word and task, for a bounded number of words.
 
-    Words met after ``limit`` distinct ones are computed for their chunk only, so memory stays bounded.
+    Beyond ``limit`` distinct words, only those met more than once since the last time are kept, the most frequent
+    first, and at most half of the limit; a forgotten word is computed again when it comes back.
     """
 
     def __init__(self, limit: int = 300_000) -> None:
         self.limit = limit
         self.numbers = _Numbered()
+        self.met = np.zeros(0, np.int64)
 
     def compute(self, words: list[bytes]) -> None:
         """Append the values of new words."""
         raise NotImplementedError
 
-    def forget(self, size: int) -> None:
-        """Drop values beyond the first ``size`` words."""
+    def keep(self, numbers: np.ndarray) -> None:
+        """Keep the values of these words only, in this order."""
         raise NotImplementedError
 
     def look_up(self, words: Iterable[bytes], count: int) -> np.ndarray:
         numbers = np.fromiter(map(self.numbers.__getitem__, words), np.int64, count)
         if self.numbers.fresh:
             self.compute(self.numbers.fresh)
+            self.numbers.fresh = []
+        met = np.bincount(numbers, minlength=len(self.numbers))
+        met[: len(self.met)] += self.met
+        self.met = met
         return numbers
 
     def trim(self) -> None:
         """Call when the numbers of a chunk are no longer used."""
-        extra = len(self.numbers) - self.limit
-        if extra > 0:
-            for word in self.numbers.fresh[-extra:]:
-                del self.numbers[word]
-            self.forget(len(self.numbers))
-        self.numbers.fresh = []
+        if len(self.numbers) <= self.limit:
+            return
+        often = np.flatnonzero(self.met > 1)
+        if len(often) > self.limit // 2:
+            often = np.sort(often[np.argsort(-self.met[often], kind="stable")[: self.limit // 2]])
+        words = list(self.numbers)
+        self.numbers.clear()
+        for i in often.tolist():
+            self.numbers[words[i]] = len(self.numbers)
+        self.keep(often)
+        self.met = np.ones(len(often), np.int64)
+
+
+def folded(text: bytes) -> bytes:
+    """A to Z in lower case, where a tokenizer that ignores case cannot tell.
+
+    Texts with combining marks, which may compose with one case of a letter only, and with what looks like a special
+    token are left as they are.
+    """
+    if b"<|" in text or b"\xcc" in text or b"\xcd" in text:
+        return text
+    return text.lower()
 
 
 class TokenEncoder(WordMemo):
-    """Token ids of whole texts, by a tokenizer that drops white space and never merges across it.
+    """Token ids of whole texts, by a tokenizer that ignores case, drops white space and never merges across it.
 
     For such a tokenizer the ids of a text are those of its words one after the other, so the tokenizer runs once per
     distinct word. Text is cut at ASCII white space only; any other white space stays in the word and is left to the
@@ -96,13 +120,11 @@ class TokenEncoder(WordMemo):
         if self.mark:
             for token, number in self.tokenizer.get_vocab().items():
                 self.ends_word[number] = token.endswith(self.mark)
-        self.end = [] if end_id is None else [b" "]  # no word holds a blank
+        self.end = [] if end_id is None else [END]
         self.pool = np.zeros(0, np.uint32)
         self.sizes = np.zeros(0, np.int64)
         self.firsts = np.zeros(0, np.int64)
-        if end_id is not None:
-            self.numbers[b" "] = 0
-            self._append([[end_id]])
+        self.end_id = end_id
 
     def _append(self, ids: list[list[int]]) -> None:
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
@@ -118,10 +140,14 @@ class TokenEncoder(WordMemo):
         letters go to the tokenizer's model as they are; other letters go through the whole tokenizer, many at once.
         """
         runs, split = self.runs, LETTERS_SIGNS.fullmatch
+        if self.end:
+            runs[END] = [self.end_id]
         parts: list[tuple[bytes, bytes] | None] = []
         plain, letters, signs, whole = set(), set(), set(), []
         for word in words:
-            if self.mark and (found := split(word)):
+            if word == END:
+                part = (END, b"")
+            elif self.mark and (found := split(word)):
                 part = (found[1].lower(), found[2])
                 if part[0] not in runs:
                     plain.add(part[0])
@@ -135,7 +161,7 @@ class TokenEncoder(WordMemo):
                 part = (core, word[len(core) :])
                 if core not in runs:
                     letters.add(core)
-            if part[1] not in runs:
+            if part[1] and part[1] not in runs:
                 signs.add(part[1])
             parts.append(part)
         tokenize = self.tokenizer.model.tokenize
@@ -164,23 +190,26 @@ class TokenEncoder(WordMemo):
         for run, encoding in zip(runs, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
             self.runs[run] = encoding.ids
 
-    def forget(self, size: int) -> None:
-        self.firsts, self.sizes = self.firsts[:size], self.sizes[:size]
-        self.pool = self.pool[: int(self.firsts[-1] + self.sizes[-1]) if size else 0]
+    def keep(self, numbers: np.ndarray) -> None:
+        sizes = self.sizes[numbers]
+        ends = np.cumsum(sizes)
+        self.pool = self.pool[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.firsts[numbers] - (ends - sizes), sizes)]
+        self.sizes, self.firsts = sizes, ends - sizes
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and the number of ids of each text; the end id is counted."""
         words: list[bytes] = []
         counts = np.zeros(len(texts), np.int64)
         for i, text in enumerate(texts):
-            own = text.split() + self.end
+            own = folded(text).split() + self.end
             counts[i] = len(own)
             words += own
         numbers = self.look_up(words, len(words))
         sizes = self.sizes[numbers]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
-        places = np.arange(total) + np.repeat(self.firsts[numbers] - (ends - sizes), sizes)
+        places = np.arange(total, dtype=np.int32)  # a chunk has far fewer ids than that takes
+        places += np.repeat((self.firsts[numbers] - (ends - sizes)).astype(np.int32), sizes)
         ids = self.pool[places]
         upto = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
         self.trim()
