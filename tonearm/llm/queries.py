@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonearm.llm import host_rules, mixing, near_text, packing, sql, token_store, warc
+from tonearm.llm import host_rules, mixing, near_text, near_vectors, packing, sql, token_store, warc
 from tonearm.llm.files import read_table
 from tonearm.llm.registry import ORACLES, QUERIES, query
 from tonearm.session import working_folder
@@ -69,6 +69,12 @@ def op9_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc.doc_id", *host_rules.COUNTS, "base_failed", "kept")
 
 
+@query("op10_near_vectors")
+def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector with its number of links and the component of its links within its label."""
+    return near_vectors.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def all_queries() -> dict:
     return dict(QUERIES)
 
