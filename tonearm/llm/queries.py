@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonearm.llm import host_rules, mixing, near_text, near_vectors, packing, sql, token_store, warc
+from tonearm.llm import host_rules, mixing, near_text, near_vectors, packing, repeats, sql, token_store, warc
 from tonearm.llm.files import read_table
 from tonearm.llm.registry import ORACLES, QUERIES, query
 from tonearm.session import working_folder
@@ -37,6 +37,12 @@ def op2_web_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op3_repeated_passages")
+def op3_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages that documents before it have, and the spans removed."""
+    return repeats.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
 @query("op4_packed_sequences")
 def op4_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens: place of every piece."""
