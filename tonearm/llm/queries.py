@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonearm.llm import host_rules, mixing, near_text, near_vectors, packing, repeats, sql, token_store, warc
+from tonearm.llm import host_rules, mixing, near_text, near_vectors, packing, repeats, sql, surrogates, token_store, warc
 from tonearm.llm.files import read_table
 from tonearm.llm.registry import ORACLES, QUERIES, query
 from tonearm.session import working_folder
@@ -15,6 +15,8 @@ TOKENIZER = "word_bpe_49k.json"
 VOCABULARY = 49_408
 LANGUAGES = {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1}
 SMOOTHING = 0.7
+#: Stands for the secret that a deployment sets.
+SURROGATE_KEY = b"set this per corpus"
 
 
 @query("op1_token_files")
@@ -59,6 +61,14 @@ def op5_mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, LANGUAGES, SMOOTHING).select("doc.doc_id", *names, "probability", "taken")
 
 
+@query("op6_surrogates")
+def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with surrogates for its personal data and secrets, and where they were."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = surrogates.with_surrogates(docs, SURROGATE_KEY)
+    return made.select("doc.doc_id", "doc.text", F.size("replaced").cast("long").alias("n_replaced"), "replaced")
+
+
 @query("op8_near_texts")
 def op8_near_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the component of its links at 85 percent of three-word shingles."""
