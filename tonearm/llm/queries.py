@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonearm.llm import host_rules, mixing, near_text, near_vectors, packing, repeats, sql, surrogates, token_store, warc
+from tonearm.llm import host_rules, mixing, near_text, near_vectors, packing, quality_model, repeats, sql, surrogates, token_store, warc
 from tonearm.llm.files import read_table
 from tonearm.llm.registry import ORACLES, QUERIES, query
 from tonearm.session import working_folder
@@ -69,6 +69,21 @@ def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc.doc_id", "doc.text", F.size("replaced").cast("long").alias("n_replaced"), "replaced")
 
 
+@query("op7_quality_scores")
+def op7_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document by a model that the labels outside the held-out fold have taught."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_model.fit(docs, read_table(spark, sf_dir, "labels"))
+    scored = quality_model.score_documents(docs, model)
+    return scored.select(
+        "doc_id",
+        quality_model.in_fold().alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        "n_passages",
+    )
+
+
 @query("op8_near_texts")
 def op8_near_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the component of its links at 85 percent of three-word shingles."""
