@@ -173,6 +173,18 @@ def test_repeating_the_last_run_changes_nothing(spark, two_runs, rows):
     assert content() == before
 
 
+def test_runs_without_facts(spark, tmp_path):
+    root = str(tmp_path)
+    facts = spark.createDataFrame(
+        [(dt.date(2024, 1, 2), "a")], "date_actual date, track_key string"
+    )
+    warehouse.write_facts(facts.limit(0), root, "fact_playlist_track", 20240101)
+    assert warehouse.read_facts(spark, root, "fact_playlist_track").count() == 0
+    warehouse.write_facts(facts, root, "fact_playlist_track", 20240102)
+    assert warehouse.read_facts(spark, root, "fact_playlist_track").count() == 1
+    assert warehouse.read_facts(spark, root, "fact_playlist_track", before=20240102).count() == 0
+
+
 def test_day_without_extracts_loads_no_dimension(spark, two_runs):
     _, places = two_runs
     done = daily.run_day(spark, places, dt.date(2024, 2, 1))

@@ -85,14 +85,31 @@ def test_ids_are_worked_on_once(spark, tmp_path, rows):
 def test_repeated_batch_finds_the_same_ids(spark, tmp_path, rows):
     """A batch that failed after its tracking rows were written, and is run again."""
     root = str(tmp_path)
-    tracked = [("crawl_track", "track_id", i, dt.date(2024, 1, 2), b) for i, b in (("a", 0), ("z", 7))]
-    spark.createDataFrame(tracked, "function_name string, main_arg_name string, main_arg_value string, tracked_at date, batch bigint").write.partitionBy("batch", "function_name", "main_arg_name").parquet(f"{root}/tracking")
+    own = crawl.stream_id(f"{root}/checkpoint")
+    tracked = [("crawl_track", "track_id", i, dt.date(2024, 1, 2), own, b) for i, b in (("a", 0), ("z", 7))]
+    spark.createDataFrame(tracked, "function_name string, main_arg_name string, main_arg_value string, tracked_at date, stream string, batch bigint").write.partitionBy("stream", "batch", "function_name", "main_arg_name").parquet(f"{root}/tracking")
     crawl_arrives(spark, f"{root}/in", ["a", "z", "n"])
     run(spark, root)
     assert rows(spark.read.parquet(f"{root}/work").select(F.explode("ids"))) == [("a",), ("n",)]
     assert rows(crawl.read_tracking(spark, f"{root}/tracking"), "main_arg_value") == [("a",), ("n",), ("z",)]
 
 
+def test_streams_share_what_is_tracked(spark, tmp_path, rows):
+    """Another function's stream and a new checkpoint begin at batch 0 too and lose nothing."""
+    root = str(tmp_path)
+    crawl_arrives(spark, f"{root}/in", ["a", "b"])
+    for checkpoint, function in (("one", "f"), ("two", "g"), ("three", "f")):
+        crawl.run_frontier(
+            spark.readStream.schema(crawl.CRAWL_MESSAGE_DDL).parquet(f"{root}/in"), f"{root}/work_{checkpoint}",
+            f"{root}/tracking", f"{root}/{checkpoint}", frontier.TRACK_WEB, function, "track_id",
+            lambda: dt.date(2024, 1, 2), once=True,
+        ).awaitTermination()
+    tracked = rows(crawl.read_tracking(spark, f"{root}/tracking"), "function_name", "main_arg_value")
+    assert tracked == [("f", "a"), ("f", "b"), ("g", "a"), ("g", "b")]
+    third = spark.read.schema("ids array<string>").parquet(f"{root}/work_three")
+    assert third.select(F.explode("ids")).count() == 0
+
+
 def test_gate_by_function_argument_and_day(spark, rows):
     tracking = spark.createDataFrame(
         [("f", "id", "a", dt.date(2024, 1, 1)), ("f", "id", "b", dt.date(2024, 1, 2)), ("g", "id", "c", dt.date(2024, 1, 2))],

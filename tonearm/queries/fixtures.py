@@ -35,7 +35,7 @@ select cast(s_suppkey as string) as artist_id, case when s_suppkey % 9 = 0 then
     "src_artist_album": """
 select distinct cast(l_suppkey as string) as artist_id, cast(l_orderkey as string) as album_id from {lineitem}""",
     "src_artist_track": """
-select distinct cast(l_suppkey as string) as artist_id, cast(l_partkey as string) as track_id from {lineitem} where l_linenumber = 1""",
+select distinct cast(l_suppkey as string) as artist_id, cast(l_partkey as string) as track_id from {lineitem}""",
     "src_track": """
 select cast(p_partkey as string) as track_id, cast(album as string) as album_id, case when p_partkey % 8 = 0 then '' else p_name end as name, 'u/tr/' || cast(p_partkey as string) as url,
  case when p_partkey % 5 = 0 then null else cast(p_partkey % 2 + 1 as int) end as disc_number, cast(p_size * 10000 as int) as duration_ms,

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tonearm.operators import merge
+from tonearm.queries.oracle import STORED_FACTS
 from tonearm.queries.registry import query
 from tonearm.session import working_folder
 from tonearm.sources import warehouse
@@ -133,10 +134,11 @@ FACT_KEYS = ["added_date_key", "playlist_key", "user_key", "genre_key", "track_k
 
 @query(
     "g06_insert_absent",
-    """select s.* from fact_playlist_track s where not exists (select 1 from fact_playlist_track p
+    """select s.* from stored_facts s where not exists (select 1 from stored_facts p
       where p.genre_key >= 10 and s.added_date_key = p.added_date_key and s.playlist_key = p.playlist_key
       and s.user_key = p.user_key and s.genre_key = p.genre_key and s.track_key = p.track_key)
     and s.date_actual >= date '1997-01-01'""",
+    stored_facts=STORED_FACTS,
 )
 def insert_absent(c):
     """Staged facts since 1997 against facts of some genres, both stored."""

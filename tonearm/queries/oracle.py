@@ -80,6 +80,16 @@ where g.artist_key is not null""",
 }
 
 
+#: A fact that the checking SQL of a query reads more than once.
+STORED_FACTS = "materialized: select * from fact_playlist_track"
+
+
+def _cte(name: str, text: str) -> str:
+    if text.startswith("materialized:"):
+        return f"{name} as materialized ({text.removeprefix('materialized:').strip()})"
+    return f"{name} as ({text})"
+
+
 def with_ctes(sql: str, extra: dict[str, str] | None = None) -> str:
     """The SQL with every expression it uses, directly or not, put in front."""
     known = CTES | (extra or {})
@@ -95,5 +105,5 @@ def with_ctes(sql: str, extra: dict[str, str] | None = None) -> str:
     visit(sql)
     if not needed:
         return sql.strip()
-    head = ",\n".join(f"{name} as ({known[name].strip()})" for name in needed)
+    head = ",\n".join(_cte(name, known[name].strip()) for name in needed)
     return f"with {head}\n{sql.strip()}"

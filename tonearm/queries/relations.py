@@ -12,9 +12,12 @@ from tonearm.operators.lookup import not_in, open_versions
 from tonearm.operators.merge import key_range, match_sides
 from tonearm.operators.numbering import chunk_ids, dense_numbers
 from tonearm.plans import dims, frontier
+from tonearm.queries.oracle import STORED_FACTS
 from tonearm.queries.registry import query
 from tonearm.queries.warehouse import RUN_DATE
 from tonearm.schemas import UNKNOWN_INT
+from tonearm.session import working_folder
+from tonearm.sources import warehouse
 from tonearm.sources.lake import high_watermark
 
 FACT_KEYS = ["added_date_key", "playlist_key", "user_key", "genre_key", "track_key"]
@@ -64,13 +67,17 @@ def genre_key_lookup(c):
 
 @query(
     "c05_fact_anti_join",
-    """select s.* from fact_playlist_track s left join
-    (select * from fact_playlist_track where date_actual < date '1998-01-01') p
+    """select s.* from stored_facts s left join
+    (select * from stored_facts where date_actual < date '1998-01-01') p
     on s.added_date_key = p.added_date_key and s.playlist_key = p.playlist_key and s.user_key = p.user_key
     and s.genre_key = p.genre_key and s.track_key = p.track_key where p.track_key is null""",
+    stored_facts=STORED_FACTS,
 )
 def fact_anti_join(c):
-    staged = c.fact_playlist_track
+    """The fact is stored first, so that it is built once for both sides."""
+    root = working_folder(c.spark, "staging")
+    warehouse.write_staging(c.fact_playlist_track, root, "facts")
+    staged = warehouse.read_table(c.spark, root, "facts")
     held = staged.where("date_actual < '1998-01-01'").select(*FACT_KEYS)
     return staged.alias("s").join(held.alias("t"), same_keys("s", "t", FACT_KEYS), "left_anti")
 
@@ -312,7 +319,7 @@ def first_row_user(c):
 @query(
     "e05_surrogate_key",
     """select genre_key, name from known union all
-    select (select max(genre_key) from known) + row_number() over (order by name), name from genre_name
+    select coalesce((select max(genre_key) from known), 0) + row_number() over (order by name), name from genre_name
     where name not in (select name from known)""",
     known="""select row_number() over (order by name) as genre_key, name from
     (select distinct lower(g) as name from (select unnest(genres) as g from src_artist where followers_count > 8000))""",

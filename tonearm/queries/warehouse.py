@@ -48,35 +48,37 @@ def dim_track(c):
 @query(
     "h07_dim_date",
     """select d.date_key, d.date_actual, d.day_of_week, d.day_of_month, d.day_of_year, d.month_of_year,
-    d.month_name, d.quarter, d.year, d.is_weekend, count(*) as entries
-    from src_playlist_track e join dim_day d on d.date_actual = cast(substr(e.added_at, 1, 10) as date)
+    d.month_name, d.quarter, d.year, d.is_weekend, count(e.added_at) as entries
+    from dim_day d left join src_playlist_track e on d.date_actual = cast(substr(e.added_at, 1, 10) as date)
     group by all""",
 )
 def dim_date(c):
-    """The calendar days on which playlist entries were added."""
+    """All calendar days, with the number of playlist entries added on each."""
     from tonearm.functions.dates import date_of_text
 
     added = c.src_playlist_track.groupBy(date_of_text("added_at").alias("date_actual")).agg(
         F.count(F.lit(1)).alias("entries")
     )
     days = dims.calendar_days(c.spark)
-    return days.join(added, "date_actual").select(*days.columns, "entries")
+    found = days.join(added, "date_actual", "left")
+    return found.select(*days.columns, F.coalesce("entries", F.lit(0)).alias("entries"))
 
 
 @query(
     "h08_dim_date_special",
-    """select d.date_key, d.month_of_year, d.month_name, d.year, d.quarter, d.day_of_week, count(*) as albums
-    from dim_album a join dim_date d on a.release_date_key = d.date_key
+    """select d.date_key, d.month_of_year, d.month_name, d.year, d.quarter, d.day_of_week, count(a.album_key) as albums
+    from dim_date d left join dim_album a on a.release_date_key = d.date_key
     where d.date_actual is null group by all""",
 )
 def dim_date_special(c):
-    """The unknown, year and month members that album release dates need."""
+    """All unknown, year and month members, with the number of albums released then."""
     albums = c.dim_album.groupBy(F.col("release_date_key").alias("date_key")).agg(
         F.count(F.lit(1)).alias("albums")
     )
     return (
         dims.special_dates(c.spark)
-        .join(albums, "date_key")
+        .join(albums, "date_key", "left")
+        .withColumn("albums", F.coalesce("albums", F.lit(0)))
         .select("date_key", "month_of_year", "month_name", "year", "quarter", "day_of_week", "albums")
     )
 

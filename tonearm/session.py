@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -38,17 +37,12 @@ def tune(spark: SparkSession) -> SparkSession:
 def working_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for tables a job writes and reads back.
 
-    It lies in the shared folder named by ``spark.checkpoint.dir``. Only a local session
-    without that setting gets a folder on this machine.
+    It lies in the shared folder named by ``spark.checkpoint.dir`` or, where that is unset, in
+    the warehouse, which all executors share as well.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    name = f"{purpose}-{uuid.uuid4().hex}"
-    if shared:
-        return f"{shared.rstrip('/')}/{name}"
-    master = spark.conf.get("spark.master", "local")
-    if not master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix=f"tonearm-{purpose}-")
+    shared = shared or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/working"
+    return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
 def side_by_side(jobs: Sequence[Callable[[], Result]], at_once: int = 4) -> list[Result]:

@@ -10,11 +10,13 @@ Folders of a run that never committed are not read.
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructType
 
 from tonearm.schemas import UNKNOWN_DATE_KEY
 from tonearm.sources.lake import path_of, read_if_exists
@@ -33,8 +35,9 @@ def read_table(spark: SparkSession, root: str, table: str, fmt: str = "parquet")
     return read_if_exists(spark.read, path_of(root, table), fmt)
 
 
-def _commit(spark: SparkSession, root: str, table: str, run: int) -> None:
-    done = spark.range(1).select(F.lit(run).alias("run"))
+def _commit(spark: SparkSession, root: str, table: str, run: int, schema: StructType) -> None:
+    """Make a run visible, and note which columns it wrote: a run without rows leaves no file that tells."""
+    done = spark.range(1).select(F.lit(run).alias("run"), F.lit(schema.json()).alias("columns"))
     done.write.mode("overwrite").parquet(f"{path_of(root, table)}/commits/run_{run}")
 
 
@@ -50,6 +53,13 @@ def committed_runs(
     return sorted(row["run"] for row in commits.dropDuplicates().collect())
 
 
+def _rows(spark: SparkSession, root: str, table: str, run: int) -> DataFrame:
+    """The rows of all runs with the columns that a run noted."""
+    noted = spark.read.schema("columns string").parquet(f"{path_of(root, table)}/commits/run_{run}").first()
+    schema = StructType.fromJson(json.loads(noted["columns"])).add("run", IntegerType())
+    return spark.read.schema(schema).parquet(f"{path_of(root, table)}/rows")
+
+
 def latest_run(spark: SparkSession, root: str, table: str, before: int | None = None) -> int | None:
     """The last committed run."""
     runs = committed_runs(spark, root, table, before)
@@ -60,7 +70,7 @@ def write_snapshot(df: DataFrame, root: str, table: str, run: int) -> None:
     """A whole new content of a table."""
     spark = df.sparkSession
     df.write.mode("overwrite").parquet(f"{path_of(root, table)}/rows/run={run}")
-    _commit(spark, root, table, run)
+    _commit(spark, root, table, run, df.schema)
 
 
 def read_snapshot(
@@ -79,14 +89,9 @@ def write_versions(df: DataFrame, root: str, table: str, run: int) -> None:
     """
     spark = df.sparkSession
     is_open = F.col("valid_to").isNull()
-    state = F.when(is_open, "open").otherwise("closed")
-    (
-        df.withColumn("state", state)
-        .write.mode("overwrite")
-        .partitionBy("state")
-        .parquet(f"{path_of(root, table)}/rows/run={run}")
-    )
-    _commit(spark, root, table, run)
+    rows = df.withColumn("state", F.when(is_open, "open").otherwise("closed"))
+    rows.write.mode("overwrite").partitionBy("state").parquet(f"{path_of(root, table)}/rows/run={run}")
+    _commit(spark, root, table, run, rows.schema)
 
 
 def read_versions(
@@ -96,7 +101,7 @@ def read_versions(
     runs = committed_runs(spark, root, table, before)
     if not runs:
         return None
-    df = spark.read.parquet(f"{path_of(root, table)}/rows")
+    df = _rows(spark, root, table, runs[-1])
     in_force = (F.col("run") == runs[-1]) & (F.col("state") == "open")
     history = F.col("run").isin(runs) & (F.col("state") == "closed")
     return df.where(in_force if open_only else in_force | history).drop("run", "state")
@@ -157,21 +162,24 @@ def write_facts(df: DataFrame, root: str, table: str, run: int) -> None:
     """
     spark = df.sparkSession
     layout = FACT_LAYOUT[table]
+    laid_out = df.withColumn(layout.column, layout.value())
     (
-        df.withColumn(layout.column, layout.value())
-        .hint("rebalance", layout.column)
+        laid_out.hint("rebalance", layout.column)
         .write.mode("overwrite")
         .partitionBy(layout.column)
         .parquet(f"{path_of(root, table)}/rows/run={run}")
     )
-    _commit(spark, root, table, run)
+    _commit(spark, root, table, run, laid_out.schema)
 
 
 def read_facts(
     spark: SparkSession, root: str, table: str, before: int | None = None
 ) -> DataFrame | None:
-    """All rows of committed runs; for tables to which each run adds."""
+    """All rows of committed runs; for tables to which each run adds.
+
+    The columns are those of the last commit, so runs without facts can be read too.
+    """
     runs = committed_runs(spark, root, table, before)
     if not runs:
         return None
-    return spark.read.parquet(f"{path_of(root, table)}/rows").where(F.col("run").isin(runs))
+    return _rows(spark, root, table, runs[-1]).where(F.col("run").isin(runs))

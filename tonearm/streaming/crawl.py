@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,14 +24,21 @@ def distinct_ids_by_topic(messages: DataFrame) -> DataFrame:
     return messages.where(good).select("topic", "object_id").dropDuplicates()
 
 
-def read_tracking(spark: SparkSession, path: str, other_than_batch: int | None = None) -> DataFrame:
-    """Tracked work, without what a repeated micro-batch wrote itself."""
-    tracking = read_if_exists(spark.read.schema(f"{TRACKING_DDL}, batch bigint"), path)
+def stream_id(checkpoint: str) -> str:
+    """Name of the stream that a checkpoint belongs to: batch numbers are its own only."""
+    return hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()
+
+
+def read_tracking(spark: SparkSession, path: str, other_than: tuple[str, int] | None = None) -> DataFrame:
+    """Tracked work of all streams, without what a repeated micro-batch of a stream wrote itself."""
+    schema = f"{TRACKING_DDL}, stream string, batch bigint"
+    tracking = read_if_exists(spark.read.schema(schema), path)
     if tracking is None:
-        tracking = spark.createDataFrame([], f"{TRACKING_DDL}, batch bigint")
-    if other_than_batch is not None:
-        tracking = tracking.where(F.col("batch") != other_than_batch)
-    return tracking.drop("batch")
+        tracking = spark.createDataFrame([], schema)
+    if other_than is not None:
+        stream, batch = other_than
+        tracking = tracking.where((F.col("stream") != stream) | (F.col("batch") != batch))
+    return tracking.drop("stream", "batch")
 
 
 def frontier_batch(
@@ -62,16 +70,18 @@ def run_frontier(
 ) -> StreamingQuery:
     """Turn crawl messages into chunks of ids to fetch, and record them as tracked.
 
-    Each micro-batch writes to folders carrying its number and overwrites them when repeated.
+    Each micro-batch writes to folders carrying its stream and number and overwrites them when
+    repeated; a stream is what has one checkpoint. The gate sees what all streams have tracked.
     The chunks are written first and the tracking rows are taken from them, so a repeat after a
     failure between the two finds the same ids.
     """
+    stream = stream_id(checkpoint)
 
     def handle(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        tracking = read_tracking(spark, tracking_path, other_than_batch=number)
+        tracking = read_tracking(spark, tracking_path, other_than=(stream, number))
         ids = frontier_batch(batch, tracking, topic, function_name, arg_name, refresh)
-        work = f"{work_path}/batch={number}"
+        work = f"{work_path}/stream={stream}/batch={number}"
         chunk_ids(ids, "object_id", chunk, shards).write.mode("overwrite").parquet(work)
         taken = spark.read.parquet(work).select(F.explode("ids").alias("object_id"))
         rows = frontier.newly_tracked(
@@ -79,7 +89,7 @@ def run_frontier(
         )
         # the gate asks for one function and argument, so these are folders
         rows.write.mode("overwrite").partitionBy("function_name", "main_arg_name").parquet(
-            f"{tracking_path}/batch={number}"
+            f"{tracking_path}/stream={stream}/batch={number}"
         )
 
     writer = messages.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
