@@ -2,10 +2,11 @@
 
 1. Every document gets the set of its distinct shingles (64-bit hashes), a MinHash signature and band keys.
 2. Documents of one set are one class; from here on a class has one node, so exact copies cost nothing more.
-3. Nodes that share a band key are candidates. In a first pass each node of a bucket is compared with the bucket's
-   smallest node only, and links found this way are closed to components. In a second pass only nodes of one bucket
-   that lie in different components are compared. Pairs inside a component need no comparison, so a bucket of n near
-   copies costs n comparisons, and still every pair of a bucket is either compared or connected.
+3. Nodes that share a band key are candidates. First each node of a bucket is compared with one node of it, the
+   bucket's pivot; pivots are drawn by one of several orders of the nodes, so a node meets several pivots. Links found
+   are closed to components, order by order, and pairs inside a component are not looked at again. At last the nodes of
+   a bucket that still lie in different components are compared with each other. So a bucket of n near copies costs
+   some n comparisons, and still every pair of a bucket is either compared or connected.
 4. A pair's signatures are compared in batches. After each batch the pair is dropped if the posterior probability that
    its similarity reaches the threshold falls below the chosen miss probability.
 5. Pairs that survive all batches are verified on their full sets.
@@ -36,7 +37,8 @@ SIGNED = "doc_id long, text_key long, n_shingles long, set_high long, set_low lo
 
 @dataclass(frozen=True)
 class Near:
-    """Shingle width, similarity in percent from which documents are linked, and the shape of the signatures.
+    """Shingle width, similarity in percent from which documents are linked, the shape of the signatures, the miss
+    probability of pruning, and the number of orders by which pivots are drawn.
 
     ``bands`` times ``band_rows`` hashes: with 32 bands of 6, a pair at 85 percent shares no band once in four million,
     one at 80 percent once in fifteen thousand.
@@ -48,6 +50,7 @@ class Near:
     band_rows: int = 5
     batch: int = 48
     miss: float = 1e-9
+    orders: int = 9
     seed: int = 7
 
     @property
@@ -139,7 +142,10 @@ def set_digest(shingles: np.ndarray) -> tuple[int, int]:
 
 
 def sign(docs: DataFrame, near: Near) -> DataFrame:
-    """Digest of the shingle set, signature and band keys of each row; stored with a number for each row."""
+    """Digest of the shingle set, signature and band keys of each row; stored with a number for each row.
+
+    Of each hash of the signature 16 bits are kept; that two hashes agree in them by chance can only keep a pair.
+    """
     names = ["doc_id", "text_key", "n_shingles", "set_high", "set_low", "bands", "signature"]
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,7 +164,7 @@ def sign(docs: DataFrame, near: Near) -> DataFrame:
                     pa.array([d[0] for d in digests], pa.int64()),
                     pa.array([d[1] for d in digests], pa.int64()),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys)),
-                    pa.array([s.tobytes() for s in signatures], pa.binary()),
+                    pa.array([s.tobytes() for s in signatures.astype(np.uint16)], pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
@@ -196,34 +202,29 @@ def plausible(left: np.ndarray, right: np.ndarray, near: Near) -> np.ndarray:
 
 
 def prune(pairs: DataFrame, signatures: DataFrame, near: Near) -> DataFrame:
-    """The pairs (a, b) of nodes whose signatures do not rule a link out; stored."""
+    """The pairs (a, b, turn) of nodes whose signatures do not rule a link out; stored."""
 
     def matrix(column: pa.Array) -> np.ndarray:
-        return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(len(column), near.hashes)
+        return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), near.hashes)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = pa.array(plausible(matrix(batch.column(2)), matrix(batch.column(3)), near))
-            yield batch.select([0, 1]).take(rows)
+            rows = pa.array(plausible(matrix(batch.column(3)), matrix(batch.column(4)), near))
+            yield batch.select([0, 1, 2]).take(rows)
 
     a = signatures.select(F.col("node").alias("a"), F.col("signature").alias("signature_a"))
     b = signatures.select(F.col("node").alias("b"), F.col("signature").alias("signature_b"))
-    both = pairs.join(a, "a").join(b, "b").select("a", "b", "signature_a", "signature_b")
-    return stored(both.mapInArrow(kept, "a long, b long"), "plausible-pairs")
-
-
-def linked(shared: Column, size_a: Column, size_b: Column, percent: int) -> Column:
-    return 100 * shared >= percent * (size_a + size_b - shared)
+    both = pairs.join(a, "a").join(b, "b").select("a", "b", "turn", "signature_a", "signature_b")
+    return stored(both.mapInArrow(kept, "a long, b long, turn int"), "plausible-pairs")
 
 
-def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, near: Near) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets are similar enough; stored.
+def shingle_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, near: Near) -> DataFrame:
+    """node and its whole set of shingles, made again from the texts of these nodes only; stored.
 
-    Sets are made again from the texts of the nodes in question only. A doc_id finds the text; where rows share a
-    doc_id, the digest of the set tells which is meant.
+    A doc_id finds the text; where rows share a doc_id, the digest of the set tells which is meant.
     """
-    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = stored(classes.join(nodes, "node").select("node", F.col("least_id").alias("wanted_id"), "set_high", "set_low"), "wanted")
+    wanted = classes.join(nodes, "node").select("node", F.col("least_id").alias("wanted_id"), "set_high", "set_low")
+    wanted = stored(wanted, "wanted-nodes")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(near.width)
@@ -232,32 +233,50 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, near: Near) ->
                 own = shingler.sets(texts)
                 keys = zip(batch.column(1)[first:].to_pylist(), batch.column(2)[first:].to_pylist())
                 right = [k for k, (s, key) in enumerate(zip(own, keys)) if set_digest(s) == key]
-                nodes = batch.column(0).slice(first, len(texts)).take(pa.array(right, pa.int64()))
+                found = batch.column(0).slice(first, len(texts)).take(pa.array(right, pa.int64()))
                 values = pa.array([own[k].view(np.int64) for k in right], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([nodes, values], ["node", "shingles"])
+                yield pa.RecordBatch.from_arrays([found, values], ["node", "shingles"])
 
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(
-        wanted, F.col("doc_id").eqNullSafe(F.col("wanted_id"))
-    )
-    found = stored(
-        texts.select("node", "set_high", "set_low", "text").mapInArrow(sets, "node long, shingles array<long>"), "shingle-sets"
-    )
-    a = found.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
-    b = found.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted_id"))).select("node", "set_high", "set_low", "text")
+    return stored(texts.mapInArrow(sets, "node long, shingles array<long>"), "shingle-sets")
+
+
+def linked(shared: Column, size_a: Column, size_b: Column, percent: int) -> Column:
+    return 100 * shared >= percent * (size_a + size_b - shared)
+
+
+def verify(pairs: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
+    """The pairs (a, b) whose full shingle sets are similar enough; stored."""
+    a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
+    b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
     shared = F.size(F.array_intersect("of_a", "of_b"))
-    links = pairs.join(a, "a").join(b, "b").where(linked(shared, F.size("of_a"), F.size("of_b"), near.percent))
+    both = pairs.select("a", "b").join(a, "a").join(b, "b")
+    links = both.where(linked(shared, F.size("of_a"), F.size("of_b"), near.percent))
     return stored(links.select("a", "b").distinct(), "links")
 
 
-def bucket_members(nodes: DataFrame) -> DataFrame:
-    """key, node and first (the bucket's smallest node) of all buckets of two nodes and more; stored."""
-    rows = nodes.select("node", F.explode("bands").alias("key"))
-    buckets = rows.groupBy("key").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    return stored(rows.join(buckets, "key").select("key", "node", "first", "n"), "bucket-members")
+def bucket_members(signed: DataFrame, classes: DataFrame, near: Near) -> DataFrame:
+    """key, node, first (the bucket's pivot), n and turn (the pivot's order) of all buckets of two nodes or more; stored."""
+    nodes = signed.select(F.col("row").alias("node"), "bands").join(classes.select("node"), "node")
+    rows = nodes.select("node", F.posexplode("bands").alias("band", "key"))
+    rows = rows.select("node", "key", (F.col("band") % near.orders).alias("turn"))
+    rank = F.struct(F.xxhash64("node", "turn").alias("rank"), F.col("node"))
+    buckets = rows.groupBy("key").agg(F.min(rank).alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    buckets = buckets.select("key", F.col("pivot.node").alias("first"), "n")
+    return stored(rows.join(buckets, "key").select("key", "node", "first", "n", "turn"), "bucket-members")
+
+
+def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs whose nodes are not known to be connected."""
+    a = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
+    b = roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
+    both = pairs.join(a, "a", "left").join(b, "b", "left")
+    return both.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select(*pairs.columns)
 
 
 def across(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of nodes that share a bucket of three nodes and more but not a component."""
+    """Pairs of nodes that share a bucket of three nodes or more but not a component."""
     labelled = stored(
         members.where("n > 2")
         .join(roots, "node", "left")
@@ -275,6 +294,30 @@ def across(members: DataFrame, roots: DataFrame) -> DataFrame:
     return crossed.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
+def nodes_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+
+
+def connect(members: DataFrame, signed: DataFrame, classes: DataFrame, docs: DataFrame, near: Near) -> DataFrame:
+    """node and root of all nodes that a link connects to a smaller one."""
+    signatures = signed.select(F.col("row").alias("node"), "signature").join(members.select("node").distinct(), "node")
+    signatures = stored(signatures, "candidate-signatures")
+    pairs = members.where("node <> first").select(F.least("first", "node").alias("a"), F.greatest("first", "node").alias("b"), "turn")
+    open_ = prune(pairs.groupBy("a", "b").agg(F.min("turn").cast("int").alias("turn")), signatures, near)
+    sets = shingle_sets(nodes_of(open_), classes, docs, near)
+    links = verify(open_.where("turn = 0"), sets, near)
+    roots = components(links)
+    low = 1
+    while low < near.orders:  # fewer and fewer pairs are left, so more orders go at once
+        own = open_.where((F.col("turn") >= low) & (F.col("turn") < 3 * low))
+        links = links.unionByName(verify(apart(own, roots), sets, near))
+        roots = components(links)
+        low *= 3
+    last = prune(across(members, roots).withColumn("turn", F.lit(0)), signatures, near)
+    more = shingle_sets(nodes_of(last).join(sets.select("node"), "node", "left_anti"), classes, docs, near)
+    return components(links.unionByName(verify(last, sets.unionByName(more), near)))
+
+
 def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
     """doc_id, text_key (hash of the text), n_shingles, component_id and kept, one row per row of ``docs``.
 
@@ -289,14 +332,7 @@ def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
         signed.where("n_shingles > 0").groupBy(*key).agg(F.min("row").alias("node"), F.min("doc_id").alias("least_id")),
         "shingle-classes",
     )
-    of_node = signed.join(classes.select(F.col("node").alias("row")), "row")
-    nodes = stored(of_node.select(F.col("row").alias("node"), "bands", "signature"), "nodes")
-    members = bucket_members(nodes)
-    first = members.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    links = verify(prune(first, nodes, near), classes, docs, near)
-    roots = components(links)
-    second = verify(prune(across(members, roots), nodes, near), classes, docs, near)
-    roots = components(links.unionByName(second))
+    roots = connect(bucket_members(signed, classes, near), signed, classes, docs, near)
     rooted = classes.join(roots, "node", "left").select(*key, "least_id", F.coalesce("root", "node").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
     of_class = stored(rooted.join(least, "root").select(*key, "component_id"), "class-components")
