@@ -84,7 +84,7 @@ def op7_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op8_near_texts")
+@query("op8_near_texts", sql.NEAR_TEXTS)
 def op8_near_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the component of its links at 85 percent of three-word shingles."""
     docs = read_table(spark, sf_dir, "documents")
@@ -100,7 +100,7 @@ def op9_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc.doc_id", *host_rules.COUNTS, "base_failed", "kept")
 
 
-@query("op10_near_vectors")
+@query("op10_near_vectors", sql.NEAR_VECTORS)
 def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector with its number of links and the component of its links within its label."""
     return near_vectors.near_vectors(read_table(spark, sf_dir, "embeddings"))

@@ -88,3 +88,51 @@ select doc_id, r.source, r.lang, r.topic, least(1.0, round(factor, 9)) as probab
         < least(1.0, round(factor, 9)) as taken
 from rows r join {last} f using (source, lang, topic)
 """
+
+
+def reached(nodes: str, key: str) -> str:
+    """The smallest node that ``links`` (a, b, both ways) reach from each row of ``nodes``."""
+    return f"""reach(a, b) as (
+    select {key}, {key} from {nodes} union select r.a, l.b from reach r join links l on l.a = r.b
+), component as (select a as {key}, min(b) as component_id from reach group by 1)"""
+
+
+NEAR_VECTORS = f"""
+with recursive vectors as (
+    select vec_id, label, embedding::double[] as e,
+        label is not null and embedding is not null and len(embedding) > 0
+        and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+        and len(list_filter(embedding, lambda x: x <> 0)) > 0 as usable
+    from embeddings
+), sized as (select vec_id, label, e, sqrt(list_dot_product(e, e)) as size from vectors where usable
+), links as (
+    select x.vec_id as a, y.vec_id as b from sized x join sized y
+    on x.label = y.label and x.vec_id <> y.vec_id and len(x.e) = len(y.e)
+        and list_dot_product(x.e, y.e) / (x.size * y.size) >= 0.98
+), {reached("vectors", "vec_id")}, degree as (select a as vec_id, count(*) as n_links from links group by 1)
+select vec_id, coalesce(n_links, 0) as n_links, component_id, vec_id = component_id as kept
+from vectors join component using (vec_id) left join degree using (vec_id)
+"""
+
+NEAR_TEXTS = rf"""
+with recursive texts as (
+    select doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws
+    from documents
+), shingles as (
+    select distinct doc_id, unnest(case when len(ws) >= 3
+        then list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])
+        when len(ws) > 0 then [array_to_string(ws, ' ')] end) as s
+    from texts
+), sizes as (select doc_id, count(*) as n from shingles group by 1
+), shared as (
+    select x.doc_id as a, y.doc_id as b, count(*) as n from shingles x join shingles y
+    on x.s = y.s and x.doc_id < y.doc_id group by all
+), near as (
+    select a, b from shared join sizes p on p.doc_id = a join sizes q on q.doc_id = b
+    where 100 * shared.n >= 85 * (p.n + q.n - shared.n)
+), links as (select a, b from near union all select b, a from near
+), {reached("texts", "doc_id")}
+select doc_id, coalesce(n, 0) as n_shingles, component_id, doc_id = component_id as kept
+from texts join component using (doc_id) left join sizes using (doc_id)
+"""
