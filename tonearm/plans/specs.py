@@ -15,7 +15,8 @@ class DimensionSpec:
     columns: tuple[str, ...]
     compared: tuple[str, ...]
     staging_format: str = "parquet"
-    # staged from the whole history, so as large as the dimension itself
+    # staged from the whole history, so as large as the dimension itself; a backfill is that too, and must merge
+    # with the strategy "full", which reads each side once
     whole: bool = False
 
     @property

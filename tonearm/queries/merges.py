@@ -79,7 +79,8 @@ SCD2 = f"""select * from track_day1 where valid_to is not null union all
 
 @query("g02_scd2_merge", SCD2)
 def scd2_merge(c):
-    return merge.scd2(c.track_day1, c.track_day2, ["track_key"], DAY2.date())
+    """Both sides are alike in size, so each is read and shuffled once."""
+    return merge.scd2(c.track_day1, c.track_day2, ["track_key"], DAY2.date(), strategy="full")
 
 
 @query("g02_scd2_second_run", SCD2)
@@ -91,7 +92,8 @@ def scd2_second_run(c):
 
 @query("g04_scd2_full", SCD2)
 def scd2_full(c):
-    return merge.scd2(c.track_day1, c.track_day2, ["track_key"], DAY2.date(), strategy="full")
+    """The same rows from the form that leaves the target in place."""
+    return merge.scd2(c.track_day1, c.track_day2, ["track_key"], DAY2.date(), strategy="delta")
 
 
 @query(
@@ -111,7 +113,7 @@ def scd2_two_keys(c):
         return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
     target = c.versioned(counts("R"))
-    return merge.scd2(target, counts("A"), ["artist_id", "album_id"], DAY2.date())
+    return merge.scd2(target, counts("A"), ["artist_id", "album_id"], DAY2.date(), strategy="full")
 
 
 # ---- checks and inserts ----------------------------------------------------------------------

@@ -285,8 +285,10 @@ def replacing_latest(c):
     where track_id in (select track_id from src_track)""",
 )
 def distinct_ids(c):
-    joined = c.src_track.join(c.src_playlist_track, "track_id", "left")
-    return dedup.distinct_ids(joined, {"album": "album_id", "track": "track_id", "playlist": "playlist_id"})
+    """Ids of each side by itself, so that no join product is exploded and deduplicated."""
+    entries = c.src_playlist_track.join(c.src_track, "track_id", "left_semi")
+    of_tracks = dedup.distinct_ids(c.src_track, {"album": "album_id", "track": "track_id"})
+    return of_tracks.unionByName(dedup.distinct_ids(entries, {"playlist": "playlist_id"}))
 
 
 # ---- numbering ----------------------------------------------------------------------------------
