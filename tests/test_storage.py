@@ -158,6 +158,17 @@ def test_fact_keys_resolve(spark, two_runs):
         assert facts.join(dates, spec.partition_key, "left_anti").count() == 0
 
 
+def test_no_playlist_entry_is_lost(spark, two_runs):
+    """Entries that came before their track's artists have facts once these are known; others stay pending."""
+    _, places = two_runs
+    read = lambda name: lake.read_lake(spark, places.lake, SOURCE_TABLES[name])
+    artists = daily.read_dimension(spark, places.warehouse, "dim_artist").select(F.col("artist_key").alias("artist_id"))
+    known = read("artist_track").join(artists, "artist_id", "left_semi").select("track_id")
+    due = read("playlist_track").join(known, "track_id", "left_semi").select(F.col("track_id").alias("track_key"))
+    facts = warehouse.read_facts(spark, places.warehouse, "fact_playlist_track")
+    assert due.join(facts, "track_key", "left_anti").count() == 0
+
+
 def test_repeating_the_last_run_changes_nothing(spark, two_runs, rows):
     _, places = two_runs
     names = list(FACTS) + ["dim_track", "dim_artist", "dim_album"]

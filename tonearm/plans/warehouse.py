@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tonearm.functions.dates import audit_stamps
+from tonearm.operators.lookup import not_in
 from tonearm.operators.merge import insert_absent, key_range, scd1, scd2_open_rows
 from tonearm.plans import dims, facts, marts
 from tonearm.plans.specs import DIMENSIONS, FACTS, DimensionSpec, FactSpec
@@ -122,8 +123,23 @@ def candidate_tracks(
     return tracks if pending is None else tracks.unionByName(pending)
 
 
+PENDING_ENTRIES = "pending_entries"
+ENTRY_COLUMNS = ["playlist_id", "track_id", "added_at"]
+
+
+def candidate_entries(spark: SparkSession, places: Places, run_date: dt.date) -> DataFrame | None:
+    """Playlist entries of the day and those that earlier runs found no artist for."""
+    run = warehouse.run_number(run_date)
+    entries = read_lake(spark, places.lake, SOURCE_TABLES["playlist_track"], run_date)
+    pending = warehouse.read_snapshot(spark, places.warehouse, PENDING_ENTRIES, before=run)
+    if entries is None:
+        return pending
+    entries = entries.select(*ENTRY_COLUMNS)
+    return entries if pending is None else entries.unionByName(pending).dropDuplicates()
+
+
 def stage_facts(spark: SparkSession, places: Places, run_date: dt.date) -> list[str]:
-    """Stage the facts of the day; album tracks that earlier runs could not place are tried again."""
+    """Stage the facts of the day; tracks and entries that earlier runs could not place are tried again."""
     run = warehouse.run_number(run_date)
     dimension = {
         name: read_dimension(spark, places.warehouse, name, before=run + 1)
@@ -142,11 +158,15 @@ def stage_facts(spark: SparkSession, places: Places, run_date: dt.date) -> list[
         warehouse.write_snapshot(pending, places.warehouse, PENDING, run)
         staged.append("fact_album_track")
 
-    entries = read_lake(spark, places.lake, SOURCE_TABLES["playlist_track"], run_date)
+    entries = candidate_entries(spark, places, run_date)
     artist_track = read_lake(spark, places.lake, SOURCE_TABLES["artist_track"])
     needed = [artist_track, dimension["dim_playlist"], dimension["dim_artist"], dimension["dim_genre"]]
     if not missing_or_empty(entries) and all(df is not None for df in needed):
         _stage(facts.playlist_track(entries, *needed), places, run, "fact_playlist_track")
+        placed = warehouse.read_table(spark, places.staging_of(run), "fact_playlist_track")
+        placed = placed.select(F.col("track_key").alias("track_id"))
+        unplaced = not_in(entries.select(*ENTRY_COLUMNS), placed, ["track_id"])
+        warehouse.write_snapshot(unplaced, places.warehouse, PENDING_ENTRIES, run)
         staged.append("fact_playlist_track")
     return staged
 
