@@ -123,4 +123,5 @@ def test_packing_rounds_come_close_to_the_bound(spark):
     pieces = spark.createDataFrame([(i, int(n)) for i, n in enumerate(lengths)], "piece_row long, length long")
     placed = packing.place(pieces, 2048, group_pieces=500)
     assert placed.count() == 6000
-    assert placed.select("sequence_id").distinct().count() <= 1.02 * -(-lengths.sum() // 2048)
+    least = max(-(-lengths.sum() // 2048), (lengths > 1024).sum())  # two of more than half do not share one
+    assert placed.select("sequence_id").distinct().count() <= 1.03 * least  # one pass of the rule takes 1.045
