@@ -63,7 +63,7 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], sweeps: int = SWEEP
     """Cells with the factor that makes their tokens meet all targets.
 
     One sweep scales the cells to each margin in turn. Cells of a category without tokens or target keep their factor.
-    Each sweep is stored, so the plan stays short and a lost executor costs one sweep.
+    Each step is stored, as it reads the cells twice: the plan stays short and a lost executor costs one step.
     """
     total = cells.agg(F.sum("tokens")).first()[0] or 0.0
     targets = {name: stored(frame, f"target-{name}") for name, frame in targets.items()}
@@ -75,8 +75,7 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], sweeps: int = SWEEP
             scale = F.col("share") * total / F.col("mass")
             scales = mass.join(target.withColumnRenamed("category", key), key).select(key, scale.alias("scale"))
             fitted = fitted.join(scales, key, "left").withColumn("factor", F.col("factor") * F.coalesce("scale", F.lit(1.0)))
-            fitted = fitted.drop("scale")
-        fitted = stored(fitted, "raked-cells")
+            fitted = stored(fitted.drop("scale"), "raked-cells")
     return fitted
 
 
