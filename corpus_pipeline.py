@@ -33,8 +33,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn so that sources, languages and topics come closer to their target shares."""
-    return mixing.mix(docs, LANGUAGES, SMOOTHING).where("taken").select("doc.*")
+    """Documents drawn and repeated so that sources, languages and topics have their target shares."""
+    return mixing.repeated(mixing.mix(docs, LANGUAGES, SMOOTHING))
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -102,6 +102,29 @@ def test_mixing_edge_rows(spark):
     assert mixing.mix(docs(spark, []), LANGUAGES).count() == 0
 
 
+def test_sampled_tokens_meet_all_targets(spark):
+    random = np.random.default_rng(3)
+    forms = {"table": "a | b ", "contact": "a@b ", "brief": ""}
+    rows = []
+    for i in range(6000):
+        lang, source = random.choice(["en", "de", "fr", "es"], p=[0.85, 0.09, 0.04, 0.02]), random.choice(["s", "t"], p=[0.9, 0.1])
+        text = forms[random.choice(list(forms), p=[0.1, 0.05, 0.85])] + " ".join(["w"] * int(random.integers(20, 60)))
+        rows.append((i, text, str(lang), str(source), len(text)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    margins = {"source": mixing.F.col("source"), "lang": mixing.F.col("lang"), "topic": mixing.form_of(mixing.F.col("text"))}
+    cells = mixing.token_cells(frame, margins, mixing.word_count(mixing.F.col("text")))
+    targets = {n: mixing.smoothed(cells, n, 0.7) for n in ("source", "topic")} | {"lang": mixing.fixed(cells, "lang", LANGUAGES)}
+    mixed = corpus_pipeline.source_mix(spark, frame, SMALL)
+    assert mixed.columns == frame.columns
+    drawn = mixing.token_cells(mixed, margins, mixing.word_count(mixing.F.col("text"))).collect()
+    total = sum(r.tokens for r in drawn)
+    assert total == pytest.approx(sum(r.tokens for r in cells.collect()), rel=0.03)
+    for name, target in targets.items():
+        for r in target.collect():
+            share = sum(c.tokens for c in drawn if c[f"margin_{name}"] == r.category) / total
+            assert share == pytest.approx(r.share, abs=0.015), (name, r.category)
+
+
 # ---- repeated passages ----------------------------------------------------------------------------
 
 

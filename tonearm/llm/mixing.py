@@ -1,8 +1,9 @@
 """Documents sampled so that sources, languages and topics take target shares of the tokens.
 
 Tokens are added up by cell, a cell being a source, language and topic that occur together. Iterative proportional
-fitting multiplies the cells' weights until the three sets of margins meet their targets; a document's probability is
-the factor of its cell. Everything is columns, aggregates and joins; no Python runs in the tasks.
+fitting multiplies the cells' weights until the three sets of margins meet their targets; a document is given as often
+as the factor of its cell says, a fraction being drawn. Everything is columns, aggregates and joins; no Python runs in
+the tasks.
 """
 
 from __future__ import annotations
@@ -93,18 +94,27 @@ def sample(
     rate: float = 1.0,
     seed: str = "mix",
 ) -> DataFrame:
-    """``doc`` (all columns), the margins, the probability and whether the document is taken.
+    """``doc`` (all columns), the margins, the probability, whether the document is taken, and in how many copies.
 
-    The probability is ``rate`` times the factor of the document's cell, at most 1: with a rate of 1, cells with more
-    than their share are thinned out and none is repeated. The draw is a hash of the key, so it is the same in every
-    run and for all rows of one key; rows without a key share one draw. The cells were stored, so Spark knows their
-    size when it plans the join.
+    A document is wanted ``rate`` times the factor of its cell: it has as many copies as that has whole parts, and one
+    more by a draw for the rest, so the expected tokens of every cell are the raked ones. ``probability`` is that of at
+    least one copy, ``taken`` says whether there is one. The draw is a hash of the key, so it is the same in every run
+    and for all rows of one key; rows without a key share one draw. The cells were stored, so Spark knows their size
+    when it plans the join.
     """
     keys = margin_columns(margins)
     rows = docs.select(F.struct("*").alias("doc"), uniform(F.col(key), seed).alias("draw"), *(c.alias(k) for k, c in keys.items()))
-    probability = F.least(F.lit(1.0), F.round(F.lit(rate) * F.col("factor"), 9))
-    joined = rows.join(fitted.select(*keys, probability.alias("probability")), list(keys))
-    return joined.withColumn("taken", F.col("draw") < F.col("probability")).drop("draw")
+    wanted = F.round(F.lit(rate) * F.col("factor"), 9)
+    joined = rows.join(fitted.select(*keys, F.least(F.lit(1.0), wanted).alias("probability"), wanted.alias("wanted")), list(keys))
+    whole = F.floor("wanted")
+    copies = whole + (F.col("draw") < F.col("wanted") - whole).cast("long")
+    return joined.withColumns({"taken": F.col("draw") < F.col("probability"), "copies": copies}).drop("draw", "wanted")
+
+
+def repeated(sampled: DataFrame) -> DataFrame:
+    """The documents of a sample, each as often as it has copies, with their columns only."""
+    taken = sampled.where("copies > 0")
+    return taken.select("doc", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("doc.*")
 
 
 def word_count(text: Column) -> Column:
