@@ -169,6 +169,20 @@ def test_op3_against_plain_version(spark):
     assert found == wanted
 
 
+def test_repeated_short_lines_and_texts_without_blanks_go(spark):
+    menu = "\n".join(f"m{k} n{k} o{k}" for k in range(40))
+    signs = "".join("".join(chr(0x4E00 + 131 * k + j) for j in range(11)) + "。" for k in range(9))
+    other = "".join("".join(chr(0x7000 + 131 * k + j) for j in range(11)) + "。" for k in range(4))
+    rows = [
+        (1, sentences(3, "a") + "\n" + menu + "\n" + sentences(3, "b")), (2, "x1 y1\nx2 y2\n" + menu + "\n" + sentences(3, "d")),
+        (3, signs), (4, other + signs), (5, "one two"), (6, "one two"),
+    ]
+    by = {r.doc_id: r for r in repeats.remove_repeats(docs(spark, rows)).collect()}
+    assert all(by[i].text == dict(rows)[i] for i in (1, 3, 5, 6))
+    assert by[2].text == "x1 y1\nx2 y2\n" + sentences(3, "d")
+    assert by[4].text == other
+
+
 # ---- near duplicates ------------------------------------------------------------------------------
 
 

@@ -1,8 +1,9 @@
 """Passages that earlier documents have already, removed unit by unit.
 
-A unit is a sentence or the rest of a line. Units are normalised and digested; over all documents the digest's smallest
-doc_id keeps it, and within a document its first place. Single repeated sentences stay where they are: only runs of
-repeated units with enough words are removed, so a passage is found whether it is a line of its own or lies in one.
+Units are lines, and the sentences of lines that have several. Neighbours too short to be compared alone are compared
+together, from each place on. Units are normalised and digested; over all documents the digest's smallest doc_id keeps
+it, and within a document its first place. Only runs of
+repeated units with enough words are removed.
 """
 
 from __future__ import annotations
@@ -10,6 +11,8 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
+from typing import NamedTuple
 
 import pyarrow as pa
 import xxhash
@@ -19,29 +22,95 @@ from pyspark.sql import functions as F
 from tonearm.llm.files import stored
 
 #: A unit ends behind these.
-UNIT_END = re.compile(r"[.!?]+\s+|[。！？]+|\n+")
+UNIT_END = re.compile(r"[.!?]+\s+|[。！？]+\s*|\n+")
+#: Signs of scripts written without blanks between words (Thai to Tibetan, Burmese, Khmer, kana, Han).
+UNSPACED = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+HAS_UNSPACED = re.compile(f"[{UNSPACED}]")
+#: Two such signs count as a word.
+WORDS = re.compile(f"[{UNSPACED}]{{1,2}}|[^\\s{UNSPACED}]+")
 SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 REWRITTEN = "doc_id long, text string, n_removed long, removed array<struct<start:long,end:long>>"
 
 
 @dataclass(frozen=True)
 class Repeats:
-    """Words a unit needs to be compared, and words of a run that is removed; shorter units follow their neighbours."""
+    """Words a unit needs to be compared, and words of a run of sentences inside lines that is removed."""
 
     unit_words: int = 4
     run_words: int = 30
 
 
-def units(text: str) -> list[tuple[int, int, list[str]]]:
-    """Start, end and words of each unit; units follow each other without a gap, offsets count code points."""
-    found, start = [], 0
+class Piece(NamedTuple):
+    """A sentence or the rest of a line."""
+
+    start: int
+    end: int
+    words: list[str]
+    line: int
+
+
+class Unit(NamedTuple):
+    """Pieces ``first`` to before ``last`` of a text that are compared as one; whole lines or part of one."""
+
+    first: int
+    last: int
+    words: list[str]
+    whole: bool
+
+
+def words_of(text: str) -> list[str]:
+    return WORDS.findall(text.lower()) if HAS_UNSPACED.search(text) else text.lower().split()
+
+
+def pieces_of(text: str) -> list[Piece]:
+    """Pieces follow each other without a gap; offsets count code points."""
+    found, start, line = [], 0, 0
     for end in [m.end() for m in UNIT_END.finditer(text)] + [len(text)]:
         if end > start:
-            found.append((start, end, text[start:end].lower().split()))
+            found.append(Piece(start, end, words_of(text[start:end]), line))
+            line += "\n" in text[start:end]
             start = end
     return found
 
 
+def joined(spans: list[tuple[int, int, list[str]]], least: int, whole: bool) -> Iterator[Unit]:
+    """Each span with as many of those behind it as it takes to reach ``least`` words; at the end, of those before it."""
+    for k, (first, last, words) in enumerate(spans):
+        ahead, back = k + 1, k
+        if len(words) < least:
+            if not words:
+                continue
+            words = list(words)
+            while len(words) < least and ahead < len(spans):
+                words += spans[ahead][2]
+                last = spans[ahead][1]
+                ahead += 1
+            while len(words) < least and back > 0:
+                back -= 1
+                words = spans[back][2] + words
+                first = spans[back][0]
+        if len(words) >= least:
+            yield Unit(first, last, words, whole)
+
+
+def compared(pieces: list[Piece], rules: Repeats) -> list[Unit]:
+    """The units of a text in the order of their first piece, lines before the sentences in them."""
+    lines, sentences = [], []
+    for _, own in groupby(range(len(pieces)), lambda k: pieces[k].line):
+        own = list(own)
+        words = [w for k in own for w in pieces[k].words]
+        lines.append((own[0], own[-1] + 1, words))
+        if len(own) > 1 and len(words) >= rules.unit_words:
+            sentences += joined([(k, k + 1, pieces[k].words) for k in own], rules.unit_words, False)
+    return sorted([*joined(lines, rules.unit_words, True), *sentences], key=lambda u: (u.first, not u.whole))
+
+
+def units(text: str, rules: Repeats = Repeats()) -> list[tuple[int, int, list[str]]]:
+    """Start, end and words of each unit that is compared; lines overlap their sentences, and joined units each other."""
+    pieces = pieces_of(text)
+    return [(pieces[u.first].start, pieces[u.last - 1].end, u.words) for u in compared(pieces, rules)]
+
+
 def digest(words: list[str]) -> bytes:
     return xxhash.xxh3_128_digest(" ".join(words).encode("utf-8", "surrogatepass"))
 
@@ -53,7 +122,7 @@ def unit_digests(docs: DataFrame, rules: Repeats) -> DataFrame:
         for batch in batches:
             doc_ids, found = [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own = {digest(words) for _, _, words in units(text or "") if len(words) >= rules.unit_words}
+                own = {digest(words) for _, _, words in units(text or "", rules)}
                 doc_ids += [doc_id] * len(own)
                 found += own
             yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(found, pa.binary())], ["doc_id", "digest"])
@@ -75,30 +144,37 @@ def later_units(found: DataFrame) -> DataFrame:
 
 
 def removed_spans(text: str, later: set[bytes], rules: Repeats) -> list[tuple[int, int]]:
-    """Spans of the runs of repeated units that are long enough."""
-    spans: list[tuple[int, int]] = []
-    seen: set[bytes] = set()
-    start = end = -1  # of the run so far
-    words = pending = 0  # in the run, and in short units behind it
-
-    def close() -> None:
-        if start >= 0 and words >= rules.run_words:
-            spans.append((start, end))
-
-    for first, last, own in units(text):
-        if len(own) < rules.unit_words:
-            pending += len(own)
-            continue
-        key = digest(own)
-        if key in later or key in seen:
-            if start < 0:
-                start, words, pending = first, 0, 0
-            end, words, pending = last, words + pending + len(own), 0
-        else:
-            close()
+    """Spans of the repeated lines, and of the runs of repeated units that are long enough."""
+    pieces = pieces_of(text)
+    again, gone = [False] * len(pieces), [False] * len(pieces)
+    seen: dict[bytes, int] = {}  # digest → last piece of its first place
+    for unit in compared(pieces, rules):
+        key = digest(unit.words)
+        # a place that overlaps the first one is no repeat of it
+        if key in later or seen.setdefault(key, unit.last) <= unit.first:
+            again[unit.first : unit.last] = [True] * (unit.last - unit.first)
+
+    def close(start: int, end: int) -> None:
+        if sum(len(p.words) for p in pieces[start:end]) >= rules.run_words:
+            gone[start:end] = [True] * (end - start)
+
+    start = end = -1  # of the run so far; short pieces between repeated ones belong to it
+    for k, piece in enumerate(pieces):
+        if again[k]:
+            start, end = (k if start < 0 else start), k + 1
+        elif start >= 0 and len(piece.words) >= rules.unit_words:
+            close(start, end)
             start = -1
-        seen.add(key)
-    close()
+    if start >= 0:
+        close(start, end)
+
+    spans: list[tuple[int, int]] = []
+    for k, piece in enumerate(pieces):
+        if gone[k]:
+            if spans and spans[-1][1] == piece.start:
+                spans[-1] = (spans[-1][0], piece.end)
+            else:
+                spans.append((piece.start, piece.end))
     return spans
 
 
