@@ -183,6 +183,16 @@ def test_repeated_short_lines_and_texts_without_blanks_go(spark):
     assert by[4].text == other
 
 
+def test_repeated_lines_go_at_any_length(spark):
+    line, pair = "all rights of this page are kept", "s1 t1 u1 v1. s2 t2 u2 v2!"
+    rows = [(i, sentences(2, f"a{i}") + "\n" + line + "\n" + sentences(2, f"b{i}") + "\n" + pair) for i in range(3)]
+    rows += [(5, sentences(1, "c") + " " + pair + " " + sentences(1, "d")), (6, "a b\n" * 10 + "end of this text here")]
+    by = {r.doc_id: r.text for r in repeats.remove_repeats(docs(spark, rows)).collect()}
+    assert by[0] == rows[0][1] and by[5] == rows[3][1]  # few sentences inside a line stay
+    assert all(by[i] == sentences(2, f"a{i}") + "\n" + sentences(2, f"b{i}") + "\n" for i in (1, 2))
+    assert by[6] == "a b\na b\nend of this text here"  # the first place stays whole
+
+
 # ---- near duplicates ------------------------------------------------------------------------------
 
 

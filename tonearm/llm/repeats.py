@@ -2,8 +2,8 @@
 
 Units are lines, and the sentences of lines that have several. Neighbours too short to be compared alone are compared
 together, from each place on. Units are normalised and digested; over all documents the digest's smallest doc_id keeps
-it, and within a document its first place. Only runs of
-repeated units with enough words are removed.
+it, and within a document its first place. A repeated line goes whatever its length; sentences inside a line only in
+runs with enough words, so a single repeated sentence stays in the line it belongs to.
 """
 
 from __future__ import annotations
@@ -153,6 +153,8 @@ def removed_spans(text: str, later: set[bytes], rules: Repeats) -> list[tuple[in
         # a place that overlaps the first one is no repeat of it
         if key in later or seen.setdefault(key, unit.last) <= unit.first:
             again[unit.first : unit.last] = [True] * (unit.last - unit.first)
+            if unit.whole:
+                gone[unit.first : unit.last] = [True] * (unit.last - unit.first)
 
     def close(start: int, end: int) -> None:
         if sum(len(p.words) for p in pieces[start:end]) >= rules.run_words:
