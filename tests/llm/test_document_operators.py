@@ -319,6 +319,26 @@ def test_surrogates_keep_type_format_and_identity(spark):
     assert by[1].doc.row == "r" and surrogates.with_surrogates(docs(spark, []), KEY).count() == 0
 
 
+PLANTED = [
+    ("({})", "123-45-6789", "ssn"), ("({})", "10.0.0.12", "ip"), ("{} 53", "8.8.8.8", "ip"), ("{}/24", "10.0.0.12", "ip"),
+    ("{} 123-45-6789", "4111 1111 1111 1111", "card"), ("4111 1111 1111 1111 {}", "123-45-6789", "ssn"),
+    ("{} 4111-1111-1111-1111", "123-45-6789", "ssn"), ("+1 555 123 4567 {}", "123-45-6789", "ssn"), ("8.8.8.8 {}", "06 12 34 56 78", "phone"),
+    ("{}", "06 12 34 56 78", "phone"), ("{}", "0612345678", "phone"), ("{}", "030 1234567", "phone"), ("{}", "030/1234567", "phone"),
+    ("{}", "(030) 1234567", "phone"), ("{}", "020 7946 0958", "phone"), ("{}", "07700 900123", "phone"), ("({})", "612 345 678", "phone"),
+    ("{}", "912 34 56 78", "phone"), ("{}", "5551234567", "phone"), ("1-{}", "800-555-1234", "phone"),
+]
+
+
+def test_planted_numbers_go_in_brackets_and_beside_others(spark):
+    rows = [(i, f"Write to {around.format(value)}, please.") for i, (around, value, _) in enumerate(PLANTED)]
+    found = {r.doc.doc_id: r for r in surrogates.with_surrogates(docs(spark, rows), KEY).collect()}
+    for (i, text), (_, value, kind) in zip(rows, PLANTED):
+        assert value not in found[i].doc.text, text
+        assert (kind, value) in {(s.kind, text[s.start : s.end]) for s in found[i].replaced}, text
+    for text in ("1.2.3.4.5", "01.02.2024 10", "2024-01-02 10", "(2024) 12", "12/03/2024", "1700000000", "3.14159265", "999.1.1.1", "1 000 000"):
+        assert not surrogates.mentions(f"Of {text} only.")
+
+
 def test_no_two_values_share_a_surrogate(spark):
     values = [("given-female-latin", f"name{i}") for i in range(120)] + [("ip", f"10.0.{i // 256}.{i % 256}") for i in range(3000)]
     settled = surrogates.settle(spark.createDataFrame(values, "kind string, value string"), KEY).collect()

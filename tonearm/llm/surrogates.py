@@ -46,7 +46,7 @@ GENDER_OF_TITLE = {title: gender for gender, titles in TITLES.items() for title
 GENDER_OF_NAME = {name.lower(): gender for (_, gender), names in GIVEN.items() for name in names}
 
 EMAIL = re.compile(r"[^\s@<>()\[\],;:\"|]+@[\w-]+(?:\.[\w-]+)+")
-NUMBER = re.compile(r"(?<!\w)\+?\(?\d[\d().\- ]*\d(?!\w)")
+NUMBER = re.compile(r"(?<!\w)\+?\(?\d[\d().\- /]*\d(?!\w)")
 HEX = re.compile(r"\b[0-9a-fA-F]{32,128}\b")
 PREFIXED = re.compile(r"\b(?:AKIA|ghp_|gho_|sk-|xoxb-|xoxp-)[A-Za-z0-9_-]{16,}")
 NAMED_SECRET = re.compile(r"(?i)\b(?:token|secret|password|passwd|api[_-]?key)[\"']?\s*[=:]\s*[\"']?([^\s\"'`]{8,})")
@@ -56,10 +56,25 @@ TITLED = re.compile(rf"\b({'|'.join(GENDER_OF_TITLE)})\b\.? ({WORD})(?: ({WORD})
 GIVEN_NAME = re.compile(rf"\b({'|'.join(n for names in GIVEN.values() for n in names)}) ({WORD})\b")
 IP = re.compile(r"(?:\d{1,3}\.){3}\d{1,3}")
 SSN = re.compile(r"\d{3}-\d{2}-\d{4}")
-CARD = re.compile(r"\d{13,19}|\d{4}(?:[ -]\d{4}){3}(?:[ -]\d{1,3})?|\d{4}[ -]\d{6}[ -]\d{5}")
-PHONE = re.compile(r"\+\d[\d().\- ]{6,17}\d|\(\d{3}\) ?\d{3}[ -]?\d{4}|\d{3}[-. ]\d{3}[-. ]\d{4}")
-
-SEVERAL = re.compile(rf"(?<![\d.])(?:{IP.pattern}|{SSN.pattern}|{PHONE.pattern}|{CARD.pattern})(?!\d)")
+CARD = re.compile(r"\d{13,19}|\d{4}(?:[ -]\d{4}){3}(?:[ -]\d{1,3}(?![ .-]?\d))?|\d{4}[ -]\d{6}[ -]\d{5}")
+#: With a country code, or as written in North America.
+PHONE = re.compile(r"\+\d[\d().\- ]{6,17}\d|\(\d{3}\) ?\d{3}[ -]?\d{4}|\d{3}[-. ]\d{3}[-. ]\d{4}|[2-9]\d{9}")
+#: As written in France, Spain, and Germany or Britain; the last takes 9 to 12 digits in all.
+FRENCH = r"0[1-9]([ .-]?)\d{2}(?:\1\d{2}){3}"
+SPANISH = r"[67]\d{2} \d{3} \d{3}|[6-9]\d{2} \d{2} \d{2} \d{2}|9\d \d{3} \d{2} \d{2}"
+TRUNK = r"(?:\(0\d{2,4}\) ?|0\d{2,4}[ /-])\d{3,8}(?:[ -]\d{2,4}){0,2}|0[1-9]\d{8,9}"
+NATIONAL = re.compile(rf"{FRENCH}|{SPANISH}|{TRUNK}")
+
+#: Found in this order where a run holds more than one number; each between what the ones before it left.
+SEVERAL = [
+    re.compile(rf"(?<!\d)(?<!\d\.)(?:{IP.pattern})(?!\.?\d)"),
+    re.compile(rf"(?<!\d)(?:{SSN.pattern})(?!\d)"),
+    re.compile(rf"(?<!\d)(?:{CARD.pattern})(?!\d)"),
+    re.compile(rf"(?<![\d.])(?:{PHONE.pattern})(?!\d)"),
+    re.compile(rf"(?<!\d)(?<!\d[.,-])(?:{NATIONAL.pattern})(?!\d)"),
+]
+#: Fewer signs hold none of them.
+LEAST_NUMBER = 7
 
 
 class Mention(NamedTuple):
@@ -87,9 +102,26 @@ def number_kind(text: str) -> tuple[str, str] | None:
         return "card", digits_of(text)
     if PHONE.fullmatch(text) and 7 <= len(digits_of(text)) <= 15:
         return "phone", digits_of(text)
+    if NATIONAL.fullmatch(text) and 9 <= len(digits_of(text)) <= 12:
+        return "phone", digits_of(text)
     return None
 
 
+def numbers_within(text: str, start: int, end: int) -> Iterator[Mention]:
+    """The numbers of a run that is not one number itself: IP addresses and SSNs first, as longer forms could take them in."""
+    gaps = [(start, end)]
+    for pattern in SEVERAL:
+        left = []
+        for low, high in gaps:
+            for part in pattern.finditer(text, low, high):
+                if kind := number_kind(part[0]):
+                    yield Mention(*part.span(), *kind)
+                    left.append((low, part.start()))
+                    low = part.end()
+            left.append((low, high))
+        gaps = [(low, high) for low, high in left if high - low >= LEAST_NUMBER]
+
+
 def name_mentions(text: str) -> Iterator[Mention]:
     """Given and family names behind a title or a known given name; each part is an entity of its own."""
     for found in TITLED.finditer(text):
@@ -117,10 +149,8 @@ def mentions(text: str) -> list[Mention]:
     for m in NUMBER.finditer(text):
         if kind := number_kind(m[0]):
             found.append(Mention(*m.span(), *kind))
-        elif len(m[0]) > 12:  # several numbers side by side
-            for part in SEVERAL.finditer(m[0]):
-                if kind := number_kind(part[0]):
-                    found.append(Mention(m.start() + part.start(), m.start() + part.end(), *kind))
+        elif len(m[0]) >= LEAST_NUMBER:  # in brackets, or several numbers side by side
+            found += numbers_within(text, *m.span())
     for pattern in (HEX, PREFIXED):
         found += [Mention(*m.span(), "secret", m[0]) for m in pattern.finditer(text) if not m[0].isalpha()]
     if "=" in text or ":" in text:
