@@ -10,8 +10,9 @@ from tonearm.plans import ingest
 from tonearm.plans import warehouse as daily
 from tonearm.plans.specs import DIMENSIONS, FACTS
 from tonearm.queries.fixtures import Catalogue
-from tonearm.queries.storage import DAYS, warehouse_after
+from tonearm.queries.storage import DAYS, changed_until, warehouse_after
 from tonearm.schemas import SOURCE_TABLES
+from tonearm.session import working_folder
 from tonearm.sources import database, lake, warehouse
 
 USER = SOURCE_TABLES["user"]
@@ -169,6 +170,24 @@ def test_no_playlist_entry_is_lost(spark, two_runs):
     assert due.join(facts, "track_key", "left_anti").count() == 0
 
 
+def test_entries_wait_until_the_tables_they_need_exist(spark):
+    """Entries of a day on which no artist was known yet have facts once artists are."""
+    c = Catalogue(spark, SMALL)
+    places = daily.Places(*[working_folder(spark, p) for p in ("lake", "staging", "warehouse")])
+    early = ("playlist", "playlist_track")
+    for run_day, wanted in ((DAYS[0], lambda name: name in early), (DAYS[2], lambda name: name not in early)):
+        source = lambda t: changed_until(c, t.name, run_day) if wanted(t.name) else None  # noqa: B023, E731
+        ingest.ingest_all(spark, source, places.lake, run_day)
+        done = daily.run_day(spark, places, run_day)
+        assert ("fact_playlist_track" in done["staged facts"]) == (run_day == DAYS[2])
+    read = lambda name: lake.read_lake(spark, places.lake, SOURCE_TABLES[name])
+    artists = daily.read_dimension(spark, places.warehouse, "dim_artist").select(F.col("artist_key").alias("artist_id"))
+    known = read("artist_track").join(artists, "artist_id", "left_semi").select("track_id")
+    due = read("playlist_track").join(known, "track_id", "left_semi").select(F.col("track_id").alias("track_key"))
+    facts = warehouse.read_facts(spark, places.warehouse, "fact_playlist_track")
+    assert due.count() > 0 and due.join(facts, "track_key", "left_anti").count() == 0
+
+
 def test_repeating_the_last_run_changes_nothing(spark, two_runs, rows):
     _, places = two_runs
     names = list(FACTS) + ["dim_track", "dim_artist", "dim_album"]

@@ -161,13 +161,17 @@ def stage_facts(spark: SparkSession, places: Places, run_date: dt.date) -> list[
     entries = candidate_entries(spark, places, run_date)
     artist_track = read_lake(spark, places.lake, SOURCE_TABLES["artist_track"])
     needed = [artist_track, dimension["dim_playlist"], dimension["dim_artist"], dimension["dim_genre"]]
-    if not missing_or_empty(entries) and all(df is not None for df in needed):
+    if missing_or_empty(entries):
+        return staged
+    if all(df is not None for df in needed):
         _stage(facts.playlist_track(entries, *needed), places, run, "fact_playlist_track")
         placed = warehouse.read_table(spark, places.staging_of(run), "fact_playlist_track")
         placed = placed.select(F.col("track_key").alias("track_id"))
         unplaced = not_in(entries.select(*ENTRY_COLUMNS), placed, ["track_id"])
         warehouse.write_snapshot(unplaced, places.warehouse, PENDING_ENTRIES, run)
         staged.append("fact_playlist_track")
+    else:  # all wait until the tables they need are there
+        warehouse.write_snapshot(entries.select(*ENTRY_COLUMNS), places.warehouse, PENDING_ENTRIES, run)
     return staged
 
 
