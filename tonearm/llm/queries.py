@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonearm.llm import host_rules, mixing, near_text, near_vectors, packing, quality_model, repeats, sql, surrogates, token_store, warc
+from tonearm.llm import host_rules, mixing, near_text, near_vectors, packing, periodic, quality_model, repeats, sql, surrogates, token_store, warc
 from tonearm.llm.files import read_table
 from tonearm.llm.registry import ORACLES, QUERIES, query
 from tonearm.session import working_folder
@@ -106,6 +106,46 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_vectors(read_table(spark, sf_dir, "embeddings"))
 
 
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """doc_id and text, where a tenth of the documents repeat a stretch of their words from some word on to the end.
+
+    Which documents, from where and with which period follow from a checksum of doc_id; a null doc_id changes nothing.
+    """
+    mark = F.crc32(F.col("doc_id").cast("string"))
+    words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    rows = docs.select("doc_id", "text", mark.alias("mark"), F.when(mark % 10 == 0, words).alias("words"))
+    rows = rows.withColumn("n", F.size("words").cast("long")).withColumn("g", F.floor(F.col("mark") / 10))
+    rows = rows.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    rows = rows.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    a, p, n = (F.col(c).cast("int") for c in ("a", "p", "n"))
+    again = F.flatten(F.array_repeat(F.slice("words", a + 1, p), F.ceil((n - a) / p).cast("int")))
+    planted = F.concat(F.slice("words", F.lit(1), a), F.slice(again, F.lit(1), n - a))
+    text = F.when(F.col("a").isNotNull(), F.array_join(planted, " ")).otherwise(F.col("text"))
+    return rows.select("doc_id", text.alias("text"))
+
+
+@query("op13_periodic_runs", sql.PERIODIC_RUNS)
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words of every document, and digests of its runs and of its words without the repeats."""
+    found = periodic.periodic_runs(with_planted_periods(read_table(spark, sf_dir, "documents")))
+    # greatest length first, then smallest start, then smallest period
+    longest = F.array_max(
+        F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period")))
+    )
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    found = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), longest.alias("top"), lines.alias("lines"), "collapsed")
+    return found.select(
+        "doc_id",
+        "n_runs",
+        (-F.col("top.start")).alias("start"),
+        F.col("top.length").alias("length"),
+        (-F.col("top.period")).alias("period"),
+        F.expr("1000 * top.length div -top.period").alias("exponent_milli"),
+        F.sha2(F.array_join("lines", ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def all_queries() -> dict:
     return dict(QUERIES)
 

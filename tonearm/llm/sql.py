@@ -136,3 +136,43 @@ with recursive texts as (
 select doc_id, coalesce(n, 0) as n_shingles, component_id, doc_id = component_id as kept
 from texts join component using (doc_id) left join sizes using (doc_id)
 """
+
+# CRC-32 bit by bit, over the decimal digits of doc_id.
+_STEP = "case when {x} % 2 = 1 then xor({x} // 2, 3988292384) else {x} // 2 end"
+_BYTE = "list_reduce([xor(acc, d)] || [0::bigint for _ in range(8)], lambda c, _: " + _STEP.format(x="c") + ")"
+CRC_OF_ID = f"xor(4294967295, list_reduce([4294967295::bigint] || [ascii(c)::bigint for c in string_split(doc_id::varchar, '')], lambda acc, d: {_BYTE}))"
+
+PERIODIC_RUNS = rf"""
+with texts as (
+    select doc_id, {CRC_OF_ID} as h, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents
+), planted as (
+    select doc_id, ws, h, len(ws) as n, case when len(ws) > 0 then (h // 10) % len(ws) end as a from texts
+), words as (
+    select doc_id, n, case when h % 10 = 0 and n > 0
+        then ws[:a] || [ws[1 + a + i % (1 + (n - a) // (3 + h // 10 % 8))] for i in range(n - a)] else ws end as ws
+    from planted
+), placed as (
+    select doc_id, n, unnest(ws) as w, unnest(range(n)) as i from words
+), pairs as (
+    select x.doc_id, y.i - x.i as q, x.i from placed x join placed y on x.doc_id = y.doc_id and x.w = y.w and y.i > x.i
+    where 2 * (y.i - x.i) <= x.n
+), islands as (
+    select doc_id, q, min(i) as s, count(*) + q as len
+    from (select *, i - row_number() over (partition by doc_id, q order by i) as g from pairs)
+    group by doc_id, q, g having count(*) >= greatest(12 - q, q)
+), runs as (
+    select doc_id, s, len, min(q) as q from islands group by doc_id, s, len
+), lists as (
+    select doc_id, count(*) as n_runs, max({{'len': len, 's': -s, 'q': -q}}) as top,
+        string_agg(s || ',' || len || ',' || q || chr(10), '' order by s, q) as lines
+    from runs group by doc_id
+), dropped as (
+    select distinct doc_id, unnest(range(s + q, s + len)) as i from runs
+), collapsed as (
+    select doc_id, string_agg(w, ' ' order by i) as t from placed anti join dropped using (doc_id, i) group by doc_id
+)
+select doc_id, coalesce(n_runs, 0) as n_runs, -top.s as start, top.len as length, -top.q as period,
+    1000 * top.len // -top.q as exponent_milli, sha256(coalesce(lines, '')) as runs_sha256,
+    sha256(coalesce(t, '')) as collapsed_sha256
+from documents left join lists using (doc_id) left join collapsed using (doc_id)
+"""

@@ -7,6 +7,8 @@ import re
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: ASCII signs without the apostrophe, which tokenizers treat apart.
 SIGNS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'").encode()
@@ -31,6 +33,20 @@ def in_chunks(texts: Sequence[str | None], limit: int = CHUNK_BYTES) -> Iterator
         yield start, held
 
 
+def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
+    """Texts of an Arrow column as UTF-8 (null: empty), about ``limit`` bytes at a time, each with the place of its first.
+
+    Only the texts of one chunk are Python objects at a time; a text is never cut.
+    """
+    upto = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(column):
+        before = upto[start - 1] if start else 0
+        end = min(len(column), int(np.searchsorted(upto, before + limit)) + 1)
+        yield start, [text or b"" for text in column.slice(start, end - start).cast(pa.binary()).to_pylist()]
+        start = end
+
+
 class _Numbered(dict):
     """Number of a word; new words are noted in ``fresh``."""
 
