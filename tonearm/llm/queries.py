@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonearm.llm import host_rules, mixing, near_text, near_vectors, packing, periodic, quality_model, repeats, sql, surrogates, token_store, warc
+from tonearm.llm import host_rules, mixing, near_text, near_vectors, packing, periodic, quality_model, ranked_search, repeats, sql, surrogates, token_store, warc
 from tonearm.llm.files import read_table
 from tonearm.llm.registry import ORACLES, QUERIES, query
 from tonearm.session import working_folder
@@ -106,6 +106,12 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_vectors(read_table(spark, sf_dir, "embeddings"))
 
 
+@query("op11_ranked_search", sql.RANKED_SEARCH)
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return ranked_search.ranked(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def with_planted_periods(docs: DataFrame) -> DataFrame:
     """doc_id and text, where a tenth of the documents repeat a stretch of their words from some word on to the end.
 

@@ -176,3 +176,29 @@ select doc_id, coalesce(n_runs, 0) as n_runs, -top.s as start, top.len as length
     sha256(coalesce(t, '')) as collapsed_sha256
 from documents left join lists using (doc_id) left join collapsed using (doc_id)
 """
+
+RANKED_SEARCH = r"""
+with words as (
+    select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from documents
+), held as (select doc_id, term, count(*) as tf from words group by all
+), sizes as (select doc_id, count(*) as n from words group by 1
+), totals as (select count(*) as nn, sum(n)::bigint as l from sizes
+), weights as (
+    select term, floor(1000 * ln((2 * nn + 2)::double / (2 * df + 1)))::bigint as w
+    from (select term, count(*) as df from held group by 1), totals
+), asked as (
+    select item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from benchmark
+), parts as (
+    select doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * nn) // l))) as part
+    from held join sizes using (doc_id) join weights using (term), totals
+), scores as (
+    select item_id, doc_id, sum(part)::bigint as score from asked join parts using (term) group by all having sum(part) > 0
+), placed as (
+    select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from scores
+)
+select item_id, rank::int as rank, doc_id, score from placed where rank <= 10
+"""
