@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonearm.llm import host_rules, mixing, near_text, near_vectors, packing, periodic, quality_model, ranked_search, repeats, sql, surrogates, token_store, warc
+from tonearm.llm import host_rules, mixing, near_text, near_vectors, packing, periodic, quality_model, ranked_search, repeated_bytes, repeats, sql, surrogates, token_store, warc
 from tonearm.llm.files import read_table
 from tonearm.llm.registry import ORACLES, QUERIES, query
 from tonearm.session import working_folder
@@ -112,6 +112,15 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.ranked(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+@query("op12_repeated_bytes", sql.REPEATED_BYTES)
+def op12_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes that a repeated string of 400 bytes covers: counts and a digest of the rest."""
+    cleaned = repeated_bytes.remove_repeated(read_table(spark, sf_dir, "documents"))
+    return cleaned.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def with_planted_periods(docs: DataFrame) -> DataFrame:
     """doc_id and text, where a tenth of the documents repeat a stretch of their words from some word on to the end.
 

@@ -202,3 +202,32 @@ with words as (
 )
 select item_id, rank::int as rank, doc_id, score from placed where rank <= 10
 """
+
+# Bytes are written as two hexadecimal digits, so a string of 400 bytes has 800.
+REPEATED_BYTES = r"""
+with texts as (
+    select doc_id, hex(encode(coalesce(text, ''))) as t from documents
+), stretches as (
+    select doc_id, k, substr(t, 2 * k + 1, 928) as t
+    from (select doc_id, t, unnest(range(0, len(t) // 2 - 399, 64)) as k from texts)
+), strings as (
+    select doc_id, k + j as i, hash(substr(t, 2 * j + 1, 800)) as s
+    from (select doc_id, k, t, unnest(range(least(64, len(t) // 2 - 399))) as j from stretches)
+), again as (
+    select doc_id, i from strings semi join (select s from strings group by s having count(*) > 1) using (s)
+), bounds as (
+    select doc_id, i, i > lag(i + 400, 1, -1) over (partition by doc_id order by i) as new from again
+), spans as (
+    select doc_id, min(i) as a, max(i) + 400 as b
+    from (select *, count(*) filter (new) over (partition by doc_id order by i) as k from bounds) group by doc_id, k
+), gaps as (
+    select doc_id, lag(b, 1, 0) over (partition by doc_id order by a) as a, a as b from spans
+    union all select doc_id, max(b), null from spans group by doc_id
+), kept as (
+    select doc_id, string_agg(case when gaps.b is null then substr(t, 2 * gaps.a + 1) else substr(t, 2 * gaps.a + 1, 2 * (gaps.b - gaps.a)) end, '' order by gaps.a, gaps.b nulls last) as t
+    from gaps join texts using (doc_id) group by doc_id
+), sums as (select doc_id, sum(b - a)::bigint as n_removed, count(*) as n_spans from spans group by 1)
+select doc_id, (len(texts.t) // 2)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed,
+    coalesce(n_spans, 0)::bigint as n_spans, sha256(from_hex(coalesce(kept.t, texts.t))) as kept_sha256
+from texts left join sums using (doc_id) left join kept using (doc_id)
+"""
