@@ -10,7 +10,8 @@
    bytes behind it, or for the second segment those before it), so equal strings have equal keys. Keys counted once
    are no repeats and go.
 3. Copies. A segment's name is a digest of all bytes of its strings. A name that occurs again repeats all its strings.
-   From here on a name has one segment.
+   Within a document this is seen while parsing, so a text of one period, which may have no trigger at all, gives a
+   segment for each place of the period only. From here on a name has one segment.
 4. Corpus order. What is left are names that occur once, at the ends of repeats, and the other names of their keys. In
    a key, the suffix array of the dictionary is the order of the phrases read backwards from the trigger, with the
    lengths of the suffixes that neighbours share; the suffix array of the parse is the order of what follows the
@@ -36,7 +37,8 @@ from tonearm.llm.words import text_chunks
 
 U32 = np.uint32
 #: ``place`` holds start, number of starts and distance from the first start to the trigger's end (0: no trigger).
-SEGMENTS = "row long, place long, key long, name long"
+#: Rows without a key are starts whose strings a segment before them in the document has.
+SEGMENTS = "row long, place long, key long, name long, copies int"
 STRINGS = "key long, row long, place long, copies long, bytes binary"
 WINDOWS = "high long, low long, row long, start int, copies long"
 CLEANED = "doc_id long, kept binary, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>"
@@ -128,19 +130,25 @@ def segments(size: int, at: np.ndarray, parsing: Parsing) -> Iterator[tuple[int,
 
 
 def parse(docs: DataFrame, parsing: Parsing) -> DataFrame:
-    """The segments of every row of ``docs`` (row, text) with their keys and names; stored."""
+    """The segments of every row of ``docs`` (row, text) with their keys and names; stored.
+
+    A document gives a name once, with its number of copies there; the starts of the others follow without a key.
+    """
     behind = parsing.width - parsing.reach
 
     def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
         for batch in batches:
             for first, texts in text_chunks(batch.column(1), 1_000_000):
-                rows, places, keys, names = [], [], [], []
+                rows, places, keys, names, copies = [], [], [], [], []
+                again: list[tuple[int, int]] = []  # row and place
                 at = triggers(np.frombuffer(b"".join(texts), np.uint8), parsing)
                 begin = 0
                 for row, text in zip(batch.column(0).slice(first, len(texts)).to_pylist(), texts):
                     low, high = np.searchsorted(at, (begin, begin + len(text) - parsing.window + 1))
                     view = memoryview(text)
+                    first_of: dict[tuple[int, int], int] = {}
+                    spans: list[list[int]] = []
                     for start, n, ahead in segments(len(text), at[low:high] - begin, parsing):
                         end = start + ahead
                         if not ahead:
@@ -149,32 +157,45 @@ def parse(docs: DataFrame, parsing: Parsing) -> DataFrame:
                             key = digest(view[end - parsing.reach : end], 1)
                         else:
                             key = digest(view[end - parsing.window : end + behind], 0)
+                        name = digest(view[start : start + n - 1 + parsing.width], 3)
+                        held = first_of.setdefault((key, name), len(rows))
+                        if held < len(rows):
+                            copies[held] += 1
+                            if spans and sum(spans[-1]) == start and spans[-1][1] + n < 1 << 16:
+                                spans[-1][1] += n
+                            else:
+                                spans.append([start, n])
+                            continue
                         rows.append(row)
                         places.append(packed(start, n, ahead))
                         keys.append(key)
-                        names.append(digest(view[start : start + n - 1 + parsing.width], 3))
+                        names.append(name)
+                        copies.append(1)
+                    again += [(row, packed(start, n, 0)) for start, n in spans]
                     begin += len(text)
+                lone = len(again)
                 columns = [
-                    pa.array(rows, pa.int64()),
-                    pa.array(places, pa.int64()),
-                    pa.array(np.array(keys, np.uint64).view(np.int64)),
-                    pa.array(np.array(names, np.uint64).view(np.int64)),
+                    pa.array(rows + [r for r, _ in again], pa.int64()),
+                    pa.array(places + [p for _, p in again], pa.int64()),
+                    *(pa.concat_arrays([pa.array(np.array(x, np.uint64).view(np.int64)), pa.nulls(lone, pa.int64())]) for x in (keys, names)),
+                    pa.array(copies + [0] * lone, pa.int32()),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["row", "place", "key", "name"])
+                yield pa.RecordBatch.from_arrays(columns, ["row", "place", "key", "name", "copies"])
 
     return stored(docs.mapInArrow(parsed, SEGMENTS), "segments")
 
 
 def candidates(found: DataFrame) -> DataFrame:
     """The segments whose key occurs again; stored."""
-    again = found.groupBy("key").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("key")
-    return stored(found.join(again, "key").select("key", "name", "row", "place"), "candidate-segments")
+    found = found.where("key is not null")
+    again = found.groupBy("key").agg(F.sum("copies").alias("times")).where("times > 1").select("key")
+    return stored(found.join(again, "key").select("key", "name", "row", "place", "copies"), "candidate-segments")
 
 
 def names_of(found: DataFrame) -> DataFrame:
     """key, name, copies and one segment of every name; stored."""
     one = F.min(F.struct("row", "place")).alias("one")
-    names = found.groupBy("key", "name").agg(F.count(F.lit(1)).alias("copies"), one)
+    names = found.groupBy("key", "name").agg(F.sum("copies").alias("copies"), one)
     return stored(names.select("key", "name", "copies", "one.*"), "segment-names")
 
 
@@ -315,10 +336,11 @@ def repeated_spans(docs: DataFrame, parsing: Parsing) -> DataFrame:
         digests = [xxhash.xxh3_128_intdigest(text[k : k + width]) for k in range(first, first + n)]
         return [(signed(d >> 64), signed(d & (1 << 64) - 1), row, first + k, segment["copies"]) for k, d in enumerate(digests)]
 
-    found = candidates(parse(docs, parsing))
+    every = parse(docs, parsing)
+    found = candidates(every)
     names = names_of(found)
     copied = found.join(names.where("copies > 1").select("key", "name"), ["key", "name"])
-    copied = copied.select(
+    copied = copied.select("row", "place").unionByName(every.where("key is null").select("row", "place")).select(
         "row", F.shiftright("place", 32).cast("int").alias("start"), (F.shiftright("place", 16) % 65536).cast("int").alias("n")
     )
     wanted = open_names(names)
