@@ -48,14 +48,14 @@ def test_counts_of_edge_rows(spark):
     assert sorted(found, key=repr) == sorted(((i, *counts(t)) for i, t in rows), key=repr)
     assert host_rules.judge(docs(spark, [])).count() == 0
     rows.append((24, " ".join(f"w{i}" for i in range(60))))
-    kept = host_rules.keep_good(docs(spark, rows), host_rules.Rules(max_host_rate=1.0))
+    kept = host_rules.keep_good(docs(spark, rows), host_rules.Rules(host_limits=()))
     assert kept.columns == docs(spark, []).columns
     assert [r.doc_id for r in kept.collect()] == [24]
     assert host_rules.keep_good(docs(spark, rows)).count() == 0  # nearly all of this host's documents fail
 
 
 def test_hosts_are_shrunk_and_joined_back(spark):
-    good = " ".join(f"w{i}" for i in range(60))
+    good = " ".join(f"word{i}" for i in range(60))
     rows = [docs(spark, [(i, "bad" if i % 10 else good) for i in range(100)], source="bad")]
     rows += [docs(spark, [(1000 + 100 * k + i, "bad" if i % 20 == 0 else good) for i in range(100)], source=f"h{k}") for k in range(5)]
     rows += [docs(spark, [(3000, "bad")], source="tiny"), docs(spark, [(4000, good), (4001, "bad")], source=None)]
@@ -66,9 +66,40 @@ def test_hosts_are_shrunk_and_joined_back(spark):
     assert not any(judged[i] for i in range(100))  # also its good documents
     assert all(judged[1000 + 100 * k + i] == bool(i % 20) for k in range(5) for i in range(100))
     assert judged[4000] and not judged[4001]
-    rates = spark.createDataFrame([("a", 1, 1), ("b", 1000, 10), ("c", 1000, 20)], "host string, n long, failures long")
+    rates = spark.createDataFrame(
+        [("a", "short", 1, 1), ("b", "short", 1000, 10), ("c", "short", 1000, 20)], "host string, rule string, n long, failures long"
+    )
     assert host_rules.rejected_hosts(rates, host_rules.Rules()).count() == 0  # one failure of one is no proof
-    assert host_rules.beta_prior(rates.limit(0)) == (1.0, 1.0)
+    assert host_rules.beta_priors(rates.limit(0)) == {}
+
+
+#: Texts of enough words that fail one rule each.
+FAILING = {
+    "short": "a few words",
+    "repeats": "one two three " * 30,
+    "symbols": " ".join(f"word{i} #" for i in range(60)),
+    "lines": "\n".join(["same line here", *(f"other{i} words{i}" for i in range(40))] * 1 + ["same line here"] * 3),
+    "word_length": " ".join(f"averyverylongword{i}" for i in range(60)),
+}
+
+
+@pytest.mark.parametrize("rule", FAILING)
+def test_host_is_rejected_by_each_rule(spark, rule):
+    """Most documents of one host fail one rule; its good ones go too, and no other host's."""
+    good = " ".join(f"w{i}" + "x" * (i % 5 + 1) for i in range(60))
+    every = None
+    for k in range(6):
+        fails = 90 if k == 0 else 3
+        rows = [(1000 * k + i, FAILING[rule] if i < fails else good) for i in range(100)]
+        part = docs(spark, rows, source=f"h{k}")
+        every = part if every is None else every.unionByName(part)
+    judged = host_rules.judge(every, host_rules.Rules())
+    found = {r.doc.doc_id: (r.base_failed, r.kept) for r in judged.collect()}
+    fails_alone = rule in ("short", "repeats")
+    for i, (base_failed, kept) in found.items():
+        failing = i % 1000 < (90 if i < 1000 else 3)
+        assert base_failed == (failing and fails_alone)
+        assert kept == (i >= 1000 and not base_failed)
 
 
 # ---- mixing ---------------------------------------------------------------------------------------

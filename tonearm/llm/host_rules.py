@@ -1,8 +1,8 @@
 """Rules of quality for documents and for the hosts they come from.
 
-Rules count words, symbols, repeated lines and repeated word windows of a document. Failures are then added up by host,
-each host's rate is drawn towards the common rate by a beta prior fitted to all hosts, and hosts whose rate stays high
-lose all their documents. Everything is columns and joins; no Python runs in the tasks.
+Rules count words, symbols, repeated lines and repeated word windows of a document. Failures of each rule are then added
+up by host, each host's rate is drawn towards the rule's common rate by a beta prior fitted to all hosts, and hosts whose
+rate of any rule stays high lose all their documents. Everything is columns and joins; no Python runs in the tasks.
 """
 
 from __future__ import annotations
@@ -23,12 +23,37 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 @dataclass(frozen=True)
 class Rules:
-    """Limits: a document fails below ``min_words`` words or above ``max_repeat_percent`` of its words in repeats; a
-    host is rejected above ``max_host_rate`` of failures after shrinking."""
+    """Limits of a document: words at least, percent of its words in repeats, symbols per hundred words, repeated lines,
+    and mean characters of a word. One beyond the first or second fails on its own; the others tell of its host only.
+
+    A host is rejected if its rate of failures of any rule is over the rule's limit after shrinking.
+    """
 
     min_words: int = 50
     max_repeat_percent: int = 50
-    max_host_rate: float = 0.75
+    max_symbol_percent: int = 10
+    max_dup_lines: int = 2
+    min_word_chars: int = 3
+    max_word_chars: int = 10
+    host_limits: tuple[tuple[str, float], ...] = (
+        ("short", 0.75),
+        ("repeats", 0.75),
+        ("symbols", 0.5),
+        ("lines", 0.5),
+        ("word_length", 0.5),
+    )
+
+    def failures(self) -> dict[str, Column]:
+        """Whether a document fails each rule, from its counts."""
+        words = F.col("n_words")
+        length = F.col("word_chars")
+        return {
+            "short": words < self.min_words,
+            "repeats": 100 * F.col("n_repeat_words") > self.max_repeat_percent * words,
+            "symbols": 100 * F.col("n_symbols") > self.max_symbol_percent * words,
+            "lines": F.col("n_dup_lines") > self.max_dup_lines,
+            "word_length": (length < self.min_word_chars * words) | (length > self.max_word_chars * words),
+        }
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -96,48 +121,52 @@ def counted(docs: DataFrame, rules: Rules, keep: list[Column], text: str = "text
         )
 
     plain = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    failed = (F.col("n_words") < rules.min_words) | (
-        100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words")
-    )
+    failures = rules.failures()
+    failed = failures["short"] | failures["repeats"]
     return docs.select(*keep, F.inline(F.transform(F.array(plain), measured))).withColumn("base_failed", failed)
 
 
-def host_rates(judged: DataFrame) -> DataFrame:
-    """host, number of documents, failures. A host of a third of all documents sends one row a task."""
-    return judged.where("host is not null").groupBy("host").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col("base_failed").cast("long")).alias("failures")
-    )
+def host_rates(judged: DataFrame, rules: Rules) -> DataFrame:
+    """host, rule, number of documents, failures. A host of a third of all documents sends one row a task."""
+    sums = [F.sum(failed.cast("long")).alias(rule) for rule, failed in rules.failures().items()]
+    by_host = judged.where("host is not null").groupBy("host").agg(F.count(F.lit(1)).alias("n"), *sums)
+    return by_host.unpivot(["host", "n"], list(rules.failures()), "rule", "failures").select("host", "rule", "n", "failures")
 
 
-def beta_prior(rates: DataFrame) -> tuple[float, float]:
-    """Parameters of the beta distribution of the hosts' rates, by its first two moments.
+def beta_priors(rates: DataFrame) -> dict[str, tuple[float, float]]:
+    """Parameters of the beta distribution of the hosts' rates of each rule, by its first two moments.
 
     The spread between hosts is the weighted spread of their raw rates less what chance alone gives; hosts that chance
-    alone could explain get the strongest prior, so all of them take the common rate. One row reaches the driver.
+    alone could explain get the strongest prior, so all of them take the common rate. One row a rule reaches the driver.
     """
-    sums = rates.agg(
+    sums = rates.groupBy("rule").agg(
         F.count(F.lit(1)).alias("hosts"),
         F.sum("n").cast("double").alias("n"),
         F.sum("failures").cast("double").alias("failures"),
         F.sum(F.col("n").cast("double") * F.col("n")).alias("squares"),
         F.sum(F.col("failures").cast("double") * F.col("failures") / F.col("n")).alias("weighted"),
-    ).first()
-    if not sums.hosts:
-        return 1.0, 1.0
-    mean = sums.failures / sums.n
-    chance = mean * (1 - mean)
-    spread = sums.weighted - sums.n * mean * mean
-    room = sums.n - sums.squares / sums.n - (sums.hosts - 1)
-    between = (spread - (sums.hosts - 1) * chance) / room if room > 0 else 0.0
-    strength = min(max(chance / between - 1, 1.0), 1e6) if between > 0 else 1e6
-    return mean * strength, (1 - mean) * strength
+    )
+    priors = {}
+    for row in sums.collect():
+        mean = row.failures / row.n
+        chance = mean * (1 - mean)
+        spread = row.weighted - row.n * mean * mean
+        room = row.n - row.squares / row.n - (row.hosts - 1)
+        between = (spread - (row.hosts - 1) * chance) / room if room > 0 else 0.0
+        strength = min(max(chance / between - 1, 1.0), 1e6) if between > 0 else 1e6
+        priors[row.rule] = (mean * strength, (1 - mean) * strength)
+    return priors
 
 
 def rejected_hosts(rates: DataFrame, rules: Rules) -> DataFrame:
-    """Hosts whose shrunk rate of failures is over the limit."""
-    alpha, beta = beta_prior(rates)
-    shrunk = (F.col("failures") + alpha) / (F.col("n") + alpha + beta)
-    return rates.where(shrunk > rules.max_host_rate).select("host")
+    """Hosts whose shrunk rate of failures of a rule is over its limit."""
+    priors = beta_priors(rates)
+    over = F.lit(False)
+    for rule, limit in rules.host_limits:
+        alpha, beta = priors.get(rule, (1.0, 1.0))
+        shrunk = (F.col("failures") + alpha) / (F.col("n") + alpha + beta)
+        over = over | ((F.col("rule") == rule) & (shrunk > limit))
+    return rates.where(over).select("host").distinct()
 
 
 def judge(docs: DataFrame, rules: Rules = Rules(), host: str = "source", text: str = "text", keep: str = "*") -> DataFrame:
@@ -150,7 +179,7 @@ def judge(docs: DataFrame, rules: Rules = Rules(), host: str = "source", text: s
     """
     own = F.struct(keep).alias("doc") if keep == "*" else F.struct(*keep.split(",")).alias("doc")
     judged = stored(counted(docs, rules, [own, F.col(host).cast("string").alias("host")], text), "judged-documents")
-    rejected = stored(rejected_hosts(stored(host_rates(judged), "host-rates"), rules), "rejected-hosts")
+    rejected = stored(rejected_hosts(stored(host_rates(judged, rules), "host-rates"), rules), "rejected-hosts")
     verdicts = judged.join(rejected.withColumn("host_rejected", F.lit(True)), "host", "left")
     kept = ~F.col("base_failed") & F.col("host_rejected").isNull()
     return verdicts.select("doc", "host", *COUNTS, "base_failed", kept.alias("kept"))

@@ -22,18 +22,24 @@ with texts as (
         coalesce(n_repeat_words, 0)::bigint as n_repeat_words
     from words left join covered using (r)
 ), judged as (
-    select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from counts
+    select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
+        [n_words < 50, 100 * n_repeat_words > 50 * n_words, 100 * n_symbols > 10 * n_words, n_dup_lines > 2,
+            word_chars < 3 * n_words or word_chars > 10 * n_words] as failed
+    from counts
+), limits(rule, most) as (values (1, 0.75::double), (2, 0.75), (3, 0.5), (4, 0.5), (5, 0.5)
 ), rates as (
-    select source, count(*)::double as n, sum(base_failed::int)::double as f from judged where source is not null group by 1
+    select source, rule, count(*)::double as n, sum(failed[rule]::int)::double as f
+    from judged cross join limits where source is not null group by 1, 2
 ), sums as (
-    select count(*) as h, sum(n) as n, sum(f) / sum(n) as m, sum(n * n) as squares, sum(f * f / n) as weighted from rates
+    select rule, count(*) as h, sum(n) as n, sum(f) / sum(n) as m, sum(n * n) as squares, sum(f * f / n) as weighted
+    from rates group by 1
 ), spread as (
-    select m, m * (1 - m) as c, case when n - squares / n - (h - 1) > 0
+    select rule, m, m * (1 - m) as c, case when n - squares / n - (h - 1) > 0
         then (weighted - n * m * m - (h - 1) * m * (1 - m)) / (n - squares / n - (h - 1)) else 0 end as b from sums
 ), prior as (
-    select m, case when b > 0 then least(greatest(c / b - 1, 1.0), 1e6) else 1e6 end as s from spread
+    select rule, m, case when b > 0 then least(greatest(c / b - 1, 1.0), 1e6) else 1e6 end as s from spread
 ), rejected as (
-    select source from rates, prior where (f + m * s) / (n + s) > 0.75
+    select source from rates join prior using (rule) join limits using (rule) where (f + m * s) / (n + s) > most
 )
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     not base_failed and source is not null and source not in (select source from rejected)
