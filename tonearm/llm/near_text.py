@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tonearm.llm.components import components
 from tonearm.llm.files import stored
-from tonearm.llm.words import WordMemo, in_chunks
+from tonearm.llm.words import WordMemo, text_chunks
 
 U64 = np.uint64
 #: Odd multipliers of the mixing steps.
@@ -151,7 +151,7 @@ def sign(docs: DataFrame, near: Near) -> DataFrame:
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, signer = Shingler(near.width), Signer(near)
         for batch in batches:
-            for first, texts in in_chunks(batch.column(2).to_pylist()):
+            for first, texts in text_chunks(batch.column(2)):
                 sets = shingler.sets(texts)
                 signatures = np.stack([signer.signature(s) for s in sets])
                 digests = [set_digest(s) for s in sets]
@@ -229,9 +229,9 @@ def shingle_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, near: Ne
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(near.width)
         for batch in batches:
-            for first, texts in in_chunks(batch.column(3).to_pylist()):
+            for first, texts in text_chunks(batch.column(3)):
                 own = shingler.sets(texts)
-                keys = zip(batch.column(1)[first:].to_pylist(), batch.column(2)[first:].to_pylist())
+                keys = zip(*(batch.column(k).slice(first, len(texts)).to_pylist() for k in (1, 2)))
                 right = [k for k, (s, key) in enumerate(zip(own, keys)) if set_digest(s) == key]
                 found = batch.column(0).slice(first, len(texts)).take(pa.array(right, pa.int64()))
                 values = pa.array([own[k].view(np.int64) for k in right], pa.list_(pa.int64()))

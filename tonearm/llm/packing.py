@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tonearm.llm.files import stored
 from tonearm.llm.token_store import bits_for, pack, unpack
-from tonearm.llm.words import TokenEncoder, in_chunks
+from tonearm.llm.words import text_chunks, token_encoder
 
 GROUP_PIECES = 8192
 ROUNDS = 4
@@ -64,8 +64,8 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
     return bins, offsets, np.array(gaps, np.int64)
 
 
-def cut(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, vocabulary: int) -> DataFrame:
-    """Pieces of at most ``capacity`` ids with their ids packed to the vocabulary's bits; stored.
+def cut(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, vocabulary: int, with_ids: bool = True) -> DataFrame:
+    """Pieces of at most ``capacity`` ids with their ids packed to the vocabulary's bits, if asked for; stored.
 
     Every document ends with ``end_id``; a null text counts as empty and is that id alone. ``piece_row`` numbers the
     rows of the table, so that rows which repeat a doc_id stay apart.
@@ -75,10 +75,10 @@ def cut(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, vocabulary:
     types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TokenEncoder(tokenizer, end_id)
+        encoder = token_encoder(tokenizer, end_id)
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
-            for first, texts in in_chunks(batch.column(1).to_pylist()):
+            for first, texts in text_chunks(batch.column(1)):
                 ids, sizes = encoder.encode(texts)
                 ends = np.cumsum(sizes).tolist()
                 rows = []
@@ -86,7 +86,7 @@ def cut(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, vocabulary:
                     for piece, start in enumerate(range(0, size, capacity)):
                         own = ids[end - size + start : min(end, end - size + start + capacity)]
                         sum_ = zlib.crc32(np.ascontiguousarray(own, "<u4"))
-                        rows.append((doc_ids[first + k], piece, start, len(own), pack(own, bits), sum_))
+                        rows.append((doc_ids[first + k], piece, start, len(own), pack(own, bits) if with_ids else None, sum_))
                 columns = [pa.array([r[c] for r in rows], kind) for c, kind in enumerate(types)]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
@@ -151,7 +151,7 @@ def pack_documents(
     repeated row is packed each time, a null doc_id stays null, no documents give no pieces, and further columns are
     not looked at.
     """
-    pieces = cut(docs, tokenizer, end_id, capacity, vocabulary)
+    pieces = cut(docs, tokenizer, end_id, capacity, vocabulary, with_ids)
     placed = place(pieces.select("piece_row", "length"), capacity)
     columns = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
     return pieces.select("piece_row", *columns).join(placed, "piece_row").drop("piece_row")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tonearm.llm.files import stored
-from tonearm.llm.words import in_chunks
+from tonearm.llm.words import text_chunks
 
 PASSAGE_WORDS = 64
 #: Labelled documents that a model is fitted on at most.
@@ -171,7 +171,7 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = FIT_DOCUMENTS) -> Atten
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, texts in in_chunks(batch.column(0).to_pylist()):
+            for first, texts in text_chunks(batch.column(0)):
                 found = [np.asarray(passages(t), np.float32).tobytes() for t in texts]
                 rest = [batch.column(k).slice(first, len(texts)) for k in (1, 2, 3)]
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), *rest], ["features", "label", "tie", "doc_id"])
@@ -196,7 +196,7 @@ def score_documents(docs: DataFrame, model: AttentionModel) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, texts in in_chunks(batch.column(1).to_pylist()):
+            for first, texts in text_chunks(batch.column(1)):
                 bags = [passages(t) for t in texts]
                 sizes = np.array([len(b) for b in bags])
                 made = model.forward(np.array([p for b in bags for p in b], np.float64), sizes)

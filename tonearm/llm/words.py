@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import re
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,22 +16,10 @@ SIGNS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c !=
 LETTERS_SIGNS = re.compile(b"([A-Za-z]+)([" + re.escape(SIGNS) + b"]*)")
 #: Stands for the end of a document among its words; no word holds a blank.
 END = b" "
+#: Distinct words a worker remembers.
+MEMO_WORDS = 150_000
 #: Bytes of text handled at once inside a task.
-CHUNK_BYTES = 8_000_000
-
-
-def in_chunks(texts: Sequence[str | None], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
-    """Texts as UTF-8, some megabytes at a time, each with the place of its first; a text is never cut."""
-    start, held, size = 0, [], 0
-    for i, text in enumerate(texts):
-        data = (text or "").encode("utf-8", "surrogatepass")
-        held.append(data)
-        size += len(data)
-        if size >= limit:
-            yield start, held
-            start, held, size = i + 1, [], 0
-    if held:
-        yield start, held
+CHUNK_BYTES = 2_000_000
 
 
 def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
@@ -61,13 +50,13 @@ class _Numbered(dict):
 
 
 class WordMemo:
-    """Values computed once per distinct word and task, for a bounded number of words.
+    """Values computed once per distinct word and worker, for a bounded number of words.
 
     Beyond ``limit`` distinct words, only those met more than once since the last time are kept, the most frequent
     first, and at most half of the limit; a forgotten word is computed again when it comes back.
     """
 
-    def __init__(self, limit: int = 300_000) -> None:
+    def __init__(self, limit: int = MEMO_WORDS) -> None:
         self.limit = limit
         self.numbers = _Numbered()
         self.met = np.zeros(0, np.int64)
@@ -124,7 +113,7 @@ class TokenEncoder(WordMemo):
     tokenizer.
     """
 
-    def __init__(self, path: str, end_id: int | None = None, limit: int = 300_000) -> None:
+    def __init__(self, path: str, end_id: int | None = None, limit: int = MEMO_WORDS) -> None:
         super().__init__(limit)
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -230,3 +219,9 @@ class TokenEncoder(WordMemo):
         upto = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
         self.trim()
         return ids, np.diff(upto)
+
+
+@functools.lru_cache(maxsize=2)
+def token_encoder(path: str, end_id: int | None = None) -> TokenEncoder:
+    """The encoder of this Python worker, which keeps it and the words it met from task to task."""
+    return TokenEncoder(path, end_id)
