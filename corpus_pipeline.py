@@ -18,27 +18,32 @@ from tonearm.session import tune
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass their own rules and whose source is not rejected."""
+    tune(spark)
     return host_rules.keep_good(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each group of near copies: five words, 80 percent."""
+    tune(spark)
     return near_text.keep_one(docs, near_text.Near())
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with surrogates for personal data and secrets, and n_chars of the new text."""
+    tune(spark)
     made = surrogates.with_surrogates(docs, SURROGATE_KEY).select("doc.*")
     return made.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn and repeated so that sources, languages and topics have their target shares."""
+    tune(spark)
     return mixing.repeated(mixing.mix(docs, LANGUAGES, SMOOTHING))
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of all documents, packed into sequences of at most 2048."""
+    tune(spark)
     return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER), 0, VOCABULARY)
 
 
