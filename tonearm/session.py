@@ -23,6 +23,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # what a Python worker is handed at once; it holds such a batch besides what it makes of it
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
 }
 
 
