@@ -1,6 +1,7 @@
 """Lake, warehouse tables and daily runs."""
 
 import datetime as dt
+import re
 
 import pytest
 from conftest import SMALL
@@ -55,6 +56,27 @@ def test_repeated_ingest_of_a_day_replaces_it(spark, tmp_path, rows):
     assert rows(lake.read_lake(spark, root, USER), "user_id", "extract_day") == [("a", 1), ("b", 2), ("c", 2)]
 
 
+def test_no_old_extract_is_read_for_the_watermark(spark, tmp_path, capsys):
+    """Only the extract that reaches the latest day is compared with; its note tells which one that is."""
+    root = str(tmp_path)
+    for number, found in ((1, [("a", 1), ("b", 2)]), (2, [("a", 1), ("b", 2), ("c", 5)]), (3, [("b", 2), ("c", 5)])):
+        ingest.ingest_table(spark, users(spark, *found), root, USER, day(number))
+    noted = lake.noted_extracts(spark, root, USER, day(4))
+    assert [(e.day, e.latest, e.n) for e in noted] == [(day(1), day(2), 2), (day(2), day(5), 1), (day(3), None, 0)]
+    held, latest = lake.held_rows(spark, root, USER, day(4))
+    assert latest == day(5)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    held.explain()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    filters = capsys.readouterr().out.partition("PartitionFilters: [")[2].partition("]")[0]
+    assert re.findall(r"extract_day#\d+ = (\d+)", filters) == ["2"]
+    assert [r.user_id for r in held.collect()] == ["c"]
+    # a row of the latest day that came later, and one of a day after it
+    more = users(spark, ("a", 1), ("c", 5), ("d", 5), ("e", 6))
+    assert ingest.ingest_table(spark, more, root, USER, day(4)) == 2
+    assert ingest.ingest_table(spark, more, root, USER, day(4)) == 2  # repeated
+
+
 def test_empty_and_dateless_lakes_mean_a_full_load(spark):
     source = users(spark, ("a", 1), ("b", None))
     assert lake.incremental_rows(source, None, "updated_at").count() == 2
@@ -170,22 +192,201 @@ def test_no_playlist_entry_is_lost(spark, two_runs):
     assert due.join(facts, "track_key", "left_anti").count() == 0
 
 
-def test_entries_wait_until_the_tables_they_need_exist(spark):
-    """Entries of a day on which no artist was known yet have facts once artists are."""
-    c = Catalogue(spark, SMALL)
+ALL = list(SOURCE_TABLES)
+
+
+def facts_of(spark, places, rows):
+    """Rows of both fact tables; of the entries only those with a playlist, as a late one adds a row."""
+    found = {}
+    for name, spec in FACTS.items():
+        table = warehouse.read_facts(spark, places.warehouse, name)
+        known = table.where("playlist_key <> 'unknown'") if "playlist_key" in spec.keys and table is not None else table
+        keys = [k for k in spec.keys if k != "genre_key"]
+        genres = daily.read_dimension(spark, places.warehouse, "dim_genre").withColumnRenamed("name", "genre")
+        found[name] = [] if known is None else rows(known.join(genres, "genre_key").select(*keys, "genre"))
+    return found
+
+
+def run_days(spark, c, plan):
+    """Runs; ``plan`` gives for each day the tables it ingests, as they were at the end of the last day."""
     places = daily.Places(*[working_folder(spark, p) for p in ("lake", "staging", "warehouse")])
-    early = ("playlist", "playlist_track")
-    for run_day, wanted in ((DAYS[0], lambda name: name in early), (DAYS[2], lambda name: name not in early)):
-        source = lambda t: changed_until(c, t.name, run_day) if wanted(t.name) else None  # noqa: B023, E731
+    done = {}
+    for run_day, tables in plan:
+        source = lambda t: changed_until(c, t.name, DAYS[2]) if t.name in tables else None  # noqa: B023, E731
         ingest.ingest_all(spark, source, places.lake, run_day)
         done = daily.run_day(spark, places, run_day)
-        assert ("fact_playlist_track" in done["staged facts"]) == (run_day == DAYS[2])
-    read = lambda name: lake.read_lake(spark, places.lake, SOURCE_TABLES[name])
-    artists = daily.read_dimension(spark, places.warehouse, "dim_artist").select(F.col("artist_key").alias("artist_id"))
-    known = read("artist_track").join(artists, "artist_id", "left_semi").select("track_id")
-    due = read("playlist_track").join(known, "track_id", "left_semi").select(F.col("track_id").alias("track_key"))
-    facts = warehouse.read_facts(spark, places.warehouse, "fact_playlist_track")
-    assert due.count() > 0 and due.join(facts, "track_key", "left_anti").count() == 0
+    return places, done
+
+
+@pytest.fixture(scope="module")
+def at_once(spark):
+    """Both fact tables when every table comes on one day."""
+    c = Catalogue(spark, SMALL)
+    places, _ = run_days(spark, c, [(DAYS[0], ALL)])
+    take = lambda df, *columns: sorted((tuple(r) for r in df.collect()), key=repr)
+    found = facts_of(spark, places, take)
+    assert all(found.values())
+    return c, found
+
+
+@pytest.mark.parametrize("late", ["album", "artist", "artist_album", "playlist"])
+def test_a_late_table_loses_no_fact(spark, at_once, rows, late):
+    """Any table may come after all others: the facts are as if it had come with them."""
+    c, expected = at_once
+    places, done = run_days(spark, c, [(DAYS[0], [t for t in ALL if t != late]), (DAYS[2], [late])])
+    assert facts_of(spark, places, rows) == expected
+
+
+def test_tables_one_by_one(spark, at_once, rows):
+    c, expected = at_once
+    order = ["playlist_track", "track", "artist_track", "artist_album", "artist", "user", "playlist", "album"]
+    assert sorted(order) == sorted(ALL)
+    places, _ = run_days(spark, c, [(day(1 + k), [name]) for k, name in enumerate(order)])
+    assert facts_of(spark, places, rows) == expected
+
+
+def test_artists_that_come_later_give_facts(spark, at_once, rows):
+    """Half of the artists on the first day, the rest on the second: albums and entries of both kinds are completed."""
+    c, expected = at_once
+    places = daily.Places(*[working_folder(spark, p) for p in ("lake", "staging", "warehouse")])
+    for number, condition in enumerate(("pmod(crc32(artist_id), 2) = 0", "true")):
+        def source(t):
+            found = changed_until(c, t.name, DAYS[2])
+            if t.name == "artist":
+                late = F.pmod(F.crc32("artist_id"), F.lit(2)) == 1
+                moved = F.when(late, F.lit(dt.datetime(2024, 1, 4, 12))).otherwise(F.col("updated_at"))
+                return found.withColumn("updated_at", moved).where(condition)  # noqa: B023
+            return found
+
+        ingest.ingest_all(spark, source, places.lake, day(3 + number))
+        daily.run_day(spark, places, day(3 + number))
+    assert facts_of(spark, places, rows) == expected
+
+
+def test_a_run_reads_no_history(spark, two_runs, capsys):
+    """The lake is read by day only; what the day touches comes from buckets of the indexes."""
+    _, places = two_runs
+    changed = daily.changed_artists(spark, places, DAYS[2])
+    for candidates in (daily.candidate_tracks, daily.candidate_entries):
+        capsys.readouterr()
+        candidates(spark, places, DAYS[2], changed).explain("formatted")
+        plan = capsys.readouterr().out
+        scans = [part for part in plan.split("\n\n") if "Scan parquet" in part and "Location" in part]
+        lake_scans = [s for s in scans if places.lake in s]
+        assert lake_scans and all("extract_day" in s.partition("PartitionFilters")[2] for s in lake_scans)
+        assert any("/tracks_by_" in s or "/entries_by_" in s or "/albums_by_" in s for s in scans)
+
+
+def test_unchanged_artists_touch_nothing(spark, two_runs):
+    """Followers may change: only new artists and other genres count."""
+    _, places = two_runs
+    held = daily.read_dimension(spark, places.warehouse, "dim_artist", before=20240103)
+    found = daily.changed_artists(spark, places, DAYS[2])
+    of_day = lake.read_lake(spark, places.lake, SOURCE_TABLES["artist"], DAYS[2])
+    same = of_day.join(held.select(F.col("artist_key").alias("artist_id"), F.col("genres").alias("before")), "artist_id")
+    same = same.where(F.col("genres").eqNullSafe(F.col("before")))
+    assert found.join(same, "artist_id", "left_semi").count() == 0
+    assert found.count() + same.select("artist_id").distinct().count() >= of_day.select("artist_id").distinct().count()
+
+
+# ---- compaction -------------------------------------------------------------------------------
+
+
+def fact_rows(spark, run, months=("2024-01-05", "2023-11-09")):
+    data = [(dt.date.fromisoformat(m), f"t{run}-{k}") for k, m in enumerate(months)] + [(None, f"t{run}-none")]
+    return spark.createDataFrame(data, "date_actual date, track_key string")
+
+
+def files_of(root, table):
+    from pathlib import Path
+
+    return [p for p in Path(root, table, "rows").rglob("*.parquet")]
+
+
+def keys_read(spark, root, table="fact_playlist_track", before=None):
+    return sorted(r.track_key for r in warehouse.read_facts(spark, root, table, before).select("track_key").collect())
+
+
+def test_thirty_runs_become_few_files(spark, tmp_path):
+    root, table = str(tmp_path), "fact_playlist_track"
+    for number in range(1, 31):
+        warehouse.write_facts(fact_rows(spark, number), root, table, 20240100 + number)
+    before = keys_read(spark, root)
+    plan_files = len(files_of(root, table))
+    number = warehouse.compact(spark, root, table, 20240101, 20240131)
+    assert keys_read(spark, root) == before and len(before) == 90
+    assert warehouse.committed_runs(spark, root, table) == [number, 20240130]  # the last run may be repeated
+    # a reader of an earlier state sees that state
+    assert len(keys_read(spark, root, before=20240110)) == 27
+    # one file a month and one without
+    names = warehouse.read_facts(spark, root, table).withColumn("file", F.input_file_name())
+    assert names.where("added_month = '2024-01-01'").select("file").distinct().count() == 2
+    assert names.select("file").distinct().count() == 6 < plan_files
+    # repeating the last run changes nothing
+    warehouse.write_facts(fact_rows(spark, 30), root, table, 20240130)
+    assert keys_read(spark, root) == before
+    assert warehouse.compact(spark, root, table, 20240101, 20240131) is None  # nothing new
+    assert warehouse.remove_replaced(spark, root, table) == []  # a reader that began before the last run may be at it
+    warehouse.write_facts(fact_rows(spark, 31), root, table, 20240131)
+    assert len(warehouse.remove_replaced(spark, root, table)) == 29
+    assert keys_read(spark, root, before=20240131) == before
+    assert keys_read(spark, root, before=20240130) == [k for k in before if not k.startswith("t30-")]
+    assert len(files_of(root, table)) == 9
+
+
+def test_compaction_that_stops_before_its_commit(spark, tmp_path, monkeypatch):
+    root, table = str(tmp_path), "fact_playlist_track"
+    for number in range(1, 5):
+        warehouse.write_facts(fact_rows(spark, number), root, table, 20240100 + number)
+    before = keys_read(spark, root)
+    commit = warehouse._commit
+    with monkeypatch.context() as broken:
+        def stop(*args, **named):
+            raise RuntimeError("lost")
+
+        broken.setattr(warehouse, "_commit", stop)
+        with pytest.raises(RuntimeError):
+            warehouse.compact(spark, root, table, 20240101, 20240131)
+    assert keys_read(spark, root) == before  # the folder is there, but stands for nothing
+    assert warehouse.committed_runs(spark, root, table) == [20240101, 20240102, 20240103, 20240104]
+    assert warehouse.remove_replaced(spark, root, table) == []
+    assert warehouse._commit is commit and warehouse.compact(spark, root, table, 20240101, 20240131) < 0
+    assert keys_read(spark, root) == before
+
+
+def test_compacted_folders_are_compacted_again(spark, tmp_path):
+    root, table = str(tmp_path), "fact_playlist_track"
+    for number in range(1, 8):
+        warehouse.write_facts(fact_rows(spark, number), root, table, 20240100 + number)
+    before = keys_read(spark, root)
+    warehouse.compact(spark, root, table, 20240101, 20240103)
+    warehouse.compact(spark, root, table, 20240104, 20240105)
+    assert len(warehouse.committed_runs(spark, root, table)) == 4 and keys_read(spark, root) == before
+    whole = warehouse.compact(spark, root, table, 20240101, 20240131)
+    assert warehouse.committed_runs(spark, root, table) == [whole, 20240107] and keys_read(spark, root) == before
+    assert len(warehouse.remove_replaced(spark, root, table, keep_runs=1)) == 8
+    assert keys_read(spark, root) == before
+    # a reader that began two runs ago keeps its folders
+    for number in range(8, 11):
+        warehouse.write_facts(fact_rows(spark, number), root, table, 20240100 + number)
+    warehouse.compact(spark, root, table, 20240101, 20240131)
+    assert warehouse.remove_replaced(spark, root, table, keep_runs=2) == []
+    assert len(keys_read(spark, root, before=20240109)) == 24
+
+
+def test_compaction_between_runs_changes_nothing(spark, rows, at_once):
+    """Runs, a compaction and retention in the middle, and a repeated last run."""
+    c, expected = at_once
+    plan = [(day(1), ["track", "album"]), (day(2), ["artist_album", "artist_track"]), (day(3), ["artist", "user"])]
+    places, _ = run_days(spark, c, plan)
+    assert "tracks_by_album" not in daily.compact_month(spark, places, day(1))  # one run wrote it
+    for number, tables in ((4, ["playlist", "playlist_track"]), (5, []), (6, []), (6, [])):
+        source = lambda t: changed_until(c, t.name, DAYS[2]) if t.name in tables else None  # noqa: B023, E731
+        ingest.ingest_all(spark, source, places.lake, day(number))
+        daily.run_day(spark, places, day(number))
+        daily.compact_month(spark, places, day(1))
+    assert facts_of(spark, places, rows) == expected
+    assert len(warehouse.committed_runs(spark, places.warehouse, "fact_album_track")) <= 2
 
 
 def test_repeating_the_last_run_changes_nothing(spark, two_runs, rows):
@@ -218,5 +419,5 @@ def test_runs_without_facts(spark, tmp_path):
 def test_day_without_extracts_loads_no_dimension(spark, two_runs):
     _, places = two_runs
     done = daily.run_day(spark, places, dt.date(2024, 2, 1))
-    assert done["loaded dimensions"] == ["dim_artist"]  # staged from the whole history
+    assert done["loaded dimensions"] == []
     assert "fact_playlist_track" not in done["loaded facts"]

@@ -45,7 +45,7 @@ def stage_album(album: DataFrame) -> DataFrame:
 
 
 def stage_artist(artist: DataFrame) -> DataFrame:
-    """From the whole history of extracts."""
+    """From extracts of a day, or of the whole history."""
     columns = ["name", "url", "genres", "followers_count", "monthly_listeners"]
     return _newest(artist, "artist_id", columns).select(
         F.col("artist_id").alias("artist_key"),

@@ -53,7 +53,7 @@ def album_track(
 
 
 def unplaced_tracks(track: DataFrame, facts: DataFrame) -> DataFrame:
-    """Tracks without any fact: their album or its artists are not known yet."""
+    """Tracks, or entries of tracks, without any fact: something they need is not known yet."""
     return not_in(track, facts.select(F.col("track_key").alias("track_id")), ["track_id"])
 
 

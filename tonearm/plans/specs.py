@@ -15,8 +15,8 @@ class DimensionSpec:
     columns: tuple[str, ...]
     compared: tuple[str, ...]
     staging_format: str = "parquet"
-    # staged from the whole history, so as large as the dimension itself; a backfill is that too, and must merge
-    # with the strategy "full", which reads each side once
+    # staged as large as the dimension itself, so merged with the strategy "full", which reads each side once; a rebuild
+    # from the whole history is that too
     whole: bool = False
 
     @property
@@ -49,7 +49,7 @@ DIMENSIONS = {
         ),
         _dimension(
             "dim_artist", 2, "artist_key", "name genres url followers_count monthly_listeners",
-            staging_format="orc", whole=True,
+            staging_format="orc",
         ),
         _dimension("dim_genre", 1, "genre_key", "name", whole=True),
         _dimension(

@@ -2,6 +2,9 @@
 
 Each step writes a table and the next reads it, so lineage stays short, later plans see true
 table sizes, and a failed run is repeated from the start with the same outcome.
+
+Tables may come in any order. Bridges, tracks and playlist entries are indexed by the ids they are looked up by, so a
+run finds what its artists, albums and links of the day touch without reading the history.
 """
 
 from __future__ import annotations
@@ -9,6 +12,7 @@ from __future__ import annotations
 import datetime as dt
 import logging
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +25,7 @@ from tonearm.plans.specs import DIMENSIONS, FACTS, DimensionSpec, FactSpec
 from tonearm.schemas import SOURCE_TABLES
 from tonearm.session import side_by_side
 from tonearm.sources import warehouse
-from tonearm.sources.lake import missing_or_empty, read_lake
+from tonearm.sources.lake import extracted_between, missing_or_empty, read_lake
 
 logger = logging.getLogger(__name__)
 
@@ -55,8 +59,13 @@ def _stage(df: DataFrame, places: Places, run: int, name: str, fmt: str = "parqu
     logger.info("staged %s", name)
 
 
-def stage_dimensions(spark: SparkSession, places: Places, run_date: dt.date) -> list[str]:
-    """Stage the dimensions whose source has an extract of the day; the rest are skipped."""
+def stage_dimensions(
+    spark: SparkSession, places: Places, run_date: dt.date, rebuild: bool = False
+) -> list[str]:
+    """Stage the dimensions whose source has an extract of the day; the rest are skipped.
+
+    The artists of the day are merged into those held; ``rebuild`` stages them from the whole history instead.
+    """
     run = warehouse.run_number(run_date)
 
     def extract(table: str, whole: bool = False) -> DataFrame | None:
@@ -65,7 +74,7 @@ def stage_dimensions(spark: SparkSession, places: Places, run_date: dt.date) ->
     known_genres = read_dimension(spark, places.warehouse, "dim_genre", before=run)
     jobs = {
         "dim_album": (extract("album"), dims.stage_album),
-        "dim_artist": (extract("artist", whole=True), dims.stage_artist),
+        "dim_artist": (extract("artist", whole=rebuild), dims.stage_artist),
         "dim_genre": (
             extract("artist"),
             lambda df: dims.with_unknown_genre(dims.stage_genre(df, known_genres)),
@@ -89,89 +98,173 @@ def stage_dimensions(spark: SparkSession, places: Places, run_date: dt.date) ->
 
 
 PENDING = "pending_tracks"
+PENDING_ENTRIES = "pending_entries"
 TRACK_COLUMNS = ["track_id", "album_id", "created_at"]
+ENTRY_COLUMNS = ["playlist_id", "track_id", "added_at"]
+
+#: Source table → the indexes kept of it, and their columns.
+INDEXES = {
+    "track": (["tracks_by_album"], TRACK_COLUMNS),
+    "artist_album": (["albums_by_artist", "artists_by_album"], ["artist_id", "album_id"]),
+    "artist_track": (["tracks_by_artist", "artists_by_track"], ["artist_id", "track_id"]),
+    "playlist_track": (["entries_by_track", "entries_by_playlist"], ENTRY_COLUMNS),
+}
+
 
+def index_sources(spark: SparkSession, places: Places, run_date: dt.date) -> list[str]:
+    """Add to each index what the lake gained since the last run that did so: a day's rows, the history at first."""
+    run = warehouse.run_number(run_date)
 
-def touched_albums(
-    spark: SparkSession, places: Places, run_date: dt.date, artist_album: DataFrame
-) -> DataFrame:
-    """Albums that gained an artist in the extract of the day, or whose artist changed in it."""
-    links = read_lake(spark, places.lake, SOURCE_TABLES["artist_album"], run_date)
+    def add(source: str, index: str, columns: list[str]) -> str | None:
+        rows = read_lake(spark, places.lake, SOURCE_TABLES[source])
+        if rows is None:
+            return None
+        done = warehouse.latest_unit(spark, places.warehouse, index, before=run)
+        since = None if done is None else dt.datetime.strptime(str(done.last), "%Y%m%d").date()
+        rows = rows.where(extracted_between(since, run_date)).select(*columns).dropDuplicates()
+        warehouse.write_facts(rows, places.warehouse, index, run)
+        return index
+
+    jobs = [
+        lambda source=source, index=index, columns=columns: add(source, index, columns)
+        for source, (indexes, columns) in INDEXES.items()
+        for index in indexes
+    ]
+    return [name for name in side_by_side(jobs) if name is not None]
+
+
+def changed_artists(spark: SparkSession, places: Places, run_date: dt.date) -> DataFrame | None:
+    """artist_id of the artists of the day that are new or have other genres than before it."""
     artists = read_lake(spark, places.lake, SOURCE_TABLES["artist"], run_date)
-    albums = links.select("album_id")
-    if artists is not None:
-        changed = artist_album.join(artists.select("artist_id"), "artist_id", "left_semi")
-        albums = albums.unionByName(changed.select("album_id"))
-    return albums.dropDuplicates()
+    if artists is None:
+        return None
+    held = read_dimension(spark, places.warehouse, "dim_artist", before=warehouse.run_number(run_date))
+    if held is None:
+        return artists.select("artist_id").dropDuplicates()
+    held = held.select(F.col("artist_key").alias("artist_id"), F.col("genres").alias("held_genres"), F.lit(True).alias("is_held"))
+    both = artists.select("artist_id", "genres").join(held, "artist_id", "left")
+    changed = both.where(F.col("is_held").isNull() | ~F.col("genres").eqNullSafe(F.col("held_genres")))
+    return changed.select("artist_id").dropDuplicates()
+
+
+def _stored(df: DataFrame, places: Places, run: int, name: str) -> DataFrame:
+    """A working table of the run."""
+    warehouse.write_staging(df, places.staging_of(run), name)
+    return df.sparkSession.read.schema(df.schema).parquet(f"{places.staging_of(run)}/{name}")
+
+
+def _union(*parts: DataFrame | None) -> DataFrame | None:
+    """The distinct rows of the tables that are there."""
+    present = [p for p in parts if p is not None]
+    return reduce(DataFrame.unionByName, present).dropDuplicates() if present else None
+
+
+def touched(
+    spark: SparkSession, places: Places, run_date: dt.date, links: str, key: str, by_artist: str, changed: DataFrame | None
+) -> DataFrame | None:
+    """``key`` of what gained an artist in the extract of the day, or whose artist is new or has other genres."""
+    run = warehouse.run_number(run_date)
+    of_day = read_lake(spark, places.lake, SOURCE_TABLES[links], run_date)
+    of_artists = None if changed is None else warehouse.read_index(spark, places.warehouse, by_artist, changed, run + 1)
+    return _union(*(None if rows is None else rows.select(key) for rows in (of_day, of_artists)))
 
 
 def candidate_tracks(
-    spark: SparkSession, places: Places, run_date: dt.date, artist_album: DataFrame
-) -> DataFrame:
+    spark: SparkSession, places: Places, run_date: dt.date, changed: DataFrame | None
+) -> DataFrame | None:
     """Tracks that may give new facts: of the day, left pending by earlier runs, on touched albums.
 
-    Facts are not read for this, so the cost follows the day and not the history.
+    Neither facts nor the history of tracks are read for this, so the cost follows the day.
     """
     run = warehouse.run_number(run_date)
-    history = read_lake(spark, places.lake, SOURCE_TABLES["track"]).select(*TRACK_COLUMNS)
-    of_day = read_lake(spark, places.lake, SOURCE_TABLES["track"], run_date).select(*TRACK_COLUMNS)
-    touched = touched_albums(spark, places, run_date, artist_album)
-    tracks = of_day.unionByName(
-        history.join(touched, "album_id", "left_semi").select(*TRACK_COLUMNS)
+    of_day = read_lake(spark, places.lake, SOURCE_TABLES["track"], run_date)
+    albums_of_day = read_lake(spark, places.lake, SOURCE_TABLES["album"], run_date)
+    albums = _union(
+        touched(spark, places, run_date, "artist_album", "album_id", "albums_by_artist", changed),
+        None if albums_of_day is None else albums_of_day.select("album_id"),
+    )
+    again = None
+    if albums is not None:
+        albums = _stored(albums, places, run, "touched_albums")
+        again = warehouse.read_index(spark, places.warehouse, "tracks_by_album", albums, run + 1)
+    return _union(
+        None if of_day is None else of_day.select(*TRACK_COLUMNS),
+        again,
+        warehouse.read_snapshot(spark, places.warehouse, PENDING, before=run),
     )
-    pending = warehouse.read_snapshot(spark, places.warehouse, PENDING, before=run)
-    return tracks if pending is None else tracks.unionByName(pending)
 
 
-PENDING_ENTRIES = "pending_entries"
-ENTRY_COLUMNS = ["playlist_id", "track_id", "added_at"]
+def new_playlists(spark: SparkSession, places: Places, run_date: dt.date) -> DataFrame | None:
+    """playlist_id of the playlists that the day brought."""
+    of_day = read_lake(spark, places.lake, SOURCE_TABLES["playlist"], run_date)
+    if of_day is None:
+        return None
+    ids = of_day.select("playlist_id").dropDuplicates()
+    held = read_dimension(spark, places.warehouse, "dim_playlist", before=warehouse.run_number(run_date))
+    return ids if held is None else not_in(ids, held.select(F.col("playlist_key").alias("playlist_id")), ["playlist_id"])
 
 
-def candidate_entries(spark: SparkSession, places: Places, run_date: dt.date) -> DataFrame | None:
-    """Playlist entries of the day and those that earlier runs found no artist for."""
+def candidate_entries(
+    spark: SparkSession, places: Places, run_date: dt.date, changed: DataFrame | None
+) -> DataFrame | None:
+    """Playlist entries that may give new facts: of the day, left pending, of touched tracks and of new playlists."""
     run = warehouse.run_number(run_date)
-    entries = read_lake(spark, places.lake, SOURCE_TABLES["playlist_track"], run_date)
-    pending = warehouse.read_snapshot(spark, places.warehouse, PENDING_ENTRIES, before=run)
-    if entries is None:
-        return pending
-    entries = entries.select(*ENTRY_COLUMNS)
-    return entries if pending is None else entries.unionByName(pending).dropDuplicates()
+    of_day = read_lake(spark, places.lake, SOURCE_TABLES["playlist_track"], run_date)
+    tracks = touched(spark, places, run_date, "artist_track", "track_id", "tracks_by_artist", changed)
+    playlists = new_playlists(spark, places, run_date)
+    again = []
+    for index, name, keys in (("entries_by_track", "touched_tracks", tracks), ("entries_by_playlist", "new_playlists", playlists)):
+        if keys is not None:
+            keys = _stored(keys, places, run, name)
+            again.append(warehouse.read_index(spark, places.warehouse, index, keys, run + 1))
+    return _union(
+        None if of_day is None else of_day.select(*ENTRY_COLUMNS),
+        *again,
+        warehouse.read_snapshot(spark, places.warehouse, PENDING_ENTRIES, before=run),
+    )
 
 
 def stage_facts(spark: SparkSession, places: Places, run_date: dt.date) -> list[str]:
-    """Stage the facts of the day; tracks and entries that earlier runs could not place are tried again."""
+    """Stage the facts of the day; tracks and entries that earlier runs could not place are tried again.
+
+    While a table they need is missing, they all stay pending.
+    """
     run = warehouse.run_number(run_date)
+    index_sources(spark, places, run_date)
     dimension = {
         name: read_dimension(spark, places.warehouse, name, before=run + 1)
         for name in ("dim_album", "dim_artist", "dim_genre", "dim_playlist")
     }
+    changed = changed_artists(spark, places, run_date)
+    changed = None if changed is None else _stored(changed, places, run, "changed_artists")
     staged = []
 
-    artist_album = read_lake(spark, places.lake, SOURCE_TABLES["artist_album"])
-    has_tracks = read_lake(spark, places.lake, SOURCE_TABLES["track"]) is not None
-    needed = [artist_album, dimension["dim_album"], dimension["dim_artist"], dimension["dim_genre"]]
-    if has_tracks and all(df is not None for df in needed):
-        tracks = candidate_tracks(spark, places, run_date, artist_album)
-        _stage(facts.album_track(tracks, *needed), places, run, "fact_album_track")
-        placed = warehouse.read_table(spark, places.staging_of(run), "fact_album_track")
-        pending = facts.unplaced_tracks(tracks, placed).dropDuplicates()
-        warehouse.write_snapshot(pending, places.warehouse, PENDING, run)
-        staged.append("fact_album_track")
-
-    entries = candidate_entries(spark, places, run_date)
-    artist_track = read_lake(spark, places.lake, SOURCE_TABLES["artist_track"])
-    needed = [artist_track, dimension["dim_playlist"], dimension["dim_artist"], dimension["dim_genre"]]
-    if missing_or_empty(entries):
-        return staged
-    if all(df is not None for df in needed):
-        _stage(facts.playlist_track(entries, *needed), places, run, "fact_playlist_track")
-        placed = warehouse.read_table(spark, places.staging_of(run), "fact_playlist_track")
-        placed = placed.select(F.col("track_key").alias("track_id"))
-        unplaced = not_in(entries.select(*ENTRY_COLUMNS), placed, ["track_id"])
-        warehouse.write_snapshot(unplaced, places.warehouse, PENDING_ENTRIES, run)
-        staged.append("fact_playlist_track")
-    else:  # all wait until the tables they need are there
-        warehouse.write_snapshot(entries.select(*ENTRY_COLUMNS), places.warehouse, PENDING_ENTRIES, run)
+    def place(candidates: DataFrame | None, name: str, index: str, key: str, needed: list, build, pending: str) -> None:
+        """Stage the facts of candidates; those without any are kept as pending."""
+        if missing_or_empty(candidates):
+            return
+        candidates = _stored(candidates, places, run, f"{pending}_tried")
+        bridge = warehouse.read_index(spark, places.warehouse, index, candidates.select(key).dropDuplicates(), run + 1)
+        needed = [bridge, *needed]
+        left = candidates
+        if all(df is not None for df in needed):
+            _stage(build(candidates, *needed), places, run, name)
+            placed = warehouse.read_table(spark, places.staging_of(run), name)
+            left = facts.unplaced_tracks(candidates, placed)
+            staged.append(name)
+        warehouse.write_snapshot(left, places.warehouse, pending, run)
+
+    known = [dimension["dim_artist"], dimension["dim_genre"]]
+    place(
+        candidate_tracks(spark, places, run_date, changed),
+        "fact_album_track", "artists_by_album", "album_id",
+        [dimension["dim_album"], *known], facts.album_track, PENDING,
+    )
+    place(
+        candidate_entries(spark, places, run_date, changed),
+        "fact_playlist_track", "artists_by_track", "track_id",
+        [dimension["dim_playlist"], *known], facts.playlist_track, PENDING_ENTRIES,
+    )
     return staged
 
 
@@ -179,7 +272,7 @@ def stage_facts(spark: SparkSession, places: Places, run_date: dt.date) -> list[
 
 
 def load_dimension(
-    spark: SparkSession, spec: DimensionSpec, places: Places, run_date: dt.date
+    spark: SparkSession, spec: DimensionSpec, places: Places, run_date: dt.date, rebuild: bool = False
 ) -> bool:
     """Merge the staged rows of a dimension; False when nothing was staged."""
     run = warehouse.run_number(run_date)
@@ -187,12 +280,13 @@ def load_dimension(
     if staged is None:
         return False
     as_of = dt.datetime.combine(run_date, dt.time())
+    strategy = "full" if rebuild else spec.strategy
     held = read_dimension(spark, places.warehouse, spec.name, before=run)
     if spec.scd_type == 1:
         if held is None:
             merged = staged.withColumns(audit_stamps(as_of))
         else:
-            merged = scd1(held, staged, [spec.key], as_of, spec.compared, spec.strategy)
+            merged = scd1(held, staged, [spec.key], as_of, spec.compared, strategy)
         warehouse.write_snapshot(merged, places.warehouse, spec.name, run)
     else:
         if held is None:
@@ -204,15 +298,17 @@ def load_dimension(
                 }
             )
         else:
-            merged = scd2_open_rows(held, staged, [spec.key], run_date, spec.compared, spec.strategy)
+            merged = scd2_open_rows(held, staged, [spec.key], run_date, spec.compared, strategy)
         warehouse.write_versions(merged, places.warehouse, spec.name, run)
     return True
 
 
-def load_dimensions(spark: SparkSession, places: Places, run_date: dt.date) -> list[str]:
+def load_dimensions(
+    spark: SparkSession, places: Places, run_date: dt.date, rebuild: bool = False
+) -> list[str]:
     specs = list(DIMENSIONS.values())
     loaded = side_by_side(
-        [lambda spec=spec: load_dimension(spark, spec, places, run_date) for spec in specs]
+        [lambda spec=spec: load_dimension(spark, spec, places, run_date, rebuild) for spec in specs]
     )
     return [spec.name for spec, done in zip(specs, loaded) if done]
 
@@ -288,11 +384,30 @@ def refresh_marts(spark: SparkSession, places: Places, run_date: dt.date) -> lis
     return [*done, "favorite_track"]
 
 
-def run_day(spark: SparkSession, places: Places, run_date: dt.date) -> dict[str, list[str]]:
+def compact_month(spark: SparkSession, places: Places, month: dt.date, keep_runs: int = 2) -> dict[str, int]:
+    """Gather the runs of a month, of the fact tables and the indexes, and drop what no reader needs any more.
+
+    The number of the compacted folder of each table that had several; the last run is left as it is.
+    """
+    first = warehouse.run_number(month.replace(day=1))
+    done = {}
+    for table in (*FACTS, *(index for indexes, _ in INDEXES.values() for index in indexes)):
+        number = warehouse.compact(spark, places.warehouse, table, first, first + 30)
+        if number is not None:
+            done[table] = number
+        warehouse.remove_replaced(spark, places.warehouse, table, keep_runs)
+    for table in (PENDING, PENDING_ENTRIES, "user_genre_preference", "favorite_track"):
+        warehouse.remove_snapshots(spark, places.warehouse, table, keep_runs)
+    return done
+
+
+def run_day(
+    spark: SparkSession, places: Places, run_date: dt.date, rebuild: bool = False
+) -> dict[str, list[str]]:
     """Everything of one day, in order; which tables each stage wrote."""
     return {
-        "staged dimensions": stage_dimensions(spark, places, run_date),
-        "loaded dimensions": load_dimensions(spark, places, run_date),
+        "staged dimensions": stage_dimensions(spark, places, run_date, rebuild),
+        "loaded dimensions": load_dimensions(spark, places, run_date, rebuild),
         "staged facts": stage_facts(spark, places, run_date),
         "loaded facts": load_facts(spark, places, run_date),
         "marts": refresh_marts(spark, places, run_date),

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tonearm.plans import ingest
@@ -364,23 +366,77 @@ def warehouse_after(c, days):
     return places
 
 
+def text_of(df, table, *columns):
+    """Rows of several tables as one: the name of the table and the row's values."""
+    return df.select(F.lit(table).alias("table_name"), F.concat_ws("|", *columns).alias("content"))
+
+
+ALBUM_FACT = ["release_date_key", "album_key", "artist_key", "track_key"]
+PLAYLIST_FACT = ["added_date_key", "playlist_key", "user_key", "track_key"]
+METRIC = ["release_month", "release_year", "album_key", "artist_key", "tracks_count"]
+PREFERENCE = ["name", "genre", "tracks_count", "tracks_plays_count"]
+
+
 @query(
     "h15_daily_runs",
-    """select 'dim_album' as table_name, count(*) as n from dim_album union all select 'dim_artist', count(*) from dim_artist
-    union all select 'dim_genre', count(*) from dim_genre union all select 'dim_playlist', count(*) from dim_playlist
-    union all select 'dim_user', count(*) from dim_user union all select 'dim_track', count(*) from dim_track
-    union all select 'fact_album_track', count(*) from fact_album_track_all
-    union all select 'album_track_metric', cast(sum(n) as bigint) from
-      (select count(distinct (release_date_key, album_key, artist_key, track_key)) as n from fact_album_track_all)""",
+    """select 'dim_album' as table_name, cast(count(*) as text) as content from dim_album
+    union all select 'dim_artist', cast(count(*) as text) from dim_artist
+    union all select 'dim_genre', cast(count(*) as text) from dim_genre
+    union all select 'dim_playlist', cast(count(*) as text) from dim_playlist
+    union all select 'dim_user', cast(count(*) as text) from dim_user
+    union all select 'dim_track', cast(count(*) as text) from dim_track
+    union all select 'fact_album_track', concat_ws('|', release_date_key, album_key, artist_key, track_key, string_agg(g.name, ',' order by g.name))
+      from fact_album_track_all f join dim_genre g using (genre_key) group by release_date_key, album_key, artist_key, track_key
+    union all select 'fact_playlist_track', concat_ws('|', added_date_key, playlist_key, user_key, track_key, string_agg(g.name, ',' order by g.name))
+      from fact_playlist_track f join dim_genre g using (genre_key) where playlist_key <> 'unknown'
+      group by added_date_key, playlist_key, user_key, track_key
+    union all select 'album_track_metric', concat_ws('|', d.month_of_year, d.year, album_key, artist_key, count(distinct (release_date_key, track_key)))
+      from fact_album_track_all f join dim_date d on f.release_date_key = d.date_key group by d.month_of_year, d.year, album_key, artist_key
+    union all select 'user_genre_preference', concat_ws('|', u.name, g.name, count(*), sum(t.plays_count))
+      from (select distinct user_key, genre_key, track_key from fact_playlist_track where genre_key <> -1) h, dim_user u, dim_genre g, dim_track t
+      where h.user_key = u.user_key and h.genre_key = g.genre_key and h.track_key = t.track_key and u.name <> '' group by u.name, g.name""",
 )
 def daily_runs(c):
-    """Two runs; at the end the album side is as if everything had come at once."""
+    """Two runs; at the end all is as if everything had come at once.
+
+    Genres are named, as their keys follow the order of arrival. A fact of a playlist that came after its entries stays
+    beside the one with the playlist, so facts of unknown playlists are left out, with the mart that counts playlists.
+    """
     places = warehouse_after(c, [DAYS[0], DAYS[2]])
-    tables = {name: daily.read_dimension(c.spark, places.warehouse, name) for name in DIMENSIONS}
-    tables["fact_album_track"] = warehouse.read_facts(c.spark, places.warehouse, "fact_album_track")
-    result = None
-    for name, rows in tables.items():
-        part = rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n")
-        result = part if result is None else result.unionByName(part)
-    metric = daily.read_metric(c.spark, places.warehouse).agg(F.sum("tracks_count").alias("n"))
-    return result.unionByName(metric.select(F.lit("album_track_metric").alias("table_name"), "n"))
+    genres = daily.read_dimension(c.spark, places.warehouse, "dim_genre").select("genre_key", F.col("name").alias("genre"))
+
+    def facts_with_genres(table, keys, condition="true"):
+        rows = warehouse.read_facts(c.spark, places.warehouse, table).where(condition).join(genres, "genre_key")
+        named = rows.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_list("genre")), ",").alias("genres"))
+        return text_of(named, table, *keys, "genres")
+
+    parts = [
+        daily.read_dimension(c.spark, places.warehouse, name)
+        .agg(F.count(F.lit(1)).cast("string").alias("content"))
+        .select(F.lit(name).alias("table_name"), "content")
+        for name in DIMENSIONS
+    ]
+    parts.append(facts_with_genres("fact_album_track", ALBUM_FACT))
+    parts.append(facts_with_genres("fact_playlist_track", PLAYLIST_FACT, "playlist_key <> 'unknown'"))
+    parts.append(text_of(daily.read_metric(c.spark, places.warehouse), "album_track_metric", *METRIC))
+    mart = warehouse.read_snapshot(c.spark, places.warehouse, "user_genre_preference")
+    parts.append(text_of(mart, "user_genre_preference", *PREFERENCE))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(
+    "a16_month_compaction",
+    """select cast(date_trunc('month', date_actual) as date) as added_month, added_date_key, playlist_key, user_key, track_key,
+    count(*) as n_genres from fact_playlist_track group by all""",
+)
+def month_compaction(c):
+    """Facts written by four runs, three of them compacted, the replaced folders removed."""
+    root, table = working_folder(c.spark, "warehouse"), "fact_playlist_track"
+    part = F.pmod(F.crc32("track_key"), F.lit(4))
+    for number in range(4):
+        warehouse.write_facts(c.fact_playlist_track.where(part == number), root, table, 20240101 + number)
+    warehouse.compact(c.spark, root, table, 20240101, 20240131)
+    warehouse.remove_replaced(c.spark, root, table, keep_runs=1)
+    rows = warehouse.read_facts(c.spark, root, table)
+    keys = [F.col("added_month").cast("date").alias("added_month"), *PLAYLIST_FACT[:3], "track_key"]
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_genres"))

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,6 +43,12 @@ def extracted_before(date: dt.date) -> Column:
     )
 
 
+def extracted_between(after: dt.date | None, until: dt.date) -> Column:
+    """Condition on the partition columns: days after one (all, if None) up to another."""
+    upto = extracted_before(until + dt.timedelta(days=1))
+    return upto if after is None else upto & ~extracted_before(after + dt.timedelta(days=1))
+
+
 def read_lake(
     spark: SparkSession, root: str, table: SourceTable, extract_date: dt.date | None = None
 ) -> DataFrame | None:
@@ -60,21 +69,67 @@ def high_watermark(lake: DataFrame, incremental_col: str) -> dt.date | None:
     return lake.agg(F.max(incremental_col).cast("date").alias("day")).first()["day"]
 
 
+@dataclass(frozen=True)
+class Extract:
+    """What is noted of an extract: its day, the latest day of change in it (None without any), its rows."""
+
+    day: dt.date
+    latest: dt.date | None
+    n: int
+
+
+def note_extract(spark: SparkSession, root: str, table: SourceTable, date: dt.date) -> Extract:
+    """Note an extract that was written; only its own rows are read, of one column."""
+    rows = read_lake(spark, root, table, date)
+    row = rows.agg(F.max(table.incremental_col).cast("date").alias("latest"), F.count(F.lit(1)).alias("n")).first()
+    noted = spark.createDataFrame([(date, row["latest"], row["n"])], "day date, latest date, n long")
+    noted.coalesce(1).write.mode("overwrite").parquet(f"{path_of(root, 'extracts')}/{table.name}/{date:%Y%m%d}")
+    return Extract(date, row["latest"], row["n"])
+
+
+def noted_extracts(spark: SparkSession, root: str, table: SourceTable, before: dt.date) -> list[Extract]:
+    """What is noted of the extracts before a day: one row each."""
+    noted = read_if_exists(spark.read.schema("day date, latest date, n long"), f"{path_of(root, 'extracts')}/{table.name}/*")
+    if noted is None:
+        return []
+    rows = noted.where(F.col("day") < F.lit(before)).collect()
+    return sorted((Extract(*row) for row in rows), key=lambda e: e.day)
+
+
+def held_rows(spark: SparkSession, root: str, table: SourceTable, before: dt.date) -> tuple[DataFrame | None, dt.date | None]:
+    """Rows of the extracts before a day among which those of the latest day lie, and that day.
+
+    By what is noted of them, only extracts that reach the latest day are read. Extracts of a lake that has no notes are
+    all read.
+    """
+    lake = read_lake(spark, root, table)
+    if lake is None:
+        return None, None
+    dated = [e for e in noted_extracts(spark, root, table, before) if e.latest is not None]
+    if not dated:
+        held = lake.where(extracted_before(before))
+        return held, high_watermark(held, table.incremental_col)
+    latest = max(e.latest for e in dated)
+    return lake.where(reduce(or_, [extracted_on(e.day) for e in dated if e.latest == latest])), latest
+
+
 def incremental_rows(
     source: DataFrame,
     lake: DataFrame | None,
     incremental_col: str,
     keys: Sequence[str] = (),
     strict: bool = False,
+    latest: dt.date | None = None,
 ) -> DataFrame:
-    """The source rows that the lake lacks.
+    """The source rows that the lake lacks; ``latest`` is the latest day in the lake where it is known.
 
     Without a lake table, or without any date in it, these are all rows. ``strict`` takes days
     after the latest day in the lake only, so rows changed later on that day are lost.
     Otherwise that day is read again, and what the lake already holds of it is left out by
     ``keys`` and change time.
     """
-    latest = None if lake is None else high_watermark(lake, incremental_col)
+    if latest is None and lake is not None:
+        latest = high_watermark(lake, incremental_col)
     if latest is None:
         return source
     day_after = F.lit(dt.datetime.combine(latest, dt.time()) + dt.timedelta(days=1))

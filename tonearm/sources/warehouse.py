@@ -5,6 +5,10 @@ grows (the date as ``YYYYMMDD``). It writes to folders carrying that number, and
 becomes visible by one small commit row at the end. Reading for a run looks only at lower
 numbers: repeating the last run, for instance after executors were lost, gives the same tables.
 Folders of a run that never committed are not read.
+
+Tables to which each run adds are compacted: the rows of a range of runs are written once more, into one folder with few
+files, and one commit row lets it stand for these runs. Folders of the runs stay until ``remove_replaced`` finds that no
+reader of the last runs can need them.
 """
 
 from __future__ import annotations
@@ -35,22 +39,64 @@ def read_table(spark: SparkSession, root: str, table: str, fmt: str = "parquet")
     return read_if_exists(spark.read, path_of(root, table), fmt)
 
 
-def _commit(spark: SparkSession, root: str, table: str, run: int, schema: StructType) -> None:
-    """Make a run visible, and note which columns it wrote: a run without rows leaves no file that tells."""
-    done = spark.range(1).select(F.lit(run).alias("run"), F.lit(schema.json()).alias("columns"))
+COMMIT = "run int, first int, last int, columns string"
+
+
+def _commit(
+    spark: SparkSession, root: str, table: str, run: int, schema: StructType, first: int | None = None, last: int | None = None
+) -> None:
+    """Make a run visible, and note which columns it wrote: a run without rows leaves no file that tells.
+
+    ``first`` and ``last`` are the runs that a compacted folder stands for.
+    """
+    row = (run, run if first is None else first, run if last is None else last, schema.json())
+    done = spark.range(1).select(*(F.lit(v).alias(c.split()[0]) for c, v in zip(COMMIT.split(", "), row)))
     done.write.mode("overwrite").parquet(f"{path_of(root, table)}/commits/run_{run}")
 
 
-def committed_runs(
-    spark: SparkSession, root: str, table: str, before: int | None = None
-) -> list[int]:
-    """Numbers of the committed runs: one per day that wrote the table."""
-    commits = read_if_exists(spark.read.schema("run int"), f"{path_of(root, table)}/commits/*")
+@dataclass(frozen=True)
+class Unit:
+    """A folder of rows and the runs it stands for: one, or a range if it is compacted (its number is negative)."""
+
+    run: int
+    first: int
+    last: int
+
+    def stands_for(self, other: Unit) -> bool:
+        """Whether this folder holds the rows of another."""
+        if self == other or not (self.first <= other.first and other.last <= self.last):
+            return False
+        return (self.last - self.first, -self.run) > (other.last - other.first, -other.run)
+
+
+def committed_units(spark: SparkSession, root: str, table: str, before: int | None = None) -> list[Unit]:
+    """All committed folders of runs under ``before``, replaced ones too."""
+    commits = read_if_exists(spark.read.schema(COMMIT), f"{path_of(root, table)}/commits/*")
     if commits is None:
         return []
+    run = F.col("run")
+    units = commits.select("run", F.coalesce("first", run).alias("first"), F.coalesce("last", run).alias("last"))
     if before is not None:
-        commits = commits.where(F.col("run") < before)
-    return sorted(row["run"] for row in commits.dropDuplicates().collect())
+        units = units.where(F.col("last") < before)
+    return sorted((Unit(*row) for row in units.dropDuplicates().collect()), key=lambda u: (u.last, u.first, u.run))
+
+
+def visible_units(spark: SparkSession, root: str, table: str, before: int | None = None) -> list[Unit]:
+    """The committed folders that hold every row once."""
+    units = committed_units(spark, root, table, before)
+    return [u for u in units if not any(other.stands_for(u) for other in units)]
+
+
+def committed_runs(
+    spark: SparkSession, root: str, table: str, before: int | None = None
+) -> list[int]:
+    """Numbers of the folders to read, the last run's at the end; a compacted folder stands for many runs."""
+    return [unit.run for unit in visible_units(spark, root, table, before)]
+
+
+def latest_unit(spark: SparkSession, root: str, table: str, before: int | None = None) -> Unit | None:
+    units = visible_units(spark, root, table, before)
+    return units[-1] if units else None
 
 
 def _rows(spark: SparkSession, root: str, table: str, run: int) -> DataFrame:
@@ -140,6 +186,18 @@ def _months_between(low: int, high: int) -> Column:
     return column.between(month(low), month(high))
 
 
+INDEX_BUCKETS = 64
+
+
+def bucket_of(key: Column | str) -> Column:
+    """Partition value of tables in which rows are looked up by an id."""
+    return F.pmod(F.xxhash64(key), F.lit(INDEX_BUCKETS)).cast("int")
+
+
+def _index(key: str) -> Layout:
+    return Layout("bucket", lambda: bucket_of(key), lambda low, high: F.lit(True))
+
+
 FACT_LAYOUT = {
     "fact_playlist_track": Layout(
         "added_month", lambda: month_of(F.col("date_actual")), _months_between
@@ -151,6 +209,13 @@ FACT_LAYOUT = {
             low // KEY_RANGE_WIDTH * KEY_RANGE_WIDTH, high // KEY_RANGE_WIDTH * KEY_RANGE_WIDTH
         ),
     ),
+    "tracks_by_album": _index("album_id"),
+    "albums_by_artist": _index("artist_id"),
+    "artists_by_album": _index("album_id"),
+    "tracks_by_artist": _index("artist_id"),
+    "artists_by_track": _index("track_id"),
+    "entries_by_track": _index("track_id"),
+    "entries_by_playlist": _index("playlist_id"),
 }
 
 
@@ -160,7 +225,11 @@ def write_facts(df: DataFrame, root: str, table: str, run: int) -> None:
     Rebalancing gathers each layout value into few files, and cuts a value holding a large share
     of the rows into several.
     """
-    spark = df.sparkSession
+    laid_out = _write_laid_out(df, root, table, run)
+    _commit(df.sparkSession, root, table, run, laid_out.schema)
+
+
+def _write_laid_out(df: DataFrame, root: str, table: str, run: int) -> DataFrame:
     layout = FACT_LAYOUT[table]
     laid_out = df.withColumn(layout.column, layout.value())
     (
@@ -169,7 +238,7 @@ def write_facts(df: DataFrame, root: str, table: str, run: int) -> None:
         .partitionBy(layout.column)
         .parquet(f"{path_of(root, table)}/rows/run={run}")
     )
-    _commit(spark, root, table, run, laid_out.schema)
+    return laid_out
 
 
 def read_facts(
@@ -183,3 +252,73 @@ def read_facts(
     if not runs:
         return None
     return _rows(spark, root, table, runs[-1]).where(F.col("run").isin(runs))
+
+
+def read_index(spark: SparkSession, root: str, table: str, keys: DataFrame, before: int | None = None) -> DataFrame | None:
+    """The rows of an index whose key is among ``keys`` (one column of the index's key); only their buckets are read."""
+    rows = read_facts(spark, root, table, before)
+    if rows is None:
+        return None
+    (key,) = keys.columns
+    buckets = [row[0] for row in keys.select(bucket_of(key)).distinct().collect()]  # INDEX_BUCKETS numbers at most
+    return rows.where(F.col("bucket").isin(buckets)).drop("run", "bucket").join(keys, key, "left_semi")
+
+
+# ---- compaction and retention ----------------------------------------------------------------
+
+
+def compact(spark: SparkSession, root: str, table: str, first: int, last: int) -> int | None:
+    """Write the rows of runs ``first`` to ``last`` into one folder that stands for them; its number.
+
+    The last committed run is left out, since it may be repeated; nothing happens with fewer than two folders. Readers
+    see either the folders of the runs or the compacted one: the commit row, written at the end, decides. A compaction
+    that stopped before it is done again from the start; one that is done already is not written again, as it may be
+    read. Compacted folders can be compacted again, together with others.
+    """
+    units = visible_units(spark, root, table)
+    if not units:
+        return None
+    last = min(last, max(u.last for u in units[:-1])) if len(units) > 1 else first - 1
+    parts = [u for u in units if first <= u.first and u.last <= last]
+    if len(parts) < 2:
+        return None
+    tier = 1 + max(-u.run % 100 if u.run < 0 else 0 for u in parts)
+    number = -(parts[-1].last * 100 + tier)
+    rows = _rows(spark, root, table, parts[-1].run).where(F.col("run").isin([u.run for u in parts]))
+    laid_out = _write_laid_out(rows.drop("run", FACT_LAYOUT[table].column), root, table, number)
+    _commit(spark, root, table, number, laid_out.schema, parts[0].first, parts[-1].last)
+    return number
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def remove_replaced(spark: SparkSession, root: str, table: str, keep_runs: int = 2) -> list[int]:
+    """Delete the folders that compacted ones stand for; their numbers.
+
+    A reader that began before one of the last ``keep_runs`` runs may still be reading the folders of its time, so a
+    folder goes only if what stands for it was complete before these runs. The commit row goes first: a folder without
+    one is not read.
+    """
+    units = committed_units(spark, root, table)
+    runs = sorted({u.last for u in units})
+    if len(runs) <= keep_runs:
+        return []
+    limit = runs[-keep_runs]
+    old = [u for u in units if any(other.stands_for(u) and other.last < limit for other in units)]
+    for unit in old:
+        _delete(spark, f"{path_of(root, table)}/commits/run_{unit.run}")
+    for unit in old:
+        _delete(spark, f"{path_of(root, table)}/rows/run={unit.run}")
+    return [unit.run for unit in old]
+
+
+def remove_snapshots(spark: SparkSession, root: str, table: str, keep_runs: int = 2) -> list[int]:
+    """Delete all snapshots of a table but the last ``keep_runs``; their numbers."""
+    old = committed_runs(spark, root, table)[:-keep_runs]
+    for run in old:
+        _delete(spark, f"{path_of(root, table)}/commits/run_{run}")
+        _delete(spark, f"{path_of(root, table)}/rows/run={run}")
+    return old
