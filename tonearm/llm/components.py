@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tonearm.llm.files import stored
+from tonearm.llm.files import discard, stored
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
@@ -37,7 +37,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     edges = stored(edges.select("a", "b").where("a <> b").distinct(), "edges")
     before = None
     for round_ in range(most_rounds):
-        edges = stored(_small_star(_large_star(edges)), f"edges-{round_}")
+        last, edges = edges, stored(_small_star(_large_star(edges)), f"edges-{round_}")
+        discard(last)
         now = _fingerprint(edges)
         if now == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import weakref
 
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from tonearm.session import working_folder
 
 
+#: Where the tables that ``stored`` wrote lie.
+_PATHS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write a frame as a table in the shared folder and read it back.
 
@@ -18,7 +23,15 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     spark = df.sparkSession
     path = working_folder(spark, purpose)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _PATHS[table] = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table that ``stored`` wrote and nothing will read again: all that came of it is stored as well."""
+    path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(_PATHS.pop(table))
+    path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tonearm.llm.files import stored
+from tonearm.llm.files import discard, stored
 from tonearm.llm.words import text_chunks
 
 U32 = np.uint32
@@ -338,9 +338,11 @@ def repeated_spans(docs: DataFrame, parsing: Parsing) -> DataFrame:
 
     every = parse(docs, parsing)
     found = candidates(every)
+    within = stored(every.where("key is null").select("row", "place"), "repeats-within")
+    discard(every)
     names = names_of(found)
     copied = found.join(names.where("copies > 1").select("key", "name"), ["key", "name"])
-    copied = copied.select("row", "place").unionByName(every.where("key is null").select("row", "place")).select(
+    copied = copied.select("row", "place").unionByName(within).select(
         "row", F.shiftright("place", 32).cast("int").alias("start"), (F.shiftright("place", 16) % 65536).cast("int").alias("n")
     )
     wanted = open_names(names)
