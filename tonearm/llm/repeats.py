@@ -16,7 +16,7 @@ from typing import NamedTuple
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tonearm.llm.files import stored
@@ -115,24 +115,33 @@ def digest(words: list[str]) -> bytes:
     return xxhash.xxh3_128_digest(" ".join(words).encode("utf-8", "surrogatepass"))
 
 
+def text_key(doc_id: Column, text: Column) -> Column:
+    return F.when(doc_id.isNull(), F.xxhash64(text))
+
+
 def unit_digests(docs: DataFrame, rules: Repeats) -> DataFrame:
-    """doc_id and digest of the distinct units of each document; stored."""
+    """doc_id, text_key and digest of the distinct units of each document; stored.
+
+    text_key tells rows without a doc_id apart and is null for all others.
+    """
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc_ids, found = [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            doc_ids, keys, found = [], [], []
+            for doc_id, text, key in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 own = {digest(words) for _, _, words in units(text or "", rules)}
                 doc_ids += [doc_id] * len(own)
+                keys += [key] * len(own)
                 found += own
-            yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(found, pa.binary())], ["doc_id", "digest"])
+            columns = [pa.array(doc_ids, pa.int64()), pa.array(keys, pa.int64()), pa.array(found, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "digest"])
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return stored(rows.mapInArrow(digests, "doc_id long, digest binary"), "unit-digests")
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), text_key(F.col("doc_id"), F.col("text")))
+    return stored(rows.mapInArrow(digests, "doc_id long, text_key long, digest binary"), "unit-digests")
 
 
 def later_units(found: DataFrame) -> DataFrame:
-    """doc_id and the digests of its units that a smaller doc_id has too; stored.
+    """doc_id, text_key and the digests of its units that a smaller doc_id has too; stored.
 
     The smallest doc_id is an aggregate, so a unit that a third of all documents have reaches its reducer as one row a
     task, and adaptive execution splits it where it is joined back. The list of a document is no longer than its text.
@@ -140,7 +149,7 @@ def later_units(found: DataFrame) -> DataFrame:
     first = found.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
     repeated = first.where("n > 1 and first_id is not null").select("digest", "first_id")
     later = found.join(repeated, "digest").where("doc_id is null or doc_id <> first_id")
-    return stored(later.groupBy("doc_id").agg(F.collect_set("digest").alias("digests")), "later-units")
+    return stored(later.groupBy("doc_id", "text_key").agg(F.collect_set("digest").alias("digests")), "later-units")
 
 
 def removed_spans(text: str, later: set[bytes], rules: Repeats) -> list[tuple[int, int]]:
@@ -213,6 +222,8 @@ def remove_repeats(docs: DataFrame, rules: Repeats = Repeats()) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "n_removed", "removed"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    later = later.select(F.col("doc_id").alias("later_id"), "digests")
-    joined = rows.join(later, F.col("doc_id").eqNullSafe(F.col("later_id")), "left").select("doc_id", "text", "digests")
+    later = later.select(F.col("doc_id").alias("later_id"), F.col("text_key").alias("later_key"), "digests")
+    key = text_key(F.col("doc_id"), F.col("text"))
+    same = F.col("doc_id").eqNullSafe(F.col("later_id")) & key.eqNullSafe(F.col("later_key"))
+    joined = rows.join(later, same, "left").select("doc_id", "text", "digests")
     return joined.mapInArrow(rewrite, REWRITTEN)
