@@ -370,6 +370,44 @@ def test_planted_numbers_go_in_brackets_and_beside_others(spark):
         assert not surrogates.mentions(f"Of {text} only.")
 
 
+def rewritten(spark, *texts):
+    found = surrogates.with_surrogates(docs(spark, list(enumerate(texts))), KEY).collect()
+    return [text for _, text in sorted((r.doc.doc_id, r.doc.text) for r in found)]
+
+
+def test_one_person_has_one_name(spark):
+    """Whatever the title; family names of men and women have one stem; names of two parts keep both."""
+    a, b, c, d = rewritten(
+        spark, "Dr Anna Berg came.", "Mrs Anna Berg left. Anna Berg.", "Анна Петрова / Иван Петров", "Mrs Müller-Lüdenscheid and Mr MÜLLER-LÜDENSCHEID"
+    )
+    name = re.fullmatch(r"Dr (\w+ \w+) came\.", a)[1]
+    assert b == f"Mrs {name} left. {name}." and name.split()[0] in surrogates.GIVEN["latin", "female"]
+    names = re.fullmatch(r"(\w+) (\w+) / (\w+) (\w+)", c)
+    assert names[2] == names[4] + "а" and names[4].endswith("ов") and "Петров" not in c
+    names = re.fullmatch(r"Mrs ([^\W\d]+-[^\W\d]+) and Mr ([^\W\d]+-[^\W\d]+)", d)
+    assert names[1].upper() == names[2] and "denscheid" not in d.lower()
+
+
+def test_streets_are_no_persons():
+    for text in ("Maria Street 5", "Paul Revere Road", "Anna Straße 3", "in Thomas Square"):
+        assert surrogates.mentions(text) == [], text
+
+
+def test_valid_ibans_stay_valid(spark):
+    assert surrogates.iban_remainder("DE89370400440532013000") == 1
+    for k in range(50):
+        made = surrogates.surrogate(KEY, "iban", "DE89370400440532013000", k)
+        assert surrogates.iban_remainder(made) == 1 and made[:2] == "DE" and len(made) == 22
+    assert surrogates.iban_remainder(surrogates.surrogate(KEY, "iban", "GB82WEST12345698765432", 0)) == 1
+
+
+def test_ipv6_addresses(spark):
+    a, b, c = rewritten(spark, "from 2001:db8::8a2e:370:7334, ok", "2001:0DB8:0:0:0:8A2E:370:7334.", "at 12:30:45, std::vec, a::b and 1:2")
+    found = re.fullmatch(r"from ([0-9a-f:]+), ok", a)[1]
+    assert found.startswith("fd") and "8a2e" not in found and found.count(":") == 5
+    assert b.rstrip(".").lower() == found and c == "at 12:30:45, std::vec, a::b and 1:2"
+
+
 def test_no_two_values_share_a_surrogate(spark):
     values = [("given-female-latin", f"name{i}") for i in range(120)] + [("ip", f"10.0.{i // 256}.{i % 256}") for i in range(3000)]
     settled = surrogates.settle(spark.createDataFrame(values, "kind string, value string"), KEY).collect()

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -42,6 +43,11 @@ SYLLABLES = {
 }
 SCRIPTS = {"cyrillic": ("Ѐ", "ӿ"), "greek": ("Ͱ", "Ͽ")}
 
+#: Words that make a name before them one of a street or place.
+STREETS = ["Street", "Road", "Avenue", "Lane", "Drive", "Square", "Boulevard", "Court", "Bridge", "Park", "School", "University", "Straße", "Strasse", "Platz", "Weg", "Allee", "улица", "площадь"]
+#: Family names that take another "а" for a woman.
+MALE_ENDINGS = ("ов", "ев", "ёв", "ин", "ын")
+
 GENDER_OF_TITLE = {title: gender for gender, titles in TITLES.items() for title in titles}
 GENDER_OF_NAME = {name.lower(): gender for (_, gender), names in GIVEN.items() for name in names}
 
@@ -51,8 +57,10 @@ HEX = re.compile(r"\b[0-9a-fA-F]{32,128}\b")
 PREFIXED = re.compile(r"\b(?:AKIA|ghp_|gho_|sk-|xoxb-|xoxp-)[A-Za-z0-9_-]{16,}")
 NAMED_SECRET = re.compile(r"(?i)\b(?:token|secret|password|passwd|api[_-]?key)[\"']?\s*[=:]\s*[\"']?([^\s\"'`]{8,})")
 IBAN = re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b")
-WORD = r"[^\W\d_][^\W\d_]+"
+IPV6 = re.compile(r"(?<![\w:.])[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){2,7}(?![\w:])")
+WORD = r"[^\W\d_][^\W\d_]+(?:-[^\W\d_]+)*"
 TITLED = re.compile(rf"\b({'|'.join(GENDER_OF_TITLE)})\b\.? ({WORD})(?: ({WORD}))?")
+STREET = re.compile(rf" ?(?:{'|'.join(STREETS)})\b", re.IGNORECASE)
 GIVEN_NAME = re.compile(rf"\b({'|'.join(n for names in GIVEN.values() for n in names)}) ({WORD})\b")
 IP = re.compile(r"(?:\d{1,3}\.){3}\d{1,3}")
 SSN = re.compile(r"\d{3}-\d{2}-\d{4}")
@@ -122,21 +130,50 @@ def numbers_within(text: str, start: int, end: int) -> Iterator[Mention]:
         gaps = [(low, high) for low, high in left if high - low >= LEAST_NUMBER]
 
 
+def family_value(word: str) -> str:
+    """A family name in the form that men and women share."""
+    value = word.lower()
+    return value[:-1] if value.endswith(tuple(e + "а" for e in MALE_ENDINGS)) else value
+
+
+def given(start: int, end: int, word: str, gender: str) -> Mention:
+    """A given name; if it is a known one it has its own gender, whatever the title says, so it is one entity."""
+    gender = GENDER_OF_NAME.get(word.lower(), gender)
+    return Mention(start, end, f"given-{gender}-{script_of(word)}", word.lower())
+
+
+def family(start: int, end: int, word: str) -> Mention:
+    return Mention(start, end, f"family-{script_of(word)}", family_value(word))
+
+
 def name_mentions(text: str) -> Iterator[Mention]:
-    """Given and family names behind a title or a known given name; each part is an entity of its own."""
+    """Given and family names behind a title or a known given name; each part is an entity of its own.
+
+    Names of streets and places are left alone.
+    """
     for found in TITLED.finditer(text):
-        gender = GENDER_OF_TITLE[found[1]]
         parts = [k for k in (2, 3) if found[k] and found[k][0].isupper()]
         if 2 not in parts:
             continue
-        for k in parts:
-            kind = f"given-{gender}" if k == 2 and 3 in parts else "family"
-            yield Mention(*found.span(k), f"{kind}-{script_of(found[k])}", found[k].lower())
+        if 3 in parts or found[2].lower() in GENDER_OF_NAME:
+            yield given(*found.span(2), found[2], GENDER_OF_TITLE[found[1]])
+        else:
+            yield family(*found.span(2), found[2])
+        if 3 in parts:
+            yield family(*found.span(3), found[3])
     for found in GIVEN_NAME.finditer(text):
-        if found[2][0].isupper():
-            gender = GENDER_OF_NAME[found[1].lower()]
-            yield Mention(*found.span(1), f"given-{gender}-{script_of(found[1])}", found[1].lower())
-            yield Mention(*found.span(2), f"family-{script_of(found[2])}", found[2].lower())
+        if found[2][0].isupper() and not STREET.match(text, found.start(2)) and not STREET.match(text, found.end()):
+            yield given(*found.span(1), found[1], "any")
+            yield family(*found.span(2), found[2])
+
+
+def ipv6_mentions(text: str) -> Iterator[Mention]:
+    for found in IPV6.finditer(text):
+        if any(c.isdigit() for c in found[0]):
+            try:
+                yield Mention(*found.span(), "ip6", ipaddress.IPv6Address(found[0]).compressed)
+            except ValueError:
+                continue
 
 
 def mentions(text: str) -> list[Mention]:
@@ -156,6 +193,8 @@ def mentions(text: str) -> list[Mention]:
     if "=" in text or ":" in text:
         found += [Mention(*m.span(1), "secret", m[1]) for m in NAMED_SECRET.finditer(text)]
     found += [Mention(*m.span(), "iban", m[0].replace(" ", "")) for m in IBAN.finditer(text)]
+    if text.count(":") > 1:
+        found += ipv6_mentions(text)
     found += name_mentions(text)
     found.sort(key=lambda m: (m.start, m.start - m.end))
     kept: list[Mention] = []
@@ -203,6 +242,11 @@ def luhn_digit(digits: str) -> str:
     return str(-total % 10)
 
 
+def iban_remainder(text: str) -> int:
+    """1 for a valid one."""
+    return int("".join(str(int(c, 36)) for c in text[4:] + text[:4])) % 97
+
+
 def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
     """The replacement's value; more attempts draw from larger spaces where the first is small."""
     draw = Draw(key, kind, value, attempt)
@@ -225,7 +269,14 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
         lead = max(1, len(value) - 10)
         return value[:lead] + "".join(str(draw.below(10)) for _ in value[lead:])
     if kind == "iban":
-        return value[:2] + "".join(map(draw.like, value[2:]))
+        drawn = value[:2] + "".join(map(draw.like, value[2:]))
+        if iban_remainder(value) != 1:
+            return drawn
+        body = drawn[:2] + "00" + drawn[4:]
+        return f"{drawn[:2]}{98 - iban_remainder(body):02d}{drawn[4:]}"
+    if kind == "ip6":  # a private range; groups as long as they were
+        groups = [g and "123456789abcdef"[draw.below(15)] + "".join("0123456789abcdef"[draw.below(16)] for _ in g[1:]) for g in value.split(":")]
+        return ":".join(["fd" + "".join("0123456789abcdef"[draw.below(16)] for _ in "12"), *groups[1:]]) if groups[0] else ":".join(groups)
     if kind == "secret":
         if re.fullmatch("[0-9a-fA-F]+", value):
             signs = "0123456789ABCDEF" if value.isupper() else "0123456789abcdef"
@@ -238,7 +289,13 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
         names = [n for g in genders for n in GIVEN[script, g]]
         return names[draw.below(len(names))].lower()
     syllables = SYLLABLES[script]
-    name = "".join(syllables[draw.below(len(syllables))] for _ in range(3 + attempt // 2))
+
+    def name_part() -> str:
+        return "".join(syllables[draw.below(len(syllables))] for _ in range(3 + attempt // 2))
+
+    if part == "family":
+        return "-".join(name_part() + ("ов" if own.endswith(MALE_ENDINGS) else "") for own in value.split("-"))
+    name = name_part()
     # female given names end in a vowel, male ones do not
     return name + {"female": {"latin": "a", "cyrillic": "а", "greek": "α"}, "male": {"latin": "n", "cyrillic": "н", "greek": "ς"}}.get(rest[0], {}).get(script, "")
 
@@ -249,8 +306,10 @@ def in_format(value: str, original: str, kind: str) -> str:
         signs = iter(value)
         return "".join(next(signs) if c.isalnum() else c for c in original)
     if kind.startswith(("given", "family")):
-        return value.upper() if original.isupper() else value.capitalize()
-    if kind == "email" and original.isupper():
+        if kind == "family-cyrillic" and family_value(original) != original.lower():
+            value += "а"
+        return value.upper() if original.isupper() else "-".join(p.capitalize() for p in value.split("-"))
+    if kind in ("email", "ip6") and original.isupper():
         return value.upper()
     return value
 
@@ -266,21 +325,22 @@ def replace(text: str, key: bytes, attempts: dict[tuple[str, str], int]) -> tupl
 
 
 def entity_mentions(docs: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id, kind and value of the entities of each document; stored."""
+    """doc_id, text_key (hash of the text), kind and value of the entities of each document; stored."""
 
     def detect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [
-                (doc_id, *entity)
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+                (doc_id, text_key, *entity)
+                for doc_id, text, text_key in zip(*(batch.column(k).to_pylist() for k in range(3)))
                 for entity in sorted({(m.kind, m.value) for m in mentions(text or "")})
             ]
-            types = (pa.int64(), pa.string(), pa.string())
+            types = (pa.int64(), pa.int64(), pa.string(), pa.string())
             columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(types)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "kind", "value"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "kind", "value"])
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col(text).cast("string"))
-    return stored(rows.mapInArrow(detect, "doc_id long, kind string, value string"), "mentions")
+    plain = F.col(text).cast("string")
+    rows = docs.select(F.col("doc_id").cast("long"), plain, F.xxhash64(plain))
+    return stored(rows.mapInArrow(detect, "doc_id long, text_key long, kind string, value string"), "mentions")
 
 
 def settle(entities: DataFrame, key: bytes, most_rounds: int = 200) -> DataFrame:
@@ -331,7 +391,7 @@ def with_surrogates(docs: DataFrame, key: bytes, text: str = "text") -> DataFram
     settled = settle(stored(found.select("kind", "value").distinct(), "entities"), key)
     again = found.join(settled.where("attempt > 0").select("kind", "value", "attempt"), ["kind", "value"])
     again = stored(
-        again.groupBy(F.col("doc_id").alias("again_id")).agg(F.collect_set(F.struct("kind", "value", "attempt")).alias("again")),
+        again.groupBy(F.col("doc_id").alias("again_id"), F.col("text_key").alias("again_key")).agg(F.collect_set(F.struct("kind", "value", "attempt")).alias("again")),
         "drawn-again",
     )
 
@@ -350,7 +410,8 @@ def with_surrogates(docs: DataFrame, key: bytes, text: str = "text") -> DataFram
         return pd.DataFrame({"text": new, "replaced": spans})
 
     rows = docs.select(F.struct("*").alias("doc"))
-    joined = rows.join(again, F.col("doc")["doc_id"].cast("long").eqNullSafe(F.col("again_id")), "left")
+    same = F.col("doc")["doc_id"].cast("long").eqNullSafe(F.col("again_id"))
+    joined = rows.join(again, same & (F.xxhash64(F.col("doc")[text].cast("string")) == F.col("again_key")), "left")
     made = joined.select("doc", rewritten(F.col("doc")[text].cast("string"), F.col("again")).alias("made"))
     fields = [F.col("made.text").alias(name) if name == text else F.col("doc")[name].alias(name) for name in docs.columns]
     return made.select(F.struct(*fields).alias("doc"), F.col("made.replaced").alias("replaced"))
