@@ -5,8 +5,9 @@
 3. Nodes that share a band key are candidates. First each node of a bucket is compared with one node of it, the
    bucket's pivot; pivots are drawn by one of several orders of the nodes, so a node meets several pivots. Links found
    are closed to components, order by order, and pairs inside a component are not looked at again. At last the nodes of
-   a bucket that still lie in different components are compared with each other. So a bucket of n near copies costs
-   some n comparisons, and still every pair of a bucket is either compared or connected.
+   a bucket that still lie in different components are compared with each other, in blocks inside tasks: nodes carry
+   their signatures and sets to a block, so no pair but the links is a row. Every pair of a bucket is either compared or
+   connected.
 4. A pair's signatures are compared in batches. After each batch the pair is dropped if the posterior probability that
    its similarity reaches the threshold falls below the chosen miss probability.
 5. Pairs that survive all batches are verified on their full sets.
@@ -38,7 +39,7 @@ SIGNED = "doc_id long, text_key long, n_shingles long, set_high long, set_low lo
 @dataclass(frozen=True)
 class Near:
     """Shingle width, similarity in percent from which documents are linked, the shape of the signatures, the miss
-    probability of pruning, and the number of orders by which pivots are drawn.
+    probability of pruning, the number of orders by which pivots are drawn, and the shingles of a block.
 
     ``bands`` times ``band_rows`` hashes: with 32 bands of 6, a pair at 85 percent shares no band once in four million,
     one at 80 percent once in fifteen thousand.
@@ -51,6 +52,7 @@ class Near:
     batch: int = 48
     miss: float = 1e-9
     orders: int = 9
+    block_shingles: int = 2_000_000
     seed: int = 7
 
     @property
@@ -275,23 +277,110 @@ def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return both.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select(*pairs.columns)
 
 
-def across(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of nodes that share a bucket of three nodes or more but not a component."""
+def block_links(
+    key: int,
+    of_low: np.ndarray,
+    pivot: np.ndarray,
+    nodes: np.ndarray,
+    roots: np.ndarray,
+    signatures: np.ndarray,
+    bands: np.ndarray,
+    sets: list[np.ndarray],
+    near: Near,
+) -> list[tuple[int, int]]:
+    """The links between nodes of one bucket that lie in different components: of two blocks, or within one.
+
+    Pairs with the bucket's pivot were compared before. A pair is verified in the first bucket only that both share.
+    """
+    found = []
+    high = np.flatnonzero(~of_low & ~pivot)
+    within = bool(of_low.all())
+    for i in np.flatnonzero(of_low & ~pivot).tolist():
+        others = np.flatnonzero(~pivot[i + 1 :]) + i + 1 if within else high
+        others = others[roots[others] != roots[i]]
+        if not len(others):
+            continue
+        left = np.broadcast_to(signatures[i], (len(others), near.hashes))
+        others = others[plausible(left, signatures[others], near)]
+        shared = bands[others] == bands[i]
+        others = others[bands[i][shared.argmax(axis=1)] == key]
+        for j in others.tolist():
+            a, b = sets[i], sets[j]
+            common = len(np.intersect1d(a, b, assume_unique=True))
+            if 100 * common >= near.percent * (len(a) + len(b) - common):
+                found.append((min(int(nodes[i]), int(nodes[j])), max(int(nodes[i]), int(nodes[j]))))
+    return found
+
+
+def across(
+    members: DataFrame, roots: DataFrame, signed: DataFrame, classes: DataFrame, docs: DataFrame, near: Near
+) -> DataFrame:
+    """Links (a, b) between nodes that share a bucket of three nodes or more but not a component; stored.
+
+    A bucket is dealt into blocks of about ``block_shingles`` shingles, and each two blocks meet in one task. A node goes
+    once to each of its bucket's blocks.
+    """
     labelled = stored(
         members.where("n > 2")
         .join(roots, "node", "left")
-        .select("key", "node", "first", F.coalesce("root", "node").alias("root")),
+        .join(signed.select(F.col("row").alias("node"), "n_shingles"), "node")
+        .select("key", "node", (F.col("node") == F.col("first")).alias("pivot"), F.coalesce("root", "node").alias("root"), "n_shingles"),
         "labelled-members",
     )
-    split = labelled.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    open_ = labelled.join(split.select("key"), "key")
-    parts = open_.select("key", "root").distinct()
-    pairs = parts.select("key", F.col("root").alias("root_a")).join(parts.select("key", F.col("root").alias("root_b")), "key")
-    pairs = pairs.where("root_a < root_b")
-    left = open_.select("key", F.col("root").alias("root_a"), F.col("node").alias("x"), "first")
-    right = open_.select("key", F.col("root").alias("root_b"), F.col("node").alias("y"))
-    crossed = pairs.join(left, ["key", "root_a"]).join(right, ["key", "root_b"]).where("x <> first and y <> first")
-    return crossed.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    split = labelled.groupBy("key").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.sum(F.col("n_shingles") + near.hashes).alias("size")
+    )
+    blocks = F.ceil(F.col("size") / near.block_shingles).cast("int")
+    split = split.where("low <> high").select("key", blocks.alias("blocks"))
+    open_ = stored(labelled.join(split, "key").drop("n_shingles"), "open-members")
+    nodes = stored(open_.select("node").distinct(), "open-nodes")
+    sets = shingle_sets(nodes, classes, docs, near)
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = open_.select("key", "node", "pivot", "root", own.alias("own"), others.alias("other"))
+    dealt = dealt.select("key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "pivot", "node", "root")
+    rows = dealt.join(signed.select(F.col("row").alias("node"), "signature", "bands"), "node").join(sets, "node")
+    of_low = (F.col("own") == F.col("low")).alias("of_low")
+    rows = rows.select("key", "low", "high", of_low, "pivot", "node", "root", "signature", "bands", "shingles")
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        now = None
+
+        def close() -> pa.RecordBatch:
+            block = pa.Table.from_batches(held).combine_chunks()
+            column = {name: block.column(name).chunk(0) for name in block.schema.names}
+            flags = (column[c].to_numpy(zero_copy_only=False) for c in ("of_low", "pivot"))
+            ends = np.cumsum(column["shingles"].value_lengths().to_numpy())
+            found = block_links(
+                now[0],
+                *flags,
+                column["node"].to_numpy(),
+                column["root"].to_numpy(),
+                np.frombuffer(b"".join(column["signature"].to_pylist()), np.uint16).reshape(len(block), near.hashes),
+                column["bands"].flatten().to_numpy().reshape(len(block), near.bands),
+                np.split(column["shingles"].flatten().to_numpy(), ends[:-1]),
+                near,
+            )
+            return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+        for batch in batches:
+            marks = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in range(3)], axis=1)
+            cuts = (np.flatnonzero((marks[1:] != marks[:-1]).any(axis=1)) + 1).tolist()
+            for first, last in zip([0, *cuts], [*cuts, len(batch)]):
+                if first == last:
+                    continue
+                mark = tuple(marks[first].tolist())
+                if held and mark != now:
+                    yield close()
+                    held.clear()
+                now = mark
+                held.append(batch.slice(first, last - first))
+        if held:
+            yield close()
+
+    meeting = rows.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "node")
+    return stored(meeting.mapInArrow(compared, "a long, b long"), "links-across")
 
 
 def nodes_of(pairs: DataFrame) -> DataFrame:
@@ -313,9 +402,7 @@ def connect(members: DataFrame, signed: DataFrame, classes: DataFrame, docs: Dat
         links = links.unionByName(verify(apart(own, roots), sets, near))
         roots = components(links)
         low *= 3
-    last = prune(across(members, roots).withColumn("turn", F.lit(0)), signatures, near)
-    more = shingle_sets(nodes_of(last).join(sets.select("node"), "node", "left_anti"), classes, docs, near)
-    return components(links.unionByName(verify(last, sets.unionByName(more), near)))
+    return components(links.unionByName(across(members, roots, signed, classes, docs, near)))
 
 
 def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
@@ -344,8 +431,10 @@ def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, near: Near = Near()) -> DataFrame:
-    """``docs`` without the documents that are near copies of one with a smaller doc_id; all columns stay."""
-    dropped = near_duplicates(docs, near).where("not kept").select(F.col("doc_id").alias("dropped_id"), F.col("text_key").alias("dropped_key"))
-    dropped = stored(dropped.distinct(), "near-copies")
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("dropped_id")) & (F.xxhash64(docs["text"]) == F.col("dropped_key"))
-    return docs.join(dropped, same, "left_anti")
+    """``docs`` without the documents that are near copies of one with a smaller doc_id; all columns stay, of any name."""
+    dropped = near_duplicates(docs, near).where("not kept").select("doc_id", "text_key")
+    dropped = stored(dropped.distinct(), "near-copies").select(F.struct("doc_id", "text_key").alias("dropped"))
+    rows = docs.select(F.struct("*").alias("doc"))
+    same = F.col("doc")["doc_id"].cast("long").eqNullSafe(F.col("dropped.doc_id"))
+    same = same & (F.xxhash64(F.col("doc")["text"]) == F.col("dropped.text_key"))
+    return rows.join(dropped, same, "left_anti").select("doc.*")
