@@ -233,12 +233,14 @@ def test_op8_against_all_pairs(spark):
         assert (r.n_shingles, r.component_id, r.kept) == (sizes[r.doc_id], roots[r.doc_id], roots[r.doc_id] == r.doc_id)
 
 
-def test_large_group_of_near_copies_against_all_pairs(spark):
+@pytest.mark.parametrize("orders, block_shingles", [(9, 2_000_000), (1, 8_000)])
+def test_large_group_of_near_copies_against_all_pairs(spark, orders, block_shingles):
+    """By many pivots and one block, and by one pivot and several blocks a bucket."""
     random = np.random.default_rng(4)
     base = [f"b{i}" for i in range(150)]
     rows = [(i, " ".join(w if random.random() > 0.02 else f"r{random.integers(999)}" for w in base)) for i in range(150)]
     rows += [(200 + i, " ".join(base[:60] + [f"q{i}w{k}" for k in range(90)])) for i in range(40)]
-    near = near_text.Near(width=3, percent=85, bands=32, band_rows=6)
+    near = near_text.Near(width=3, percent=85, bands=32, band_rows=6, orders=orders, block_shingles=block_shingles)
     sizes, roots = near_components(rows, 3, 85)
     found = near_text.near_duplicates(docs(spark, rows), near).collect()
     assert {r.doc_id: r.component_id for r in found} == roots
@@ -498,3 +500,27 @@ def test_stages_take_no_documents(spark):
     frame = table(spark, "documents").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, frame, SMALL).count() == 0
+
+
+def test_keep_one_takes_columns_of_any_name(spark):
+    text = " ".join(f"word{i}" for i in range(30))
+    frame = docs(spark, [(1, text), (2, text), (3, "another text"), (None, None)])
+    names = {"row": "dropped_id", "node": "dropped_key", "digest": "dropped", "length": "doc", "kept": "text_key", "tokens": "root"}
+    for old, new in names.items():
+        frame = frame.withColumnRenamed(old, new)
+    kept = near_text.keep_one(frame, near_text.Near())
+    assert kept.columns == frame.columns and sorted((r.doc_id for r in kept.collect()), key=str) == [1, 3, None]
+
+
+@pytest.mark.parametrize("stage", [name for name, _ in corpus_pipeline.STAGES])
+def test_stages_take_edge_rows(spark, stage):
+    """Nulls, empty and very long texts, repeated rows and clashing names: no crash, and no column lost."""
+    frame = docs(spark, EDGES)
+    found = dict(corpus_pipeline.STAGES)[stage](spark, frame, SMALL)
+    ids = {r.doc_id for r in found.collect()}
+    if stage == "sequences":
+        assert ids == {i for i, _ in EDGES}
+    else:
+        assert found.columns == frame.columns and ids <= {i for i, _ in EDGES}
+    if stage in ("near_copies", "personal_data"):
+        assert {2, 3, 4, 5, 7, 8, None} <= ids

@@ -1,4 +1,5 @@
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -125,3 +126,32 @@ def test_packing_rounds_come_close_to_the_bound(spark):
     assert placed.count() == 6000
     least = max(-(-lengths.sum() // 2048), (lengths > 1024).sum())  # two of more than half do not share one
     assert placed.select("sequence_id").distinct().count() <= 1.03 * least  # one pass of the rule takes 1.045
+
+
+def test_op4_places_by_the_smallest_sum_of_squares():
+    """Against trying every gap and adding the squares up again."""
+    capacity = 40
+    lengths = np.random.default_rng(2).integers(1, capacity, 300)
+    bins, offsets, gaps = packing.sum_of_squares(lengths, capacity)
+    held: list[int] = []  # gap of each sequence
+    expected = []
+
+    def squares(counts):
+        return sum(n * n for gap, n in counts.items() if gap)
+
+    for i in np.argsort(-lengths, kind="stable").tolist():
+        size, counts = int(lengths[i]), Counter(held)
+        tried = []
+        for gap in sorted({g for g in counts if g >= size}) + [capacity]:
+            after = counts.copy()
+            if gap < capacity or counts[capacity]:
+                after[gap] -= 1
+            after[gap - size] += 1
+            tried.append((squares(after), gap))
+        gap = min(tried)[1]  # ties: the smallest gap, an open sequence before a new one
+        if gap in counts:
+            held.remove(gap)
+        held.append(gap - size)
+        expected.append((size, capacity - gap))
+    assert sorted(zip(lengths.tolist(), offsets.tolist())) == sorted(expected)
+    assert sorted(gaps.tolist()) == sorted(held) and len(set(bins.tolist())) == len(gaps)

@@ -136,6 +136,7 @@ def form_of(text: Column) -> Column:
 def mix(docs: DataFrame, languages: Mapping[str, float], power: float = 0.7, sweeps: int = SWEEPS) -> DataFrame:
     """``docs`` (doc_id, text, lang, source, ...) drawn to smoothed sources and topics and given languages.
 
+    One row per row of ``docs``: repeated rows are drawn alike, very long texts count with all their tokens.
     Unknown sources and languages are categories of their own, a null text has no tokens, and no documents give none.
     """
     margins = {"source": F.col("source"), "lang": F.col("lang"), "topic": form_of(F.col("text"))}

@@ -1,4 +1,4 @@
-"""The ten operators, each over its whole table."""
+"""The operators, each over its whole table."""
 
 from __future__ import annotations
 
@@ -55,10 +55,10 @@ def op4_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_mixed_sources", sql.mixing(LANGUAGES, SMOOTHING, mixing.SWEEPS))
 def op5_mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Probability and draw of every document after raking to sources, languages and topics."""
+    """Probability, draw and copies of every document after raking to sources, languages and topics."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
     names = (F.col(f"margin_{name}").alias(name) for name in ("source", "lang", "topic"))
-    return mixing.mix(docs, LANGUAGES, SMOOTHING).select("doc.doc_id", *names, "probability", "taken")
+    return mixing.mix(docs, LANGUAGES, SMOOTHING).select("doc.doc_id", *names, "probability", "taken", "copies")
 
 
 @query("op6_surrogates")

@@ -91,7 +91,9 @@ with rows as (
 ), start as (select *, 1.0::double as factor from cells), {", ".join(steps)}
 select doc_id, r.source, r.lang, r.topic, least(1.0, round(factor, 9)) as probability,
     ('0x' || substr(md5('mix-' || coalesce(doc_id::varchar, '')), 1, 12))::bigint / 281474976710656.0
-        < least(1.0, round(factor, 9)) as taken
+        < least(1.0, round(factor, 9)) as taken,
+    floor(round(factor, 9))::bigint + (('0x' || substr(md5('mix-' || coalesce(doc_id::varchar, '')), 1, 12))::bigint / 281474976710656.0
+        < round(factor, 9) - floor(round(factor, 9)))::bigint as copies
 from rows r join {last} f using (source, lang, topic)
 """
 
