@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tonearm.llm.files import stored
 from tonearm.llm.token_store import bits_for, pack, unpack
-from tonearm.llm.words import text_chunks, token_encoder
+from tonearm.llm.words import TOKEN_CHUNK, text_chunks, token_encoder
 
 GROUP_PIECES = 8192
 ROUNDS = 4
@@ -78,7 +78,7 @@ def cut(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, vocabulary:
         encoder = token_encoder(tokenizer, end_id)
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
-            for first, texts in text_chunks(batch.column(1)):
+            for first, texts in text_chunks(batch.column(1), TOKEN_CHUNK):
                 ids, sizes = encoder.encode(texts)
                 ends = np.cumsum(sizes).tolist()
                 rows = []

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tonearm.llm.files import new_file, one_task_per_file, open_input, open_output, stored
-from tonearm.llm.words import text_chunks, token_encoder
+from tonearm.llm.words import TOKEN_CHUNK, text_chunks, token_encoder
 from tonearm.session import working_folder
 
 MAGIC = b"TOKBITS1"
@@ -192,7 +192,7 @@ def write_token_files(
             doc_ids = batch.column(0)
             known = ~np.asarray(doc_ids.is_null())
             values = np.asarray(doc_ids.fill_null(0))
-            for first, texts in text_chunks(batch.column(1)):
+            for first, texts in text_chunks(batch.column(1), TOKEN_CHUNK):
                 ids, sizes = encoder.encode(texts)
                 writer = writer or TokenWriter(new_file(folder, ".tok"), bits)
                 own = slice(first, first + len(texts))

@@ -16,10 +16,12 @@ SIGNS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c !=
 LETTERS_SIGNS = re.compile(b"([A-Za-z]+)([" + re.escape(SIGNS) + b"]*)")
 #: Stands for the end of a document among its words; no word holds a blank.
 END = b" "
-#: Distinct words a worker remembers.
+#: Distinct words a worker remembers, and those whose token ids it remembers, which take longer to make again.
 MEMO_WORDS = 150_000
+TOKEN_WORDS = 500_000
 #: Bytes of text handled at once inside a task.
 CHUNK_BYTES = 2_000_000
+TOKEN_CHUNK = 4_000_000
 
 
 def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
@@ -113,7 +115,7 @@ class TokenEncoder(WordMemo):
     tokenizer.
     """
 
-    def __init__(self, path: str, end_id: int | None = None, limit: int = MEMO_WORDS) -> None:
+    def __init__(self, path: str, end_id: int | None = None, limit: int = TOKEN_WORDS) -> None:
         super().__init__(limit)
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
