@@ -17,32 +17,55 @@ from tonearm.session import tune
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass their own rules and whose source is not rejected."""
+    """Documents that pass their own rules and whose source is not rejected.
+
+    A null or empty text has no words and fails; a document without a source is judged on its own only. Repeated rows
+    are judged each, texts of any length whole. No documents give none; columns of any name stay.
+    """
     tune(spark)
     return host_rules.keep_good(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near copies: five words, 80 percent."""
+    """The document with the smallest doc_id of each group of near copies: five words, 80 percent.
+
+    Texts that are null or without words are copies of nothing and stay. Rows of one doc_id and text stay or go
+    together; a row without a doc_id goes if a near copy has one. Texts are compared whole. No documents give none;
+    columns of any name stay.
+    """
     tune(spark)
     return near_text.keep_one(docs, near_text.Near())
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with surrogates for personal data and secrets, and n_chars of the new text."""
+    """All documents, with surrogates for personal data and secrets, and n_chars of the new text.
+
+    A null text stays null, an empty one empty. One value has one surrogate in all documents, so repeated rows stay
+    equal; documents without a doc_id are treated like others, texts of any length whole. No documents give none;
+    columns of any name stay.
+    """
     tune(spark)
     made = surrogates.with_surrogates(docs, SURROGATE_KEY).select("doc.*")
     return made.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn and repeated so that sources, languages and topics have their target shares."""
+    """Documents drawn and repeated so that sources, languages and topics have their target shares.
+
+    Null sources and languages are categories of their own. A null or empty text has no tokens and is drawn by its
+    cell; rows of one doc_id, and all rows without one, share a draw. Texts of any length count whole. No documents
+    give none; columns of any name stay.
+    """
     tune(spark)
     return mixing.repeated(mixing.mix(docs, LANGUAGES, SMOOTHING))
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of all documents, packed into sequences of at most 2048."""
+    """Token ids of all documents, packed into sequences of at most 2048.
+
+    A null or empty text is the end id alone; only texts of more tokens than a sequence are cut. A repeated row is
+    packed each time, a null doc_id stays null. No documents give no pieces; further columns are not looked at.
+    """
     tune(spark)
     return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER), 0, VOCABULARY)
 
