@@ -293,6 +293,10 @@ def block_links(
     Pairs with the bucket's pivot were compared before. A pair is verified in the first bucket only that both share.
     """
     found = []
+    numbers = np.unique(np.concatenate(sets), return_inverse=True)[1].astype(np.int32)
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    numbered = np.split(numbers, np.cumsum(sizes)[:-1])
+    own = np.zeros(int(numbers.max()) + 1 if len(numbers) else 1, bool)
     high = np.flatnonzero(~of_low & ~pivot)
     within = bool(of_low.all())
     for i in np.flatnonzero(of_low & ~pivot).tolist():
@@ -304,11 +308,14 @@ def block_links(
         others = others[plausible(left, signatures[others], near)]
         shared = bands[others] == bands[i]
         others = others[bands[i][shared.argmax(axis=1)] == key]
-        for j in others.tolist():
-            a, b = sets[i], sets[j]
-            common = len(np.intersect1d(a, b, assume_unique=True))
-            if 100 * common >= near.percent * (len(a) + len(b) - common):
-                found.append((min(int(nodes[i]), int(nodes[j])), max(int(nodes[i]), int(nodes[j]))))
+        if not len(others):
+            continue
+        own[numbered[i]] = True
+        of_others = np.concatenate([numbered[j] for j in others.tolist()])
+        common = np.add.reduceat(own[of_others].astype(np.int64), np.cumsum(sizes[others]) - sizes[others])
+        own[numbered[i]] = False
+        linked = others[100 * common >= near.percent * (sizes[i] + sizes[others] - common)]
+        found += [tuple(sorted((int(nodes[i]), int(nodes[j])))) for j in linked.tolist()]
     return found
 
 
