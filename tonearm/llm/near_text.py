@@ -6,11 +6,12 @@
    bucket's pivot; pivots are drawn by one of several orders of the nodes, so a node meets several pivots. Links found
    are closed to components, order by order, and pairs inside a component are not looked at again. At last the nodes of
    a bucket that still lie in different components are compared with each other, in blocks inside tasks: nodes carry
-   their signatures and sets to a block, so no pair but the links is a row. Every pair of a bucket is either compared or
-   connected.
+   their signatures and texts to a block, so no pair but the links is a row. Every pair of a bucket is either compared
+   or connected.
 4. A pair's signatures are compared in batches. After each batch the pair is dropped if the posterior probability that
    its similarity reaches the threshold falls below the chosen miss probability.
-5. Pairs that survive all batches are verified on their full sets.
+5. Pairs that survive all batches are verified on their full sets. Texts travel to where they are compared and the sets
+   are made there: a text takes a third of the bytes of its set of hashes, and less when compressed.
 """
 
 from __future__ import annotations
@@ -23,17 +24,18 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tonearm.llm.components import components
-from tonearm.llm.files import stored
+from tonearm.llm.files import discard, stored
 from tonearm.llm.words import WordMemo, text_chunks
 
 U64 = np.uint64
 #: Odd multipliers of the mixing steps.
 MIX = [U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F), U64(0x165667B19E3779F9)]
-SIGNED = "doc_id long, text_key long, n_shingles long, set_high long, set_low long, bands array<long>, signature binary"
+SIGNED = "doc_id long, text_key long, n_shingles long, set_high long, set_low long, bands array<long>"
+CANDIDATES = "node long, n_shingles long, signature binary, bands array<long>, text string"
 
 
 @dataclass(frozen=True)
@@ -137,6 +139,10 @@ class Signer:
         cut = signatures.reshape(len(signatures), self.near.bands, self.near.band_rows).astype(U64)
         return fold([np.broadcast_to(self.salts, cut.shape[:2]), *(cut[:, :, k] for k in range(self.near.band_rows))])
 
+    def band_lists(self, signatures: np.ndarray) -> pa.Array:
+        keys = self.bands(signatures).astype(np.int64).ravel()
+        return pa.ListArray.from_arrays(pa.array(np.arange(0, len(keys) + 1, self.near.bands, dtype=np.int32)), pa.array(keys))
+
 
 def set_digest(shingles: np.ndarray) -> tuple[int, int]:
     whole = xxhash.xxh3_128_intdigest(shingles.tobytes())
@@ -144,29 +150,22 @@ def set_digest(shingles: np.ndarray) -> tuple[int, int]:
 
 
 def sign(docs: DataFrame, near: Near) -> DataFrame:
-    """Digest of the shingle set, signature and band keys of each row; stored with a number for each row.
-
-    Of each hash of the signature 16 bits are kept; that two hashes agree in them by chance can only keep a pair.
-    """
-    names = ["doc_id", "text_key", "n_shingles", "set_high", "set_low", "bands", "signature"]
+    """Digest of the shingle set and band keys of each row; stored with a number for each row."""
+    names = ["doc_id", "text_key", "n_shingles", "set_high", "set_low", "bands"]
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, signer = Shingler(near.width), Signer(near)
         for batch in batches:
             for first, texts in text_chunks(batch.column(2)):
                 sets = shingler.sets(texts)
-                signatures = np.stack([signer.signature(s) for s in sets])
                 digests = [set_digest(s) for s in sets]
-                keys = signer.bands(signatures).astype(np.int64).ravel()
-                offsets = np.arange(0, len(keys) + 1, near.bands, dtype=np.int32)
                 columns = [
                     batch.column(0).slice(first, len(texts)),
                     batch.column(1).slice(first, len(texts)),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([d[0] for d in digests], pa.int64()),
                     pa.array([d[1] for d in digests], pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys)),
-                    pa.array([s.tobytes() for s in signatures.astype(np.uint16)], pa.binary()),
+                    signer.band_lists(np.stack([signer.signature(s) for s in sets])),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
@@ -204,58 +203,87 @@ def plausible(left: np.ndarray, right: np.ndarray, near: Near) -> np.ndarray:
 
 
 def prune(pairs: DataFrame, signatures: DataFrame, near: Near) -> DataFrame:
-    """The pairs (a, b, turn) of nodes whose signatures do not rule a link out; stored."""
+    """The pairs (a, b, turn) of nodes whose sizes and signatures do not rule a link out; stored."""
 
     def matrix(column: pa.Array) -> np.ndarray:
-        return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), near.hashes)
+        return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), near.hashes)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = pa.array(plausible(matrix(batch.column(3)), matrix(batch.column(4)), near))
             yield batch.select([0, 1, 2]).take(rows)
 
-    a = signatures.select(F.col("node").alias("a"), F.col("signature").alias("signature_a"))
-    b = signatures.select(F.col("node").alias("b"), F.col("signature").alias("signature_b"))
-    both = pairs.join(a, "a").join(b, "b").select("a", "b", "turn", "signature_a", "signature_b")
+    a = signatures.select(F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), F.col("signature").alias("signature_a"))
+    b = signatures.select(F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("signature").alias("signature_b"))
+    both = pairs.join(a, "a").join(b, "b").where(100 * F.least("n_a", "n_b") >= near.percent * F.greatest("n_a", "n_b"))
+    both = both.select("a", "b", "turn", "signature_a", "signature_b")
     return stored(both.mapInArrow(kept, "a long, b long, turn int"), "plausible-pairs")
 
 
-def shingle_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, near: Near) -> DataFrame:
-    """node and its whole set of shingles, made again from the texts of these nodes only; stored.
+def candidates(members: DataFrame, classes: DataFrame, docs: DataFrame, near: Near) -> DataFrame:
+    """node, n_shingles, signature, bands and whole text of the nodes that share a bucket; stored.
 
-    A doc_id finds the text; where rows share a doc_id, the digest of the set tells which is meant.
+    All later steps read this table, so texts of other documents move once, and their signatures never: those of
+    candidates are made again. Of each hash of a signature 8 bits are kept; that two hashes agree in them by chance can
+    only keep a pair. doc_id and the hash of the text find the text; a row that is repeated is taken once.
     """
-    wanted = classes.join(nodes, "node").select("node", F.col("least_id").alias("wanted_id"), "set_high", "set_low")
-    wanted = stored(wanted, "wanted-nodes")
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(near.width)
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler, signer = Shingler(near.width), Signer(near)
         for batch in batches:
-            for first, texts in text_chunks(batch.column(3)):
-                own = shingler.sets(texts)
-                keys = zip(*(batch.column(k).slice(first, len(texts)).to_pylist() for k in (1, 2)))
-                right = [k for k, (s, key) in enumerate(zip(own, keys)) if set_digest(s) == key]
-                found = batch.column(0).slice(first, len(texts)).take(pa.array(right, pa.int64()))
-                values = pa.array([own[k].view(np.int64) for k in right], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([found, values], ["node", "shingles"])
+            for first, texts in text_chunks(batch.column(1)):
+                sets = shingler.sets(texts)
+                signatures = np.stack([signer.signature(s) for s in sets])
+                columns = [
+                    batch.column(0).slice(first, len(texts)),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([s.tobytes() for s in signatures.astype(np.uint8)], pa.binary()),
+                    signer.band_lists(signatures),
+                    batch.column(1).slice(first, len(texts)),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "n_shingles", "signature", "bands", "text"])
+
+    nodes = classes.join(members.select("node").distinct(), "node").select("node", "text_id", "text_key")
+    nodes = stored(nodes, "candidate-nodes")
+    texts = docs.select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("text_id"),
+        F.xxhash64("text").alias("text_key"),
+        F.col("text").cast("string").alias("text"),
+    )
+    key = ["text_id", "text_key"]
+    found = nodes.join(texts, key).dropDuplicates([*key, "node"]).select("node", "text")
+    held = stored(found.mapInArrow(signed, CANDIDATES), "candidates")
+    discard(nodes)
+    return held
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    texts = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted_id"))).select("node", "set_high", "set_low", "text")
-    return stored(texts.mapInArrow(sets, "node long, shingles array<long>"), "shingle-sets")
 
+def similar(left: np.ndarray, right: np.ndarray, percent: int) -> bool:
+    """Whether two sets, each sorted, are similar enough."""
+    if 100 * min(len(left), len(right)) < percent * max(len(left), len(right)):
+        return False
+    shared = len(np.intersect1d(left, right, assume_unique=True))
+    return 100 * shared >= percent * (len(left) + len(right) - shared)
 
-def linked(shared: Column, size_a: Column, size_b: Column, percent: int) -> Column:
-    return 100 * shared >= percent * (size_a + size_b - shared)
 
+def verify(pairs: DataFrame, texts: DataFrame, near: Near) -> DataFrame:
+    """The distinct pairs (a, b) whose full shingle sets are similar enough; stored."""
+    pairs = pairs.select("a", "b").distinct()
+    own = texts.join(nodes_of(pairs), "node", "left_semi")
+    a = own.select(F.col("node").alias("a"), F.col("text").alias("of_a"))
+    b = own.select(F.col("node").alias("b"), F.col("text").alias("of_b"))
 
-def verify(pairs: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets are similar enough; stored."""
-    a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
-    b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
-    shared = F.size(F.array_intersect("of_a", "of_b"))
-    both = pairs.select("a", "b").join(a, "a").join(b, "b")
-    links = both.where(linked(shared, F.size("of_a"), F.size("of_b"), near.percent))
-    return stored(links.select("a", "b").distinct(), "links")
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(near.width)
+        for batch in batches:
+            for first, of_a in text_chunks(batch.column(2)):
+                rows = batch.slice(first, len(of_a))
+                of_b = rows.column(3).cast(pa.binary()).to_pylist()
+                sets = zip(shingler.sets(of_a), shingler.sets(of_b))
+                found = [k for k, (left, right) in enumerate(sets) if similar(left, right, near.percent)]
+                yield rows.select([0, 1]).take(pa.array(found, pa.int64()))
+
+    both = pairs.join(a, "a").join(b, "b").select("a", "b", "of_a", "of_b")
+    return stored(both.mapInArrow(links, "a long, b long"), "links")
 
 
 def bucket_members(signed: DataFrame, classes: DataFrame, near: Near) -> DataFrame:
@@ -263,7 +291,7 @@ def bucket_members(signed: DataFrame, classes: DataFrame, near: Near) -> DataFra
     nodes = signed.select(F.col("row").alias("node"), "bands").join(classes.select("node"), "node")
     rows = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     rows = rows.select("node", "key", (F.col("band") % near.orders).alias("turn"))
-    rank = F.struct(F.xxhash64("node", "turn").alias("rank"), F.col("node"))
+    rank = F.struct(F.hash("node", "turn").alias("rank"), F.col("node"))
     buckets = rows.groupBy("key").agg(F.min(rank).alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1")
     buckets = buckets.select("key", F.col("pivot.node").alias("first"), "n")
     return stored(rows.join(buckets, "key").select("key", "node", "first", "n", "turn"), "bucket-members")
@@ -302,6 +330,8 @@ def block_links(
     for i in np.flatnonzero(of_low & ~pivot).tolist():
         others = np.flatnonzero(~pivot[i + 1 :]) + i + 1 if within else high
         others = others[roots[others] != roots[i]]
+        smaller, larger = np.minimum(sizes[others], sizes[i]), np.maximum(sizes[others], sizes[i])
+        others = others[100 * smaller >= near.percent * larger]
         if not len(others):
             continue
         left = np.broadcast_to(signatures[i], (len(others), near.hashes))
@@ -319,9 +349,7 @@ def block_links(
     return found
 
 
-def across(
-    members: DataFrame, roots: DataFrame, signed: DataFrame, classes: DataFrame, docs: DataFrame, near: Near
-) -> DataFrame:
+def across(members: DataFrame, roots: DataFrame, held: DataFrame, near: Near) -> DataFrame:
     """Links (a, b) between nodes that share a bucket of three nodes or more but not a component; stored.
 
     A bucket is dealt into blocks of about ``block_shingles`` shingles, and each two blocks meet in one task. A node goes
@@ -330,7 +358,7 @@ def across(
     labelled = stored(
         members.where("n > 2")
         .join(roots, "node", "left")
-        .join(signed.select(F.col("row").alias("node"), "n_shingles"), "node")
+        .join(held.select("node", "n_shingles"), "node")
         .select("key", "node", (F.col("node") == F.col("first")).alias("pivot"), F.coalesce("root", "node").alias("root"), "n_shingles"),
         "labelled-members",
     )
@@ -340,33 +368,32 @@ def across(
     blocks = F.ceil(F.col("size") / near.block_shingles).cast("int")
     split = split.where("low <> high").select("key", blocks.alias("blocks"))
     open_ = stored(labelled.join(split, "key").drop("n_shingles"), "open-members")
-    nodes = stored(open_.select("node").distinct(), "open-nodes")
-    sets = shingle_sets(nodes, classes, docs, near)
+    discard(labelled)
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = open_.select("key", "node", "pivot", "root", own.alias("own"), others.alias("other"))
     dealt = dealt.select("key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "pivot", "node", "root")
-    rows = dealt.join(signed.select(F.col("row").alias("node"), "signature", "bands"), "node").join(sets, "node")
+    rows = dealt.join(held, "node")
     of_low = (F.col("own") == F.col("low")).alias("of_low")
-    rows = rows.select("key", "low", "high", of_low, "pivot", "node", "root", "signature", "bands", "shingles")
+    rows = rows.select("key", "low", "high", of_low, "pivot", "node", "root", "signature", "bands", "text")
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
+        shingler = Shingler(near.width)
+        own: list[pa.RecordBatch] = []
         now = None
 
         def close() -> pa.RecordBatch:
-            block = pa.Table.from_batches(held).combine_chunks()
+            block = pa.Table.from_batches(own).combine_chunks()
             column = {name: block.column(name).chunk(0) for name in block.schema.names}
             flags = (column[c].to_numpy(zero_copy_only=False) for c in ("of_low", "pivot"))
-            ends = np.cumsum(column["shingles"].value_lengths().to_numpy())
             found = block_links(
                 now[0],
                 *flags,
                 column["node"].to_numpy(),
                 column["root"].to_numpy(),
-                np.frombuffer(b"".join(column["signature"].to_pylist()), np.uint16).reshape(len(block), near.hashes),
+                np.frombuffer(b"".join(column["signature"].to_pylist()), np.uint8).reshape(len(block), near.hashes),
                 column["bands"].flatten().to_numpy().reshape(len(block), near.bands),
-                np.split(column["shingles"].flatten().to_numpy(), ends[:-1]),
+                [shingles for _, chunk in text_chunks(column["text"]) for shingles in shingler.sets(chunk)],
                 near,
             )
             return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
@@ -378,38 +405,42 @@ def across(
                 if first == last:
                     continue
                 mark = tuple(marks[first].tolist())
-                if held and mark != now:
+                if own and mark != now:
                     yield close()
-                    held.clear()
+                    own.clear()
                 now = mark
-                held.append(batch.slice(first, last - first))
-        if held:
+                own.append(batch.slice(first, last - first))
+        if own:
             yield close()
 
     meeting = rows.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "node")
-    return stored(meeting.mapInArrow(compared, "a long, b long"), "links-across")
+    links = stored(meeting.mapInArrow(compared, "a long, b long"), "links-across")
+    discard(open_)
+    return links
 
 
 def nodes_of(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
 
 
-def connect(members: DataFrame, signed: DataFrame, classes: DataFrame, docs: DataFrame, near: Near) -> DataFrame:
+def connect(members: DataFrame, classes: DataFrame, docs: DataFrame, near: Near) -> DataFrame:
     """node and root of all nodes that a link connects to a smaller one."""
-    signatures = signed.select(F.col("row").alias("node"), "signature").join(members.select("node").distinct(), "node")
-    signatures = stored(signatures, "candidate-signatures")
+    held = candidates(members, classes, docs, near)
     pairs = members.where("node <> first").select(F.least("first", "node").alias("a"), F.greatest("first", "node").alias("b"), "turn")
-    open_ = prune(pairs.groupBy("a", "b").agg(F.min("turn").cast("int").alias("turn")), signatures, near)
-    sets = shingle_sets(nodes_of(open_), classes, docs, near)
-    links = verify(open_.where("turn = 0"), sets, near)
+    open_ = prune(pairs.groupBy("a", "b").agg(F.min("turn").cast("int").alias("turn")), held, near)
+    texts = held.select("node", "text")
+    links = verify(open_.where("turn = 0"), texts, near)
     roots = components(links)
     low = 1
     while low < near.orders:  # fewer and fewer pairs are left, so more orders go at once
         own = open_.where((F.col("turn") >= low) & (F.col("turn") < 3 * low))
-        links = links.unionByName(verify(apart(own, roots), sets, near))
+        links = links.unionByName(verify(apart(own, roots), texts, near))
         roots = components(links)
         low *= 3
-    return components(links.unionByName(across(members, roots, signed, classes, docs, near)))
+    discard(open_)
+    links = links.unionByName(across(members, roots, held, near))
+    discard(held)
+    return components(links)
 
 
 def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
@@ -422,11 +453,11 @@ def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
     """
     signed = sign(docs, near)
     key = ["set_high", "set_low"]
-    classes = stored(
-        signed.where("n_shingles > 0").groupBy(*key).agg(F.min("row").alias("node"), F.min("doc_id").alias("least_id")),
-        "shingle-classes",
-    )
-    roots = connect(bucket_members(signed, classes, near), signed, classes, docs, near)
+    node = F.min(F.struct("row", F.coalesce("doc_id", F.lit(0)).alias("text_id"), "text_key")).alias("node")
+    sets = signed.where("n_shingles > 0").groupBy(*key).agg(node, F.min("doc_id").alias("least_id"))
+    node = (F.col("node")[name].alias(alias) for name, alias in (("row", "node"), ("text_id", "text_id"), ("text_key", "text_key")))
+    classes = stored(sets.select(*key, *node, "least_id"), "shingle-classes")
+    roots = connect(bucket_members(signed, classes, near), classes, docs, near)
     rooted = classes.join(roots, "node", "left").select(*key, "least_id", F.coalesce("root", "node").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
     of_class = stored(rooted.join(least, "root").select(*key, "component_id"), "class-components")
