@@ -148,7 +148,8 @@ def insert_absent(c):
     warehouse.write_staging(c.fact_playlist_track, root, "facts")
     facts = warehouse.read_table(c.spark, root, "facts")
     staged = facts.where("date_actual >= '1997-01-01'")
-    return merge.insert_absent(facts.where("genre_key >= 10"), staged, FACT_KEYS, "added_date_key")
+    held = facts.where("genre_key >= 10")
+    return merge.insert_absent(held, staged, FACT_KEYS, "added_date_key", folded="genre_key")
 
 
 UPSERT_TARGET = """select track_id, album_id, name, plays_count, duration_ms from src_track where disc_number is not null"""
