@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tonearm.functions.change import any_differs, same_keys
 from tonearm.operators import dedup
+from tonearm.operators.fold import not_in_folded
 from tonearm.operators.lookup import not_in, open_versions
 from tonearm.operators.merge import key_range, match_sides
 from tonearm.operators.numbering import chunk_ids, dense_numbers
@@ -79,7 +80,7 @@ def fact_anti_join(c):
     warehouse.write_staging(c.fact_playlist_track, root, "facts")
     staged = warehouse.read_table(c.spark, root, "facts")
     held = staged.where("date_actual < '1998-01-01'").select(*FACT_KEYS)
-    return staged.alias("s").join(held.alias("t"), same_keys("s", "t", FACT_KEYS), "left_anti")
+    return not_in_folded(staged, held, FACT_KEYS, "genre_key")
 
 
 @query(
