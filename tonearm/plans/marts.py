@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tonearm.functions.values import duration_class
 from tonearm.operators.dedup import first_rows
+from tonearm.operators.fold import fold, type_of, unfold
 from tonearm.operators.lookup import not_in, open_versions
 from tonearm.schemas import UNKNOWN_INT
 
@@ -49,11 +50,12 @@ def user_genre_preference(
     facts: DataFrame, dim_user: DataFrame, dim_genre: DataFrame, dim_track: DataFrame
 ) -> DataFrame:
     """Tracks and plays per user name and genre."""
-    units = first_rows(
-        facts.where(F.col("genre_key") != UNKNOWN_INT), ["user_key", "genre_key", "track_key"]
-    )
+    unit = ["user_key", "genre_key", "track_key"]
+    # a row per user and track until their plays are found, not one per genre
+    units = fold(facts.where(F.col("genre_key") != UNKNOWN_INT).select(*unit), "genre_key")
+    played = units.join(open_versions(dim_track).select("track_key", "plays_count"), "track_key")
     per_key = (
-        units.join(open_versions(dim_track).select("track_key", "plays_count"), "track_key")
+        unfold(played, "genre_key", ["user_key", "genre_key", "plays_count"], type_of(facts, "genre_key"))
         .groupBy("user_key", "genre_key")
         .agg(F.count(F.lit(1)).alias("tracks"), F.sum("plays_count").alias("plays"))
     )
