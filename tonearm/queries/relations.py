@@ -151,8 +151,9 @@ def star_join(c):
 def fact_date_track(c):
     days = c.dim_date.select(F.col("date_key").alias("added_date_key"), "year", "month_name")
     tracks = open_versions(c.dim_track).select("track_key", F.col("name").alias("track_name"))
-    joined = c.fact_playlist_track.join(days, "added_date_key").join(tracks, "track_key")
-    return joined.groupBy("year", "month_name", "track_name").agg(F.count(F.lit(1)).alias("n"))
+    per_day = c.fact_playlist_track.groupBy("added_date_key", "track_key").agg(F.count(F.lit(1)).alias("entries"))
+    joined = per_day.join(days, "added_date_key").join(tracks, "track_key")
+    return joined.groupBy("year", "month_name", "track_name").agg(F.sum("entries").alias("n"))
 
 
 @query(
@@ -220,7 +221,7 @@ def distinct_count_first_row(c):
 )
 def sum_first_row(c):
     tracks = open_versions(c.dim_track).select("track_key", "plays_count")
-    joined = c.fact_playlist_track.select("user_key", "track_key").join(tracks, "track_key")
+    joined = dedup.first_rows(c.fact_playlist_track, ["user_key", "track_key"]).join(tracks, "track_key")
     return dedup.count_first_rows(
         joined, ["user_key", "track_key"], ["user_key"], "tracks", plays=F.col("plays_count")
     )
@@ -306,7 +307,7 @@ def first_row_album(c):
 
 @query("e02_first_row_user_genre_track", _first_row_sql("user_key, genre_key, track_key", "fact_playlist_track"))
 def first_row_user_genre(c):
-    return dedup.first_rows(c.fact_playlist_track, ["user_key", "genre_key", "track_key"])
+    return dedup.first_rows(c.fact_playlist_track, ["user_key", "genre_key", "track_key"], folded="genre_key")
 
 
 @query("e03_first_row_date_track_playlist", _first_row_sql("added_date_key, track_key, playlist_key", "fact_playlist_track"))
