@@ -2,10 +2,14 @@
 
 import random
 
+import __spark_entry__ as entry
 import pytest
+from conftest import SMALL
 from pyspark.sql import functions as F
 
-from tonearm.operators import fold, lookup, merge
+from tonearm.operators import dedup, fold, lookup, merge
+from tonearm.plans import marts
+from tonearm.queries import storage
 from tonearm.sources import warehouse
 
 DDL = "day int, k string, g bigint, extra string"
@@ -75,3 +79,41 @@ def test_facts_are_laid_out_folded(spark, rows, tmp_path):
     assert shuffled == [120]  # -1 and 0..38 have a word each
     stored = warehouse.read_facts(spark, str(tmp_path), "fact_playlist_track")
     assert rows(stored, *facts.columns) == rows(facts)
+
+
+def test_folded_first_rows_are_the_plain_ones(spark, rows):
+    df = some_rows(spark, 4)
+    keys = ["k", "g", "day"]
+    assert rows(dedup.first_rows(df, keys, folded="g"), *keys) == rows(dedup.first_rows(df, keys))
+
+
+def test_preference_looks_tracks_up_folded(spark, monkeypatch):
+    """One row per user and track reaches the join with the tracks, whatever the number of genres."""
+    facts = spark.range(5).select(F.lit("u").alias("user_key"), F.col("id").cast("string").alias("track_key"))
+    facts = facts.withColumn("genre_key", F.explode(F.expr("sequence(1L, 20L)")))
+    users = spark.createDataFrame([("u", "ann")], "user_key string, name string")
+    genres = spark.range(1, 21).select(F.col("id").alias("genre_key"), F.concat(F.lit("g"), "id").alias("name"))
+    tracks = facts.select("track_key", F.lit(3).alias("plays_count")).distinct()
+    seen = []
+    monkeypatch.setattr(marts, "unfold", lambda df, *args: seen.append(df.count()) or fold.unfold(df, *args))
+    result = marts.user_genre_preference(facts, users, genres, tracks)
+    assert {tuple(r)[2:] for r in result.collect()} == {(5, 15)} and result.count() == 20
+    assert seen == [5]
+
+
+def test_counts_reduce_facts_before_tracks_are_looked_up(spark, capsys):
+    entry.queries()["c11_fact_date_track"](spark, SMALL).explain()
+    assert "partial_sum(entries" in capsys.readouterr().out
+    entry.queries()["d04_sum_first_row"](spark, SMALL).explain()
+    plan = capsys.readouterr().out.splitlines()  # from the last operator to the first
+    found = [i for i, line in enumerate(plan) if "Join" in line]
+    keys = [line.split("keys=[")[1].split("]")[0] for line in plan[found[0] : found[1]] if "HashAggregate" in line]
+    assert any("user_key" in k and "track_key" in k for k in keys)
+
+
+@pytest.mark.parametrize("key", ["g08_fact_load", "a16_month_compaction"])
+def test_facts_are_built_once(spark, monkeypatch, key):
+    built = []
+    monkeypatch.setattr(storage, "stored", lambda c, df, name, plain=storage.stored: built.append(name) or plain(c, df, name))
+    entry.queries()[key](spark, SMALL)
+    assert built.count("fact_playlist_track") == 1
