@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tonearm.operators import dedup, fold, lookup, merge
 from tonearm.plans import marts
 from tonearm.queries import storage
+from tonearm.queries.fixtures import Catalogue
 from tonearm.sources import warehouse
 
 DDL = "day int, k string, g bigint, extra string"
@@ -117,3 +118,35 @@ def test_facts_are_built_once(spark, monkeypatch, key):
     monkeypatch.setattr(storage, "stored", lambda c, df, name, plain=storage.stored: built.append(name) or plain(c, df, name))
     entry.queries()[key](spark, SMALL)
     assert built.count("fact_playlist_track") == 1
+
+
+@pytest.mark.parametrize("few", [0, 10**9])
+def test_rows_staged_folded_are_inserted_as_plain_ones(spark, rows, monkeypatch, few):
+    monkeypatch.setattr(merge, "FEW_ROWS", few)
+    staging, target = some_rows(spark, 4), some_rows(spark, 5, 40)
+    keys = ["day", "k", "g"]
+    left = merge.insert_absent(target, fold.fold(staging, "g"), keys, "day", folded="g")
+    assert (fold.MASK in left.columns) == (few == 0)
+    if few == 0:
+        left = fold.unfold(left, "g", staging.columns)
+    assert rows(left, *staging.columns) == rows(lookup.not_in(staging, target, keys))
+
+
+def test_folded_facts_are_written_as_facts(spark, rows, tmp_path):
+    facts = spark.createDataFrame(
+        [(20240101, "p", "u", g, "t", None) for g in (-1, 3, 70)] + [(20240102, "p", "u", 5, "t", None)],
+        "added_date_key int, playlist_key string, user_key string, genre_key bigint, track_key string, date_actual date",
+    )
+    warehouse.write_facts(fold.fold(facts, "genre_key"), str(tmp_path), "fact_playlist_track", 20240102)
+    stored = warehouse.read_facts(spark, str(tmp_path), "fact_playlist_track")
+    assert rows(stored, *facts.columns) == rows(facts)
+
+
+def test_daily_run_stages_entries_not_facts(spark):
+    """A staged row for each entry and 64 genres, also for the albums' tracks."""
+    catalogue = Catalogue(spark, SMALL)
+    places = storage.warehouse_after(catalogue, storage.DAYS[:1])
+    for table in ("fact_playlist_track", "fact_album_track"):
+        staged = warehouse.read_table(spark, places.staging_of(20240101), table)
+        assert fold.MASK in staged.columns
+        assert staged.count() < warehouse.read_facts(spark, places.warehouse, table).count()
