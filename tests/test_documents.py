@@ -8,6 +8,7 @@ from tonearm.plans import api_documents as api
 from tonearm.plans import storing
 from tonearm.plans import web_documents as web
 from tonearm.plans.documents import parse_bodies
+from tonearm.queries.documents import bodies
 from tonearm.schemas import SOURCE_TABLES
 
 SITE = "https://catalogue.example"
@@ -101,3 +102,13 @@ def test_storing_order_puts_parents_first(spark):
     stored = storing.store(targets, api.tracks(docs(spark, api.TRACK, body)[0]), NOW)
     assert list(stored) == ["artist", "album", "track", "artist_album", "artist_track"]
     assert stored["artist"].select(F.count("*")).first()[0] == 1
+
+
+def test_a_body_is_made_and_parsed_once(spark):
+    """Conditions on the document do not parse its body again."""
+    df = spark.createDataFrame([("a",)], "id string")
+    docs, rejected = parse_bodies(bodies(df, "named_struct('id', id)"), "id string", "id")
+    for rows in (docs, rejected):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json") == 1 and plan.count("to_json") == 1
+    assert docs.count() == 1 and rejected.count() == 0

@@ -20,13 +20,14 @@ class Rows:
 def parse_bodies(bodies: DataFrame, ddl: str, needs: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Documents of (…, body) rows as column ``doc``, and the rows that cannot be used.
 
-    Empty bodies are dropped. Malformed ones, and those lacking the field ``needs``, are returned
+    Each body is parsed once: as the output of a generator, ``doc`` is not put into the conditions on it, where Spark would
+    parse the body again for each of them. Empty bodies are dropped. Malformed ones, and those lacking the field ``needs``, are returned
     with a reason, to be fetched again. When several tables are taken from the documents, write
     them once and read them back, or every table parses the bodies anew.
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
-    parsed = bodies.where("trim(body) not in ('', 'null')").withColumn(
-        "doc", F.from_json("body", f"struct<{ddl}, _corrupt_record: string>", options)
+    parsed = bodies.where("trim(body) not in ('', 'null')").select(
+        "*", F.explode(F.array(F.from_json("body", f"struct<{ddl}, _corrupt_record: string>", options))).alias("doc")
     )
     reason = F.when(F.col("doc._corrupt_record").isNotNull(), "malformed")
     if needs:

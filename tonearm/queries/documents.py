@@ -54,14 +54,17 @@ def all_of(*parts: str) -> str:
 
 
 def bodies(df: DataFrame, doc: str, *more: str) -> DataFrame:
-    """One body per row from a struct expression; NULL fields are left out of the text."""
-    return df.selectExpr(f"{FETCHED} as fetched_at", f"to_json({doc}) as body", *more)
+    """One body per row from a struct expression; NULL fields are left out of the text.
+
+    As the output of a generator, a body is made once and not again for each condition on it.
+    """
+    return df.selectExpr(f"{FETCHED} as fetched_at", f"explode(array(to_json({doc}))) as body", *more)
 
 
 def spliced(df: DataFrame, doc: str, array: str, *more: str) -> DataFrame:
     """Bodies whose '@@' field becomes an array given as text, with elements of any shape."""
     body = f"replace(to_json({doc}), '\"@@\"', {array})"
-    return df.selectExpr(f"{FETCHED} as fetched_at", f"{body} as body", *more)
+    return df.selectExpr(f"{FETCHED} as fetched_at", f"explode(array({body})) as body", *more)
 
 
 def parsed(c, rows: DataFrame, ddl: str, needs: str | None = None) -> DataFrame:
