@@ -150,3 +150,12 @@ def test_daily_run_stages_entries_not_facts(spark):
         staged = warehouse.read_table(spark, places.staging_of(20240101), table)
         assert fold.MASK in staged.columns
         assert staged.count() < warehouse.read_facts(spark, places.warehouse, table).count()
+
+
+@pytest.mark.parametrize(
+    "key",
+    ["c10_star_join", "e03_first_row_date_track_playlist", "e04_first_row_date_track_user", "h14_favorite_track"],
+)
+def test_entries_are_reduced_without_a_row_for_each_genre(spark, monkeypatch, key):
+    monkeypatch.setattr(Catalogue, "fact_playlist_track", property(lambda self: pytest.fail("built unfolded")))
+    assert entry.queries()[key](spark, SMALL).count() > 0

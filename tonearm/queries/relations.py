@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tonearm.functions.change import any_differs, same_keys
 from tonearm.operators import dedup
-from tonearm.operators.fold import not_in_folded
+from tonearm.operators.fold import MASK, WORD, not_in_folded, unfold
 from tonearm.operators.lookup import not_in, open_versions
 from tonearm.operators.merge import key_range, match_sides
 from tonearm.operators.numbering import chunk_ids, dense_numbers
@@ -138,8 +138,12 @@ def star_join(c):
     users = c.dim_user.select("user_key", F.col("name").alias("user_name"))
     genres = c.dim_genre.select("genre_key", F.col("name").alias("genre"))
     tracks = open_versions(c.dim_track).select("track_key", "is_explicit")
-    joined = c.fact_playlist_track.join(users, "user_key").join(genres, "genre_key").join(tracks, "track_key")
-    return joined.groupBy("user_name", "genre", "is_explicit").agg(F.count(F.lit(1)).alias("n"))
+    kept = ["user_name", "is_explicit"]
+    entries = c.fact_playlist_masks.join(users, "user_key").join(tracks, "track_key")
+    # entries are counted for each set of genres before there is a row for each genre
+    sets = entries.groupBy(*kept, WORD, MASK).agg(F.count(F.lit(1)).alias("entries"))
+    facts = unfold(sets, "genre_key", [*kept, "genre_key", "entries"]).join(genres, "genre_key")
+    return facts.groupBy("user_name", "genre", "is_explicit").agg(F.sum("entries").alias("n"))
 
 
 @query(
@@ -312,12 +316,12 @@ def first_row_user_genre(c):
 
 @query("e03_first_row_date_track_playlist", _first_row_sql("added_date_key, track_key, playlist_key", "fact_playlist_track"))
 def first_row_playlist(c):
-    return dedup.first_rows(c.fact_playlist_track, ["added_date_key", "track_key", "playlist_key"])
+    return dedup.first_rows(c.fact_playlist_masks, ["added_date_key", "track_key", "playlist_key"])
 
 
 @query("e04_first_row_date_track_user", _first_row_sql("added_date_key, track_key, user_key", "fact_playlist_track"))
 def first_row_user(c):
-    return dedup.first_rows(c.fact_playlist_track, ["added_date_key", "track_key", "user_key"])
+    return dedup.first_rows(c.fact_playlist_masks, ["added_date_key", "track_key", "user_key"])
 
 
 @query(

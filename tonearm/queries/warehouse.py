@@ -152,4 +152,4 @@ def user_genre_preference(c):
     from fact_playlist_track f join dim_track t using (track_key) group by all""",
 )
 def favorite_track(c):
-    return marts.favorite_track(c.fact_playlist_track, c.dim_date, c.dim_track)
+    return marts.favorite_track(c.fact_playlist_masks, c.dim_date, c.dim_track)
