@@ -14,7 +14,7 @@ from tonearm.plans import warehouse as daily
 from tonearm.plans.specs import DIMENSIONS, FACTS
 from tonearm.queries.registry import query
 from tonearm.schemas import SOURCE_TABLES
-from tonearm.session import working_folder
+from tonearm.session import side_by_side, working_folder
 from tonearm.sources import lake, warehouse
 
 DAYS = [dt.date(2024, 1, 1), dt.date(2024, 1, 2), dt.date(2024, 1, 3)]
@@ -299,11 +299,17 @@ def dimension_load(c):
     places = daily.Places(*[working_folder(c.spark, p) for p in ("lake", "staging", "warehouse")])
     for number, day in enumerate(DAYS[:2]):
         staging = places.staging_of(warehouse.run_number(day))
-        for spec in DIMENSIONS.values():
-            rows = getattr(c, spec.name).select(*spec.columns)
+
+        def stage(spec, source, number=number, staging=staging):
+            rows = source.select(*spec.columns)
             if spec.name == "dim_track":
                 rows = rows.withColumn("plays_count", F.col("plays_count") + number)
             warehouse.write_staging(rows, staging, spec.name, spec.staging_format)
+            return warehouse.read_table(c.spark, staging, spec.name, spec.staging_format)
+
+        # built once: the rows of the second day are those staged on the first
+        sources = [getattr(c, name) for name in DIMENSIONS] if number == 0 else staged
+        staged = side_by_side([lambda a=a: stage(*a) for a in zip(DIMENSIONS.values(), sources)])
         daily.load_dimensions(c.spark, places, day)
     result = None
     for spec in DIMENSIONS.values():
