@@ -8,7 +8,7 @@ from conftest import SMALL
 from pyspark.sql import functions as F
 
 from tonearm.operators import dedup, fold, lookup, merge
-from tonearm.plans import marts
+from tonearm.plans import dims, marts
 from tonearm.queries import storage
 from tonearm.queries.fixtures import Catalogue
 from tonearm.sources import warehouse
@@ -154,8 +154,22 @@ def test_daily_run_stages_entries_not_facts(spark):
 
 @pytest.mark.parametrize(
     "key",
-    ["c10_star_join", "e03_first_row_date_track_playlist", "e04_first_row_date_track_user", "h14_favorite_track"],
+    ["c10_star_join", "e03_first_row_date_track_playlist", "e04_first_row_date_track_user", "h14_favorite_track", "b19_sentinel_filter"],
 )
 def test_entries_are_reduced_without_a_row_for_each_genre(spark, monkeypatch, key):
     monkeypatch.setattr(Catalogue, "fact_playlist_track", property(lambda self: pytest.fail("built unfolded")))
     assert entry.queries()[key](spark, SMALL).count() > 0
+
+
+@pytest.mark.parametrize("value", [-1, 0, 63, 64])
+def test_a_value_is_taken_out_of_folded_rows(spark, rows, value):
+    df = some_rows(spark, 6)
+    left = fold.unfold(fold.without(fold.fold(df, "g"), value), "g", df.columns)
+    assert rows(left) == rows(df.where(F.col("g") != value))
+
+
+def test_dimensions_staged_twice_are_built_once(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(Catalogue, "dim_album", property(lambda self: asked.append(1) or dims.stage_album(self.src_album)))
+    assert entry.queries()["g07_dimension_load"](spark, SMALL).count() == 6
+    assert len(asked) == 1

@@ -40,6 +40,13 @@ def union_masks(df: DataFrame) -> DataFrame:
     return df.groupBy(*[c for c in df.columns if c != MASK]).agg(F.bit_or(MASK).alias(MASK))
 
 
+def without(df: DataFrame, value: int) -> DataFrame:
+    """Folded rows less one value; rows that held no other, and those of NULL, go."""
+    mask = F.col(MASK)
+    rest = mask.bitwiseAND(F.bitwise_not(_bit(F.lit(value).cast("bigint"))))
+    return df.withColumn(MASK, F.when(F.col(WORD) == value >> 6, rest).otherwise(mask)).where(F.col(MASK) != 0)
+
+
 def unfold(df: DataFrame, column: str, columns: Sequence[str], dtype: str = "bigint") -> DataFrame:
     """The rows again, one per bit, with the named columns; ``column`` gets the type it had."""
     bit, mask = F.col("_bit"), F.col(MASK)

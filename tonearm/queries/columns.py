@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tonearm.functions import change, dates, values
 from tonearm.operators.find import find_many, find_one
+from tonearm.operators.fold import without
 from tonearm.operators.lookup import open_versions
 from tonearm.queries.registry import query
 from tonearm.schemas import ALBUM_TYPE_CODES, DATE_PRECISION_CODES, UNKNOWN_INT, UNKNOWN_STR
@@ -190,7 +191,7 @@ def duration_class(c):
     group by all""",
 )
 def sentinel_filter(c):
-    facts = c.fact_playlist_track.where(F.col("genre_key") != UNKNOWN_INT)
+    facts = without(c.fact_playlist_masks, UNKNOWN_INT)
     tracks = open_versions(c.dim_track).where(F.col("plays_count") != UNKNOWN_INT)
     pairs = facts.select("track_key", "user_key").dropDuplicates()
     users = c.dim_user.where("name != ''").select("user_key")
