@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from compare import compare
 from llm_cases import EDGES, LONG, SMALL, components, docs, near_components, table, texts_of
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tonearm.llm import host_rules, mixing, near_text, near_vectors, quality_model, repeats, surrogates
@@ -512,6 +513,28 @@ def test_keep_one_takes_columns_of_any_name(spark):
     assert kept.columns == frame.columns and sorted((r.doc_id for r in kept.collect()), key=str) == [1, 3, None]
 
 
+def shuffled_texts(frame):
+    """The plans of the shuffles in a frame's plan that move texts or whole documents."""
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and ("doc#" in line or "text#" in line)]
+
+
+def test_only_texts_with_a_mark_are_shuffled(spark, monkeypatch):
+    """Texts are told apart by marks before any shuffle; with one slot, so that all share it, the rows are the same."""
+    rows = [(i, " ".join(f"t{i % 60}w{k}" for k in range(30))) for i in range(100)] + [(None, None), (100, "")]
+    frame = docs(spark, rows)
+    keys = frame.where("doc_id < 5").select(F.xxhash64("text").alias("text_key"))
+    held = near_text.by_marks(frame, F.col("text"), near_text.marks(keys), "left_semi")
+    rest = near_text.by_marks(frame, F.col("text"), near_text.marks(keys), "left_anti")
+    assert sorted(r.doc_id for r in held.collect()) == [*range(5), *range(60, 65)] and rest.count() == len(rows) - 10
+    assert not shuffled_texts(held)
+    kept = near_text.keep_one(frame)
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted([*range(60), 100, None], key=str)
+    assert kept._jdf.queryExecution().executedPlan().toString().count("mark_word") > 1
+    monkeypatch.setattr(near_text, "SLOTS", 1)
+    assert sorted(map(str, near_text.keep_one(frame).collect())) == sorted(map(str, kept.collect()))
+
+
 @pytest.mark.parametrize("stage", [name for name, _ in corpus_pipeline.STAGES])
 def test_stages_take_edge_rows(spark, stage):
     """Nulls, empty and very long texts, repeated rows and clashing names: no crash, and no column lost."""

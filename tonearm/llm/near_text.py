@@ -24,7 +24,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tonearm.llm.components import components
@@ -36,6 +36,8 @@ U64 = np.uint64
 MIX = [U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F), U64(0x165667B19E3779F9)]
 SIGNED = "doc_id long, text_key long, n_shingles long, set_high long, set_low long, bands array<long>"
 CANDIDATES = "node long, n_shingles long, signature binary, bands array<long>, text string"
+#: Bits that tell which hashes of texts may be in a table: one megabyte of them whatever the table's size.
+SLOTS = 1 << 23
 
 
 @dataclass(frozen=True)
@@ -220,11 +222,28 @@ def prune(pairs: DataFrame, signatures: DataFrame, near: Near) -> DataFrame:
     return stored(both.mapInArrow(kept, "a long, b long, turn int"), "plausible-pairs")
 
 
+def marks(keys: DataFrame) -> DataFrame:
+    """The slots that ``text_key`` of any row falls into, 64 a row; at most ``SLOTS`` / 64 rows."""
+    slots = keys.select(F.pmod("text_key", F.lit(SLOTS)).alias("slot"))
+    bit = F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("mark_bits")
+    return slots.groupBy(F.shiftright("slot", 6).alias("mark_word")).agg(bit)
+
+
+def by_marks(rows: DataFrame, text: Column, marked: DataFrame, how: str) -> DataFrame:
+    """The rows whose text may be marked (``left_semi``), or those whose text is not (``left_anti``).
+
+    Rows are told apart where they lie, so that only those which may be marked have to be shuffled with their texts.
+    """
+    slot = F.pmod(F.xxhash64(text), F.lit(SLOTS))
+    held = (F.shiftright(slot, 6) == F.col("mark_word")) & (F.getbit("mark_bits", slot.bitwiseAND(F.lit(63))) == 1)
+    return rows.join(F.broadcast(marked), held, how)
+
+
 def candidates(members: DataFrame, classes: DataFrame, docs: DataFrame, near: Near) -> DataFrame:
     """node, n_shingles, signature, bands and whole text of the nodes that share a bucket; stored.
 
-    All later steps read this table, so texts of other documents move once, and their signatures never: those of
-    candidates are made again. Of each hash of a signature 8 bits are kept; that two hashes agree in them by chance can
+    All later steps read this table, so texts of other documents do not move but for those that share a mark by chance,
+    and their signatures never: those of candidates are made again. Of each hash of a signature 8 bits are kept; that two hashes agree in them by chance can
     only keep a pair. doc_id and the hash of the text find the text; a row that is repeated is taken once.
     """
 
@@ -250,6 +269,7 @@ def candidates(members: DataFrame, classes: DataFrame, docs: DataFrame, near: Ne
         F.xxhash64("text").alias("text_key"),
         F.col("text").cast("string").alias("text"),
     )
+    texts = by_marks(texts, F.col("text"), marks(nodes), "left_semi")
     key = ["text_id", "text_key"]
     found = nodes.join(texts, key).dropDuplicates([*key, "node"]).select("node", "text")
     held = stored(found.mapInArrow(signed, CANDIDATES), "candidates")
@@ -469,10 +489,17 @@ def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, near: Near = Near()) -> DataFrame:
-    """``docs`` without the documents that are near copies of one with a smaller doc_id; all columns stay, of any name."""
+    """``docs`` without the documents that are near copies of one with a smaller doc_id; all columns stay, of any name.
+
+    Only documents whose text shares a mark with a dropped one are shuffled to be compared by key.
+    """
     dropped = near_duplicates(docs, near).where("not kept").select("doc_id", "text_key")
-    dropped = stored(dropped.distinct(), "near-copies").select(F.struct("doc_id", "text_key").alias("dropped"))
+    dropped = stored(dropped.distinct(), "near-copies")
+    marked = marks(dropped)
+    dropped = dropped.select(F.struct("doc_id", "text_key").alias("dropped"))
     rows = docs.select(F.struct("*").alias("doc"))
+    text = F.col("doc")["text"]
+    unlike, alike = (by_marks(rows, text, marked, how) for how in ("left_anti", "left_semi"))
     same = F.col("doc")["doc_id"].cast("long").eqNullSafe(F.col("dropped.doc_id"))
-    same = same & (F.xxhash64(F.col("doc")["text"]) == F.col("dropped.text_key"))
-    return rows.join(dropped, same, "left_anti").select("doc.*")
+    same = same & (F.xxhash64(text) == F.col("dropped.text_key"))
+    return unlike.unionByName(alike.join(dropped, same, "left_anti")).select("doc.*")
