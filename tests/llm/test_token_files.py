@@ -1,3 +1,5 @@
+import gc
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -9,7 +11,7 @@ from hypothesis import strategies as st
 from llm_cases import EDGES, SMALL, docs, texts_of
 from tokenizers import Tokenizer
 
-from tonearm.llm import packing, token_store
+from tonearm.llm import packing, token_store, words
 from tonearm.llm.queries import all_queries
 from tonearm.llm.words import TokenEncoder
 
@@ -37,6 +39,42 @@ def test_encoder_gives_the_tokenizers_ids(text):
     assert ids.tolist() == ids_of(text) and sizes.tolist() == [len(ids)]
 
 
+def test_a_remembered_word_takes_few_bytes():
+    """Ids of 20,000 words that wait in an idle worker."""
+    texts = ["".join(chr(97 + n // 26**k % 26) for k in range(4)) + "qxz" for n in range(20_000)]
+    encoder = TokenEncoder(PATH, 0)
+    encoder.encode([b"warm up"])
+    gc.collect()
+    tracemalloc.start()
+    try:
+        ids, _ = encoder.encode([" ".join(texts).encode()])
+        count = len(ids)
+        del ids
+        gc.collect()
+        held = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert count > 60_000 and held < 20_000 * 330, held / 20_000
+
+
+def test_a_task_gives_back_free_memory_when_it_ends(monkeypatch):
+    """Once the function's own frame is gone, also if it fails."""
+    events = []
+    monkeypatch.setattr(words, "release", lambda: events.append("release"))
+
+    def task(batches):
+        try:
+            for batch in batches:
+                yield 10 // batch
+        finally:
+            events.append("end")
+
+    assert list(words.releasing(task)(iter([1, 2]))) == [10, 5] and events == ["end", "release"]
+    with pytest.raises(ZeroDivisionError):
+        list(words.releasing(task)(iter([0])))
+    assert events == ["end", "release"] * 2
+
+
 def test_random_access(tmp_path):
     ids = np.random.default_rng(0).integers(0, 1 << 11, 1000).astype(np.uint32)
     writer = token_store.TokenWriter(f"{tmp_path}/a.tok", 11, block_ids=64)

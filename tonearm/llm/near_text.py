@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tonearm.llm.components import components
 from tonearm.llm.files import discard, stored
-from tonearm.llm.words import WordMemo, text_chunks
+from tonearm.llm.words import WordMemo, releasing, text_chunks
 
 U64 = np.uint64
 #: Odd multipliers of the mixing steps.
@@ -172,7 +172,7 @@ def sign(docs: DataFrame, near: Near) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), F.col("text").cast("string"))
-    return stored(rows.mapInArrow(signed, SIGNED).withColumn("row", F.monotonically_increasing_id()), "signed-documents")
+    return stored(rows.mapInArrow(releasing(signed), SIGNED).withColumn("row", F.monotonically_increasing_id()), "signed-documents")
 
 
 @functools.cache
@@ -272,7 +272,7 @@ def candidates(members: DataFrame, classes: DataFrame, docs: DataFrame, near: Ne
     texts = by_marks(texts, F.col("text"), marks(nodes), "left_semi")
     key = ["text_id", "text_key"]
     found = nodes.join(texts, key).dropDuplicates([*key, "node"]).select("node", "text")
-    held = stored(found.mapInArrow(signed, CANDIDATES), "candidates")
+    held = stored(found.mapInArrow(releasing(signed), CANDIDATES), "candidates")
     discard(nodes)
     return held
 
@@ -303,7 +303,7 @@ def verify(pairs: DataFrame, texts: DataFrame, near: Near) -> DataFrame:
                 yield rows.select([0, 1]).take(pa.array(found, pa.int64()))
 
     both = pairs.join(a, "a").join(b, "b").select("a", "b", "of_a", "of_b")
-    return stored(both.mapInArrow(links, "a long, b long"), "links")
+    return stored(both.mapInArrow(releasing(links), "a long, b long"), "links")
 
 
 def bucket_members(signed: DataFrame, classes: DataFrame, near: Near) -> DataFrame:
@@ -434,7 +434,7 @@ def across(members: DataFrame, roots: DataFrame, held: DataFrame, near: Near) ->
             yield close()
 
     meeting = rows.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "node")
-    links = stored(meeting.mapInArrow(compared, "a long, b long"), "links-across")
+    links = stored(meeting.mapInArrow(releasing(compared), "a long, b long"), "links-across")
     discard(open_)
     return links
 

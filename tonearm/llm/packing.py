@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tonearm.llm.files import stored
 from tonearm.llm.token_store import bits_for, pack, unpack
-from tonearm.llm.words import TOKEN_CHUNK, text_chunks, token_encoder
+from tonearm.llm.words import TOKEN_CHUNK, releasing, text_chunks, token_encoder
 
 GROUP_PIECES = 8192
 ROUNDS = 4
@@ -90,7 +90,7 @@ def cut(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, vocabulary:
                 columns = [pa.array([r[c] for r in rows], kind) for c, kind in enumerate(types)]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    own = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(pieces, PIECES)
+    own = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(releasing(pieces), PIECES)
     return stored(own.withColumn("piece_row", F.monotonically_increasing_id()), "token-pieces")
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tonearm.llm.files import new_file, one_task_per_file, open_input, open_output, stored
-from tonearm.llm.words import TOKEN_CHUNK, text_chunks, token_encoder
+from tonearm.llm.words import TOKEN_CHUNK, releasing, text_chunks, token_encoder
 from tonearm.session import working_folder
 
 MAGIC = b"TOKBITS1"
@@ -208,7 +208,7 @@ def write_token_files(
         names = ["part", "number", "path", "n_docs", "n_tokens"]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
-    return stored(ordered.mapInArrow(write, MANIFEST), "token-manifest")
+    return stored(ordered.mapInArrow(releasing(write), MANIFEST), "token-manifest")
 
 
 def _files(manifest: DataFrame) -> DataFrame:
