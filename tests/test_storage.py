@@ -111,6 +111,21 @@ def test_watermark_filter_reaches_the_scan(spark, tmp_path, capsys):
     assert "GreaterThanOrEqual(updated_at,2024-01-02" in capsys.readouterr().out
 
 
+def test_rows_after_the_last_day_are_not_compared(spark, tmp_path, capsys, rows):
+    """Of the source, only rows of the last day meet what the lake holds; none is lost or taken twice at midnight."""
+    midnight = [(i, None, at, "u", None, i) for i, at in (("e", dt.datetime(2024, 1, 3)), ("f", dt.datetime(2024, 1, 2)))]
+    given = users(spark, ("a", 1), ("b", 2), ("c", 3), ("d", None), ("g", 2)).union(spark.createDataFrame(midnight, USER.schema))
+    given.write.parquet(f"{tmp_path}/given")
+    source = spark.read.parquet(f"{tmp_path}/given")
+    found = lake.incremental_rows(source, users(spark, ("b", 2)), "updated_at", ["user_id"])
+    assert rows(found, "user_id") == [("c",), ("e",), ("f",), ("g",)]
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    found.explain()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    compared = capsys.readouterr().out.partition("LeftAnti")[2].partition("PushedFilters: [")[2].partition("]")[0]
+    assert "LessThan(updated_at,2024-01-03" in compared
+
+
 def test_database_conditions_cover_every_row_once():
     conditions = database.day_predicates("updated_at", day(1), day(10), 3)
     assert conditions == [

@@ -138,9 +138,11 @@ def incremental_rows(
         return source.where(F.col(incremental_col) >= day_after)
     latest_day = F.lit(dt.datetime.combine(latest, dt.time()))
     held = lake.where(F.col(incremental_col) >= latest_day).select(*keys, incremental_col)
-    return source.where(F.col(incremental_col) >= latest_day).join(
-        held, [*keys, incremental_col], "left_anti"
-    ).select(*source.columns)
+    # the lake holds nothing of later days, so their rows are not shuffled to be compared
+    later = source.where(F.col(incremental_col) >= day_after)
+    again = source.where((F.col(incremental_col) >= latest_day) & (F.col(incremental_col) < day_after))
+    again = again.join(held, [*keys, incremental_col], "left_anti").select(*source.columns)
+    return later.unionByName(again)
 
 
 def stamp_extract_date(df: DataFrame, date: dt.date) -> DataFrame:
