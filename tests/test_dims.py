@@ -110,4 +110,5 @@ def test_gaining_a_genre_does_not_count_again(spark, rows):
     staged = spark.createDataFrame([(20200500, "a", "x", 2, "t1"), (20200500, "a", "x", 1, "t2"), (20200500, "a", "x", 2, "t2")], ddl)
     dates = dims.date_dimension(spark)
     assert rows(marts.album_track_metric(staged, held, dates)) == [(5, 2020, "a", "x", 1)]
+    assert rows(marts.album_track_metric(staged, held, dates, "full")) == [(5, 2020, "a", "x", 1)]
     assert rows(marts.album_track_metric(staged, None, dates)) == [(5, 2020, "a", "x", 2)]

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tonearm.operators import dedup, numbering
+from tonearm.operators.lookup import not_in
 from tonearm.plans import facts
 from tonearm.queries import all_queries
 from tonearm.session import working_folder
@@ -44,6 +45,18 @@ def settings(spark):
         spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
+def test_many_staged_tracks_are_joined_with_the_facts_once(spark, capsys):
+    entry.queries()["h12_album_track_metric_next"](spark, SMALL).explain()
+    plan = capsys.readouterr().out
+    assert "LeftAnti" in plan and "LeftSemi" not in plan
+
+
+def test_a_null_key_is_never_known(spark, rows):
+    given = spark.createDataFrame([("a", 1), ("b", None), (None, None), ("c", 3)], "k string, n int")
+    for strategy in ("delta", "full"):
+        assert rows(not_in(given, given.where("k <> 'c' or k is null"), ["k", "n"], strategy)) == [("b", None), ("c", 3), (None, None)]
+
+
 def executed_plan(df, capsys):
     df.collect()
     capsys.readouterr()

@@ -41,12 +41,15 @@ def genre_keys(
     )
 
 
-def not_in(df: DataFrame, known: DataFrame, on: Sequence[str]) -> DataFrame:
+def not_in(df: DataFrame, known: DataFrame, on: Sequence[str], strategy: str = "delta") -> DataFrame:
     """Rows whose key the known rows lack; a NULL key is never known.
 
-    The known rows are first cut down to the keys asked for. When these are few, Spark
-    broadcasts them, and the known rows, which may be a whole history, are scanned but not shuffled.
+    ``delta`` first cuts the known rows down to the keys asked for. When these are few, Spark broadcasts them, and the
+    known rows, which may be a whole history, are scanned but not shuffled. ``full`` joins once, which suits rows that
+    are many or costly, as ``delta`` may compute them twice.
     """
+    if strategy == "full":
+        return df.join(known.select(*on), list(on), "left_anti").select(*df.columns)
     asked = df.select(*on)
     seen = known.select(*on).join(asked, list(on), "left_semi")
     return df.join(seen, list(on), "left_anti").select(*df.columns)

@@ -15,15 +15,16 @@ ALBUM_TRACK_UNIT = ["release_date_key", "album_key", "artist_key", "track_key"]
 
 
 def album_track_metric(
-    staged: DataFrame, facts: DataFrame | None, dim_date: DataFrame
+    staged: DataFrame, facts: DataFrame | None, dim_date: DataFrame, strategy: str = "delta"
 ) -> DataFrame:
     """New tracks per release month, album and artist.
 
-    ``facts`` are those of earlier runs. A track that merely gains a genre is not new.
+    ``facts`` are those of earlier runs; ``strategy`` is how they are looked for (``lookup.not_in``). A track that merely
+    gains a genre is not new.
     """
     units = first_rows(staged, ALBUM_TRACK_UNIT)
     if facts is not None:
-        units = not_in(units, facts, ALBUM_TRACK_UNIT)
+        units = not_in(units, facts, ALBUM_TRACK_UNIT, strategy)
     counts = units.groupBy("release_date_key", "album_key", "artist_key").agg(
         F.count(F.lit(1)).alias("tracks_count")
     )
