@@ -173,3 +173,26 @@ def test_dimensions_staged_twice_are_built_once(spark, monkeypatch):
     monkeypatch.setattr(Catalogue, "dim_album", property(lambda self: asked.append(1) or dims.stage_album(self.src_album)))
     assert entry.queries()["g07_dimension_load"](spark, SMALL).count() == 6
     assert len(asked) == 1
+
+
+@pytest.mark.parametrize("sides", [(True, False), (False, True), (True, True)])
+def test_anti_join_takes_folded_sides(spark, rows, sides):
+    """Known rows hold a column more than the keys, so they are not distinct in these."""
+    staging, target = some_rows(spark, 7), some_rows(spark, 8, 60)
+    keys = ["day", "k", "g"]
+    expected = rows(lookup.not_in(staging, target, keys))
+    given = [fold.fold(df, "g") if folded else df for df, folded in zip((staging, target), sides)]
+    assert rows(fold.not_in_folded(*given, keys, "g"), *staging.columns) == expected
+
+
+@pytest.mark.parametrize("key", ["c05_fact_anti_join"])
+def test_facts_are_stored_folded_to_be_compared(spark, monkeypatch, key):
+    monkeypatch.setattr(Catalogue, "fact_playlist_track", property(lambda self: pytest.fail("built unfolded")))
+    assert entry.queries()[key](spark, SMALL).count() > 0
+
+
+@pytest.mark.parametrize("value", [-65, -1, 0, 1, 62, 63, 64, 2**40])
+def test_low_values_are_taken_out_of_folded_rows(spark, rows, value):
+    df = some_rows(spark, 11)
+    left = fold.unfold(fold.at_least(fold.fold(df, "g"), value), "g", df.columns)
+    assert rows(left) == rows(df.where(F.col("g") >= value))

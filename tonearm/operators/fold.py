@@ -47,6 +47,13 @@ def without(df: DataFrame, value: int) -> DataFrame:
     return df.withColumn(MASK, F.when(F.col(WORD) == value >> 6, rest).otherwise(mask)).where(F.col(MASK) != 0)
 
 
+def at_least(df: DataFrame, value: int) -> DataFrame:
+    """Folded rows less the values below one; rows that held no other, and those of NULL, go."""
+    mask, word = F.col(MASK), value >> 6
+    upper = mask.bitwiseAND(F.lit(-1 << (value & BITS - 1)).cast("bigint"))
+    return df.withColumn(MASK, F.when(F.col(WORD) == word, upper).when(F.col(WORD) > word, mask)).where(F.col(MASK) != 0)
+
+
 def unfold(df: DataFrame, column: str, columns: Sequence[str], dtype: str = "bigint") -> DataFrame:
     """The rows again, one per bit, with the named columns; ``column`` gets the type it had."""
     bit, mask = F.col("_bit"), F.col(MASK)
@@ -55,23 +62,39 @@ def unfold(df: DataFrame, column: str, columns: Sequence[str], dtype: str = "big
     return rows.withColumn(column, (F.col(WORD) * BITS + bit).cast(dtype)).select(*columns)
 
 
+def unfolded(df: DataFrame, column: str) -> DataFrame:
+    """The rows one per value; rows that come so stay as they are."""
+    return unfold(df, column, plain_columns(df, column)) if MASK in df.columns else df
+
+
+def plain_columns(df: DataFrame, column: str) -> list[str]:
+    """The columns of rows that may be folded, as they are unfolded."""
+    return [column if c == MASK else c for c in df.columns if c != WORD]
+
+
 def type_of(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 
 
 def not_in_folded(df: DataFrame, known: DataFrame, on: Sequence[str], folded: str) -> DataFrame:
-    """Distinct rows whose key the known rows lack, a NULL key being never known; for two large sides."""
-    return unfold(masks_not_in(fold(df, folded), known, on, folded), folded, df.columns, type_of(df, folded))
+    """Distinct rows whose key the known rows lack, a NULL key being never known; for two large sides.
+
+    Either side may come folded, its rows being distinct then; the outcome is unfolded.
+    """
+    dtype = next((type_of(side, folded) for side in (df, known) if folded in side.columns), "bigint")
+    masks = df if MASK in df.columns else fold(df, folded)
+    return unfold(masks_not_in(masks, known, on, folded), folded, plain_columns(df, folded), dtype)
 
 
 def masks_not_in(masks: DataFrame, known: DataFrame, on: Sequence[str], column: str) -> DataFrame:
-    """The same of folded rows, which stay folded.
+    """The same of folded rows, which stay folded; known rows may come folded.
 
     Both sides are shuffled once folded, and bits of the known rows are taken out of the masks.
     """
-    keys = [*[c for c in on if c != column], WORD]
-    held = fold(known.select(*on), column).withColumnRenamed(MASK, "_held")
-    sides = masks.join(held, keys, "left")
+    others = [c for c in on if c != column]
+    keys = [*others, WORD]
+    held = union_masks(known.select(*keys, MASK)) if MASK in known.columns else fold(known.select(*others, column), column)
+    sides = masks.join(held.withColumnRenamed(MASK, "_held"), keys, "left")
     mask = F.col(MASK)
     left = F.when(mask.isNotNull(), mask.bitwiseAND(F.bitwise_not(F.coalesce("_held", F.lit(0).cast("bigint")))))
     return sides.withColumn(MASK, left).where(mask.isNull() | (mask != 0)).select(*masks.columns)

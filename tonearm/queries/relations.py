@@ -75,12 +75,12 @@ def genre_key_lookup(c):
     stored_facts=STORED_FACTS,
 )
 def fact_anti_join(c):
-    """The fact is stored first, so that it is built once for both sides."""
+    """The fact is stored first, folded by genre, so that it is built once for both sides and moved as entries."""
     root = working_folder(c.spark, "staging")
-    warehouse.write_staging(c.fact_playlist_track, root, "facts")
+    warehouse.write_staging(c.fact_playlist_masks, root, "facts")
     staged = warehouse.read_table(c.spark, root, "facts")
-    held = staged.where("date_actual < '1998-01-01'").select(*FACT_KEYS)
-    return not_in_folded(staged, held, FACT_KEYS, "genre_key")
+    held = staged.where("date_actual < '1998-01-01'")
+    return not_in_folded(staged, held, FACT_KEYS, "genre_key").select(*FACT_KEYS, "date_actual")
 
 
 @query(
