@@ -185,12 +185,22 @@ def test_anti_join_takes_folded_sides(spark, rows, sides):
     assert rows(fold.not_in_folded(*given, keys, "g"), *staging.columns) == expected
 
 
-@pytest.mark.parametrize("key", ["c05_fact_anti_join"])
+@pytest.mark.parametrize("key", ["c05_fact_anti_join", "g06_insert_absent"])
 def test_facts_are_stored_folded_to_be_compared(spark, monkeypatch, key):
     monkeypatch.setattr(Catalogue, "fact_playlist_track", property(lambda self: pytest.fail("built unfolded")))
     assert entry.queries()[key](spark, SMALL).count() > 0
 
 
+@pytest.mark.parametrize("few", [0, 10**9])
+def test_insert_compares_with_a_folded_target(spark, rows, monkeypatch, few):
+    monkeypatch.setattr(merge, "FEW_ROWS", few)
+    staging, target = some_rows(spark, 9), some_rows(spark, 10, 60)
+    keys = ["day", "k", "g"]
+    left = merge.insert_absent(fold.fold(target, "g"), fold.fold(staging, "g"), keys, "day", folded="g")
+    expected = rows(lookup.not_in(staging, target, keys))
+    assert rows(fold.unfolded(left, "g"), *staging.columns) == expected
+
+
 @pytest.mark.parametrize("value", [-65, -1, 0, 1, 62, 63, 64, 2**40])
 def test_low_values_are_taken_out_of_folded_rows(spark, rows, value):
     df = some_rows(spark, 11)

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tonearm.operators import merge
+from tonearm.operators.fold import at_least, unfolded
 from tonearm.queries.oracle import STORED_FACTS
 from tonearm.queries.registry import query
 from tonearm.session import working_folder
@@ -143,13 +144,14 @@ FACT_KEYS = ["added_date_key", "playlist_key", "user_key", "genre_key", "track_k
     stored_facts=STORED_FACTS,
 )
 def insert_absent(c):
-    """Staged facts since 1997 against facts of some genres, both stored."""
+    """Staged facts since 1997 against facts of some genres, both stored folded by genre."""
     root = working_folder(c.spark, "staging")
-    warehouse.write_staging(c.fact_playlist_track, root, "facts")
+    warehouse.write_staging(c.fact_playlist_masks, root, "facts")
     facts = warehouse.read_table(c.spark, root, "facts")
     staged = facts.where("date_actual >= '1997-01-01'")
-    held = facts.where("genre_key >= 10")
-    return merge.insert_absent(held, staged, FACT_KEYS, "added_date_key", folded="genre_key")
+    held = at_least(facts, 10)
+    rows = merge.insert_absent(held, staged, FACT_KEYS, "added_date_key", folded="genre_key")
+    return unfolded(rows, "genre_key").select(*FACT_KEYS, "date_actual")
 
 
 UPSERT_TARGET = """select track_id, album_id, name, plays_count, duration_ms from src_track where disc_number is not null"""
