@@ -185,7 +185,7 @@ def test_anti_join_takes_folded_sides(spark, rows, sides):
     assert rows(fold.not_in_folded(*given, keys, "g"), *staging.columns) == expected
 
 
-@pytest.mark.parametrize("key", ["c05_fact_anti_join", "g06_insert_absent", "g08_fact_load"])
+@pytest.mark.parametrize("key", ["c05_fact_anti_join", "g06_insert_absent", "g08_fact_load", "a16_month_compaction"])
 def test_facts_are_stored_folded_to_be_compared(spark, monkeypatch, key):
     monkeypatch.setattr(Catalogue, "fact_playlist_track", property(lambda self: pytest.fail("built unfolded")))
     assert entry.queries()[key](spark, SMALL).count() > 0
