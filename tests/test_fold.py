@@ -8,7 +8,7 @@ from conftest import SMALL
 from pyspark.sql import functions as F
 
 from tonearm.operators import dedup, fold, lookup, merge
-from tonearm.plans import dims, marts
+from tonearm.plans import dims, facts, marts
 from tonearm.queries import storage
 from tonearm.queries.fixtures import Catalogue
 from tonearm.sources import warehouse
@@ -206,3 +206,26 @@ def test_low_values_are_taken_out_of_folded_rows(spark, rows, value):
     df = some_rows(spark, 11)
     left = fold.unfold(fold.at_least(fold.fold(df, "g"), value), "g", df.columns)
     assert rows(left) == rows(df.where(F.col("g") >= value))
+
+
+def test_genres_are_named_once_a_set(spark, rows, monkeypatch):
+    """Entries with a common set of genres share its names, which are looked up by the masks of the whole set."""
+    keys = ["day", "k"]
+    given = [(1, str(i), g) for i in range(30) for g in (-1, 3, 70)] + [(2, None, 3), (2, "x", None), (2, "y", 9)]
+    genres = spark.createDataFrame([(-1, "unknown"), (3, "rock"), (70, "jazz")], "genre_key bigint, genre string")
+    seen = []
+    monkeypatch.setattr(storage, "unfold", lambda df, *args: seen.append(df.count()) or fold.unfold(df, *args))
+    masks = fold.fold(spark.createDataFrame(given, "day int, k string, g bigint"), "g")
+    named = storage.genres_of(masks, keys, genres)
+    expected = [(1, str(i), "jazz,rock,unknown") for i in range(30)] + [(2, None, "rock")]
+    assert rows(named) == sorted(expected, key=repr)
+    assert seen == [3 + 1 + 1 + 1]
+
+
+def test_placed_tracks_are_looked_for_once(spark, rows, monkeypatch):
+    seen = []
+    monkeypatch.setattr(facts, "not_in", lambda df, known, *args: seen.append(known.count()) or lookup.not_in(df, known, *args))
+    entries = spark.createDataFrame([("a", "p"), ("a", "p"), ("b", "q"), (None, "r")], "track_id string, playlist_id string")
+    placed = spark.createDataFrame([("a", i) for i in range(20)] + [(None, 0)], "track_key string, genre_key int")
+    assert rows(facts.unplaced_tracks(entries, placed)) == [("b", "q"), (None, "r")]
+    assert seen == [2]
